@@ -32,8 +32,6 @@ def main():
         .appName("groundline-bench")
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.files.maxPartitionBytes", "4m")
-        .config("spark.sql.files.openCostInBytes", "1m")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .getOrCreate()

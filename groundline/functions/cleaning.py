@@ -31,7 +31,8 @@ DELETED_CHARACTERS = "*[]▲「」"
 
 
 def drop_syntax_error_lines(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?dm)^.*syntax error.*\n?", "")
+    cut = F.regexp_replace(text, r"(?dm)^.*syntax error.*\n?", "")
+    return F.when(F.contains(text, F.lit("syntax error")), cut).otherwise(text)
 
 
 def split_pages(text: Column) -> Column:

@@ -52,8 +52,7 @@ ENTITIES = (
 
 def flat_element(html: Column, tag: str) -> Column:
     """First `<tag>` element with its markup, for a tag that does not nest in itself; else NULL."""
-    found = F.regexp_extract(html, rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>", 0)
-    return F.when(found != "", strip(found))
+    return strip(F.regexp_substr(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>")))
 
 
 def to_markdown(fragment: Column) -> Column:

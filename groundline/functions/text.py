@@ -29,6 +29,14 @@ def let(col: Column, body) -> Column:
     return F.transform(F.array(col), body)[0]
 
 
+def present(col: Column) -> Column:
+    """Generator that gives one row per non-NULL value and none for NULL.
+
+    For costly columns: a filter on one is pushed below the projection and evaluates it a second time.
+    """
+    return F.explode(F.array_compact(F.array(col)))
+
+
 def non_empty_lines(col: Column) -> Column:
     """Lines of a text, stripped, without the blank ones."""
     return F.filter(F.transform(F.split(col, "\n", -1), strip), lambda line: line != "")

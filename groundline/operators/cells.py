@@ -1,25 +1,52 @@
 """Cells for approximate search: each vector belongs to its nearest centre, a query probes a few."""
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def assign_cells(index: DataFrame, n_cells: int, seed: int = 7, max_iter: int = 10) -> tuple[DataFrame, np.ndarray]:
-    """Add `cell` to `index(id, vec, ..)` by k-means under cosine distance; also give the centres.
+@dataclass(frozen=True)
+class CellIndex:
+    rows: DataFrame  # (id, vec, .., cell), a table partitioned by cell
+    centres: np.ndarray
+
+
+def open_cells(spark: SparkSession, path: str) -> CellIndex:
+    centres = spark.read.parquet(f"{path}/centres").orderBy("cell").collect()  # one row per cell
+    return CellIndex(spark.read.parquet(f"{path}/rows"), np.array([r.centre for r in centres]))
+
+
+def build_cells(
+    rows: DataFrame, n_cells: int, path: str, seed: int = 7, max_iter: int = 10, train_fraction: float = 1.0
+) -> CellIndex:
+    """Assign `rows(id, vec, ..)` to cells by k-means under cosine distance and write them by cell.
 
-    For repeated searches write the result partitioned by `cell`.
+    `train_fraction` lets the centres be fitted on a part of the vectors; all rows are assigned.
     """
-    rows = index.withColumn("_features", array_to_vector(F.col("vec").cast("array<double>")))
+    values = F.col("vec").cast("array<double>")
+    # cosine distance has no answer for a zero vector: any cell will do
+    first_axis = F.transform(values, lambda _, i: F.when(i == 0, 1.0).otherwise(0.0))
+    usable = F.when(F.exists(values, lambda v: v != 0), values).otherwise(first_axis)
+    featured = rows.filter("vec IS NOT NULL").withColumn("_features", array_to_vector(usable))
+    training = featured.select("_features")
+    if train_fraction < 1:
+        training = training.sample(train_fraction, seed)
     means = KMeans(
         k=n_cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine", featuresCol="_features", predictionCol="cell"
     )
-    model = means.fit(rows.select("_features"))
-    return model.transform(rows).drop("_features"), np.array(model.clusterCenters())
+    model = means.fit(training)
+    placed = model.transform(featured).drop("_features")
+    placed.hint("rebalance", F.col("cell")).write.mode("overwrite").partitionBy("cell").parquet(f"{path}/rows")
+    spark = rows.sparkSession
+    centres = [(i, [float(v) for v in centre]) for i, centre in enumerate(model.clusterCenters())]
+    spark.createDataFrame(centres, "cell INT, centre ARRAY<DOUBLE>").write.mode("overwrite").parquet(f"{path}/centres")
+    return open_cells(spark, path)
 
 
 def probe_cells(queries: DataFrame, centres: np.ndarray, n_probe: int) -> DataFrame:

@@ -3,7 +3,7 @@
 Layout under a root folder: `data/v=<version>/part=<n>/` holds rows, `versions/` is an append-only
 log with one row per part that a version wrote. A version is written in full before its log rows are
 appended, so readers never see half of it, and a failed attempt is overwritten by the next one.
-`schema/` holds tables without rows, for an index that has none.
+`schema/` holds tables without rows, for an index that has none; `changes/` what a version changed.
 Only parts with changes are rewritten; readers take each part from the newest version that has it.
 """
 
@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundline.operators.embed import Embedder, embed
-from groundline.session import shared_dir
 from groundline.sources.chunk_table import CHUNKS_PER_DOCUMENT
 
 PARTS = 16
+BROADCAST_IDS = 1_000_000  # changed ids sent to every task: 8 MB of values
 LOG_SCHEMA = "version INT, part INT, n_rows BIGINT, n_parts INT, embedder_id STRING, batch_id BIGINT"
 
 
@@ -73,9 +73,14 @@ def open_index(spark: SparkSession, root: str, embedder: Embedder) -> VectorInde
     return index
 
 
-def _commit(rows: DataFrame, index: VectorIndex, parts, n_parts: int, batch_id: int | None) -> None:
+def _next_version(index: VectorIndex) -> int:
+    return (_log(index.spark, index.root).agg(F.max("version")).first()[0] or 0) + 1
+
+
+def _commit(
+    rows: DataFrame, index: VectorIndex, version: int, parts, n_parts: int, batch_id: int | None = None
+) -> None:
     spark, root = index.spark, index.root
-    version = (_log(spark, root).agg(F.max("version")).first()[0] or 0) + 1
     folder = f"{root}/data/v={version}"
     placed = rows.withColumn("part", _part(n_parts))
     spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(f"{root}/schema/v={version}")
@@ -95,7 +100,7 @@ def _embedded(chunks: DataFrame, embedder: Embedder) -> DataFrame:
 def build_index(chunks: DataFrame, root: str, embedder: Embedder, n_parts: int = PARTS) -> VectorIndex:
     """Embed `content` of all `chunks(id, content, ..)` and write it as a new version."""
     index = VectorIndex(chunks.sparkSession, root, embedder)
-    _commit(_embedded(chunks, embedder), index, range(n_parts), n_parts, None)
+    _commit(_embedded(chunks, embedder), index, _next_version(index), range(n_parts), n_parts)
     return index
 
 
@@ -114,15 +119,26 @@ def index_diff(chunks: DataFrame, indexed: DataFrame) -> DataFrame:
     return new.join(old, "id", "full_outer").select("id", op.alias("op")).filter("op IS NOT NULL")
 
 
-def _replace(index: VectorIndex, changed_ids: DataFrame, upserts: DataFrame, batch_id: int | None) -> None:
-    """New version of the touched parts: rows not in `changed_ids`, plus the embedded `upserts`."""
-    n_parts = _log(index.spark, index.root).agg(F.max("n_parts")).first()[0]
-    touched = [r.part for r in changed_ids.select(_part(n_parts).alias("part")).distinct().collect()]
+def _replace(index: VectorIndex, changes: DataFrame, upserts, batch_id: int | None = None) -> None:
+    """New version of the touched parts: rows without changes, plus the embedded upserts.
+
+    `changes(id, op, ..)` are computed once and written, as they are read three times;
+    `upserts(changes)` gives the chunks to embed.
+    """
+    spark, version = index.spark, _next_version(index)
+    path = f"{index.root}/changes/v={version}"
+    changes.write.mode("overwrite").parquet(path)
+    changes = spark.read.parquet(path)
+    n_parts = _log(spark, index.root).agg(F.max("n_parts")).first()[0]
+    touched = [r.part for r in changes.select(_part(n_parts).alias("part")).distinct().collect()]
     if not touched:
         return
-    kept = index.rows(touched).join(changed_ids.select("id"), "id", "left_anti")
-    added = _embedded(upserts, index.embedder)
-    _commit(kept.unionByName(added, allowMissingColumns=True), index, touched, n_parts, batch_id)
+    changed_ids = changes.select("id")
+    if changes.count() <= BROADCAST_IDS:
+        changed_ids = F.broadcast(changed_ids)
+    kept = index.rows(touched).join(changed_ids, "id", "left_anti")
+    added = _embedded(upserts(changes.filter("op <> 'delete'")), index.embedder)
+    _commit(kept.unionByName(added, allowMissingColumns=True), index, version, touched, n_parts, batch_id)
 
 
 def sync_index(chunks: DataFrame, root: str, embedder: Embedder, n_parts: int = PARTS) -> VectorIndex:
@@ -131,12 +147,8 @@ def sync_index(chunks: DataFrame, root: str, embedder: Embedder, n_parts: int =
     if not index_exists(spark, root):
         return build_index(chunks, root, embedder, n_parts)
     index = VectorIndex(spark, root, embedder)
-    # the change list is used three times, so it is computed once and written
-    changes_path = shared_dir(spark, "index-changes")
-    index_diff(chunks, index.rows()).write.parquet(changes_path)
-    changes = spark.read.parquet(changes_path)
-    upserts = chunks.join(changes.filter("op <> 'delete'"), "id", "left_semi")
-    _replace(index, changes, upserts, None)
+    changes = index_diff(chunks, index.rows())
+    _replace(index, changes, lambda changed: chunks.join(changed.select("id"), "id", "left_semi"))
     return index
 
 
@@ -153,7 +165,7 @@ def apply_changes(changes: DataFrame, root: str, embedder: Embedder, batch_id: i
     # partial aggregation keeps one row per id and task before the shuffle, also for a hot id
     newest = changes.groupBy("id").agg(F.max_by(F.struct("op", "content"), "seq").alias("at")).select("id", "at.*")
     index = VectorIndex(spark, root, embedder)
-    _replace(index, newest, newest.filter("op <> 'delete'").select("id", "content"), batch_id)
+    _replace(index, newest, lambda changed: changed.select("id", "content"), batch_id)
     return index
 
 

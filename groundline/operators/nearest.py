@@ -69,12 +69,16 @@ def _select(scores: np.ndarray, k: int):
     return np.nonzero(keep & np.isfinite(scores))
 
 
+def _empty():
+    return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
+
+
 def _score(ids, rows, queries, wanted, k, positive_only):
     """Best rows for the `wanted` queries: arrays (query position, id, score)."""
     order = np.argsort(ids, kind="stable")
     ids, rows = ids[order], rows[order]
     row_norms = _norms(rows)
-    parts = []
+    parts = [_empty()]
     for start in range(0, len(wanted), QUERY_SLICE):
         part = wanted[start : start + QUERY_SLICE]
         chosen = queries[part]
@@ -97,10 +101,6 @@ def _merge(best, new, k):
     return query[keep], ids[keep], score[keep]
 
 
-def _empty():
-    return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
-
-
 def _scan(qids, queries, probes, dim, k, positive_only):
     """Task function of the first plan: one pass over the batches, k rows per query at the end."""
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundline.operators.cells import assign_cells, probe_cells
+from groundline.operators.cells import CellIndex, probe_cells
 from groundline.operators.embed import embed_queries
 from groundline.operators.index import VectorIndex
 from groundline.operators.nearest import Hits, nearest
@@ -37,14 +37,14 @@ def search_text(queries: DataFrame, index: VectorIndex, columns=("content",), k:
 
 
 def search_approx(
-    queries: DataFrame, rows: DataFrame, dim: int, n_cells: int, n_probe: int, columns=(), k: int = RESULTS
+    queries: DataFrame, cells: CellIndex, n_probe: int, columns=(), k: int = RESULTS
 ) -> DataFrame:
-    """Search by vector in the `n_probe` nearest of `n_cells` cells; exact when all are probed."""
-    in_cells, centres = assign_cells(rows, n_cells)
-    hits = nearest(probe_cells(queries, centres, n_probe), in_cells, k, dim)
+    """Search by vector in the `n_probe` nearest cells of each query; exact when all are probed."""
+    probed = probe_cells(queries, cells.centres, n_probe)
+    hits = nearest(probed, cells.rows, k, cells.centres.shape[1])
     if not columns:
         return hits.rows.select("qid", "rank", "id", "score")
-    return attach(hits, rows, columns)
+    return attach(hits, cells.rows, columns)
 
 
 def retrieve(questions: DataFrame, index: VectorIndex, k: int = RESULTS) -> DataFrame:

@@ -243,6 +243,13 @@ ORACLES = {
     "chunk_heading": _with(
         DOCUMENT_CHUNKS, "SELECT doc_id, chunk_no::INT AS chunk_no, content, header_1, header_2, header_3 FROM chunks"
     ),
+    "chunk_json": _with(
+        DOCUMENT_CHUNKS,
+        """SELECT doc_id, chunk_no::INT AS chunk_no, '{"content":' || to_json(content)::VARCHAR || ',"headers":{' ||
+             concat_ws(',', '"Header 1":' || to_json(header_1)::VARCHAR, '"Header 2":' || to_json(header_2)::VARCHAR,
+               '"Header 3":' || to_json(header_3)::VARCHAR) || '}}' AS json
+           FROM chunks""",
+    ),
     "chunk_tokens": _with(
         [
             f"words AS (SELECT doc_id, {TOKENS_LIST} AS ws FROM documents)",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from groundline.functions.cleaning import STEPS, clean_text, clean_through
 from groundline.functions.tokens import squared_norm, vec_head
-from groundline.operators import chunk, embed, index, prompt, search
+from groundline.operators import cells, chunk, embed, index, prompt, search
 from groundline.operators.answer import answer_extractive
 from groundline.operators.nearest import topk
 from groundline.plans import tables as t
@@ -48,7 +48,8 @@ def chunk_json(spark, sf_dir):
 
 
 def chunk_tokens(spark, sf_dir):
-    return chunk.chunk_by_tokens(t.table(spark, sf_dir, "documents"), CHUNK_TOKENS)
+    documents = t.spread(t.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return chunk.chunk_by_tokens(documents, CHUNK_TOKENS)
 
 
 def chunk_paragraph(spark, sf_dir):
@@ -135,7 +136,8 @@ def search_vector(spark, sf_dir):
 
 def search_approx(spark, sf_dir):
     rows = embed.from_vectors(t.table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
-    return search.search_approx(t.label_vectors(spark, sf_dir), rows, DIMENSIONS, CELLS, PROBES)
+    built = cells.build_cells(rows, CELLS, shared_dir(spark, "cells"))
+    return search.search_approx(t.label_vectors(spark, sf_dir), built, PROBES)
 
 
 def topk_hits(spark, sf_dir):
@@ -250,13 +252,13 @@ def page_source(spark, sf_dir):
 
 
 def article_text(spark, sf_dir):
-    found = pages.extract_article(page_source(spark, sf_dir), "article", None, None, nested=False)
+    found = pages.extract_article(t.page_source(spark, sf_dir), "article", None, None, nested=False)
     return found.select("page_id", "url", "text")
 
 
 def article_nested(spark, sf_dir):
     """The first advertisement block, by tag and attribute."""
-    found = pages.extract_article(page_source(spark, sf_dir), "div", "class", "ad")
+    found = pages.extract_article(t.page_source(spark, sf_dir), "div", "class", "ad")
     return found.select("page_id", "url", "text")
 
 
@@ -265,7 +267,7 @@ def nonnull_articles(spark, sf_dir):
 
 
 def html_markdown(spark, sf_dir):
-    return pages.html_to_markdown(page_source(spark, sf_dir))
+    return pages.html_to_markdown(t.page_source(spark, sf_dir))
 
 
 def page_range(spark, sf_dir):

@@ -1,5 +1,7 @@
 """Inputs of the registered queries, derived from the given tables."""
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a small scan out over all cores before row-local work on texts.
+
+    A file of one row group is read by one task whatever the split size. Scans with two or more
+    splits per core, so everything of cluster size, are left as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(2 * cores) if scan.rdd.getNumPartitions() < 2 * cores else scan
+
+
 def marked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marked(table(spark, sf_dir, "documents"))
+    return marked(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,9 +43,13 @@ def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked_documents(spark, sf_dir).transform(clean, "md").transform(chunk_by_heading, "md")
 
 
+def page_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read_pages(spark, f"{sf_dir}/pages.parquet"))
+
+
 def page_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages: article, Markdown, cleaned and cut at headings."""
-    markdown = html_to_markdown(read_pages(spark, f"{sf_dir}/pages.parquet"))
+    markdown = html_to_markdown(page_source(spark, sf_dir))
     return (
         markdown.select(F.col("page_id").alias("doc_id"), "md")
         .transform(clean, "md")
@@ -80,14 +96,14 @@ def sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def old_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yesterday's rows: the documents that have a label."""
     labelled = table(spark, sf_dir, "labels").select("doc_id")
-    documents = table(spark, sf_dir, "documents").join(labelled, "doc_id", "left_semi")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).join(labelled, "doc_id", "left_semi")
     return documents.select(chunk_id(F.col("doc_id"), F.lit(0)).alias("id"), F.col("text").alias("content"))
 
 
 def new_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Today's rows: all documents but the toxic ones; those of good quality got a revision mark."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id", "left")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).join(labels, "doc_id", "left")
     kept = documents.filter(F.coalesce("toxic", F.lit(0)) == 0)
     content = F.when(F.col("quality") == 1, F.concat("text", F.lit(" (revised)"))).otherwise(F.col("text"))
     return kept.select(chunk_id(F.col("doc_id"), F.lit(0)).alias("id"), content.alias("content"))
@@ -95,7 +111,6 @@ def new_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def label_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One query vector per label: the mean of its vectors."""
-    values = table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("pos", "value"))
-    means = values.groupBy("label", "pos").agg(F.avg(F.col("value").cast("double")).alias("mean"))
-    ordered = F.sort_array(F.collect_list(F.struct("pos", "mean")))  # one entry per dimension
-    return means.groupBy(F.col("label").cast("long").alias("qid")).agg(ordered["mean"].alias("vec"))
+    vector = array_to_vector(F.col("embedding").cast("array<double>"))
+    means = table(spark, sf_dir, "embeddings").groupBy("label").agg(Summarizer.mean(vector).alias("mean"))
+    return means.select(F.col("label").cast("long").alias("qid"), vector_to_array("mean").alias("vec"))

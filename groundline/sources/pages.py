@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from groundline.functions import html as H
+from groundline.functions.text import present
 
 PAGE_COLUMNS = ("page_id", "url", "html")
 
@@ -59,7 +60,7 @@ def nonnull_articles(articles: DataFrame) -> DataFrame:
 
     The check stops at the first row found. Nothing is cached: persist the result if it is reused.
     """
-    kept = articles.select("url", "text").filter("text IS NOT NULL")
+    kept = articles.select("url", present(F.col("text")).alias("text"))
     if kept.isEmpty():
         raise ValueError("no article text found; check the sitemap and the crawl")
     return kept
@@ -70,7 +71,6 @@ def html_to_markdown(pages: DataFrame, tag: str = "article") -> DataFrame:
     article = H.flat_element(F.col("html"), tag)
     return (
         pages.filter(F.col("html").isNotNull())
-        .select("page_id", article.alias("article"))
-        .filter(F.col("article").isNotNull())
+        .select("page_id", present(article).alias("article"))
         .select("page_id", H.to_markdown(F.col("article")).alias("md"))
     )

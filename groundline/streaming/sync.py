@@ -14,9 +14,7 @@ def sync_stream(
     """One triggered run over parquet change files. A batch that is replayed changes nothing."""
 
     def upsert(batch, batch_id):
-        batch.persist()
         apply_changes(batch, root, embedder, batch_id)
-        batch.unpersist()
 
     changes = spark.readStream.schema(CHANGE_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(changes_dir)
     query = (
