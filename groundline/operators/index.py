@@ -1,24 +1,28 @@
 """The vector index: a table derived from the chunk table, kept in step by changed parts.
 
 Layout under a root folder: `data/v=<version>/part=<n>/` holds rows, `versions/` is an append-only
-log with one row per part that a version wrote. A version is written in full before its log rows are
-appended, so readers never see half of it, and a failed attempt is overwritten by the next one.
-`schema/` holds tables without rows, for an index that has none; `changes/` what a version changed.
-Only parts with changes are rewritten; readers take each part from the newest version that has it.
+log with one row per part that a version wrote, `changes/v=<version>/` what a version changed. A
+version is written in full before its log rows are appended, so readers never see half of it, and a
+failed attempt is overwritten by the next one. Only parts with changes are rewritten; readers take
+each part from the newest version that has it.
 """
 
+import json
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from groundline.operators.embed import Embedder, embed
 from groundline.sources.chunk_table import CHUNKS_PER_DOCUMENT
 
 PARTS = 16
 BROADCAST_IDS = 1_000_000  # changed ids sent to every task: 8 MB of values
-LOG_SCHEMA = "version INT, part INT, n_rows BIGINT, n_parts INT, embedder_id STRING, batch_id BIGINT"
+LOG_SCHEMA = (
+    "version INT, part INT, n_rows BIGINT, n_parts INT, embedder_id STRING, row_schema STRING, batch_id BIGINT"
+)
 
 
 def _part(n_parts: int) -> Column:
@@ -26,17 +30,20 @@ def _part(n_parts: int) -> Column:
     return F.pmod(F.xxhash64(F.floor(F.col("id") / CHUNKS_PER_DOCUMENT)), F.lit(n_parts)).cast("int")
 
 
-def _log(spark: SparkSession, root: str) -> DataFrame:
+def _state(spark: SparkSession, root: str) -> list:
+    """The newest log row of every part, with `last_batch`; empty if there is no index."""
+    newest = F.max_by(F.struct("version", "n_rows", "n_parts", "embedder_id", "row_schema"), "version").alias("at")
     try:
-        return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/versions")
+        log = spark.read.schema(LOG_SCHEMA).parquet(f"{root}/versions")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LOG_SCHEMA)
+        return []
+    return log.groupBy("part").agg(newest, F.max("batch_id").alias("last_batch")).select("part", "at.*", "last_batch").collect()
 
 
 def index_exists(spark: SparkSession, root: str) -> bool:
-    return not _log(spark, root).isEmpty()
+    return bool(_state(spark, root))
 
 
 @dataclass(frozen=True)
@@ -45,36 +52,38 @@ class VectorIndex:
     root: str
     embedder: Embedder
 
-    def _current(self):
-        """Newest log row of each part (as many rows as parts)."""
-        newest = F.max_by(F.struct("version", "n_rows", "n_parts", "embedder_id"), "version").alias("at")
-        return _log(self.spark, self.root).groupBy("part").agg(newest).select("part", "at.*").collect()
-
-    def rows(self, parts=None) -> DataFrame:
+    def rows(self) -> DataFrame:
         """The rows of the current version: `(id, content, content_md5, .., vec)`."""
-        current = self._current()
-        if not current:
+        return self._read(self._checked_state())
+
+    def _checked_state(self) -> list:
+        state = _state(self.spark, self.root)
+        if not state:
             raise ValueError(f"no index at {self.root}")
-        stored = {r.embedder_id for r in current}
+        stored = {r.embedder_id for r in state}
         if stored != {self.embedder.embedder_id}:
             raise ValueError(f"index at {self.root} was embedded by {stored}, not {self.embedder.embedder_id}")
-        data = f"{self.root}/data"
-        live = [r for r in current if r.n_rows and (parts is None or r.part in parts)]
+        return state
+
+    def _read(self, state, parts=None) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(max(state, key=lambda r: r.version).row_schema))
+        live = [r for r in state if r.n_rows and (parts is None or r.part in parts)]
         if not live:
-            return self.spark.read.parquet(f"{self.root}/schema/v={max(r.version for r in current)}")
+            return self.spark.createDataFrame([], schema)
+        data = f"{self.root}/data"
         paths = [f"{data}/v={r.version}/part={r.part}" for r in live]
-        return self.spark.read.option("basePath", data).parquet(*paths).drop("v", "part")
+        return self.spark.read.schema(schema).option("basePath", data).parquet(*paths).drop("v", "part")
 
 
 def open_index(spark: SparkSession, root: str, embedder: Embedder) -> VectorIndex:
     """An existing index; raises if it was embedded by another embedder."""
     index = VectorIndex(spark, root, embedder)
-    index.rows()
+    index._checked_state()
     return index
 
 
-def _next_version(index: VectorIndex) -> int:
-    return (_log(index.spark, index.root).agg(F.max("version")).first()[0] or 0) + 1
+def _last_version(state) -> int:
+    return max((r.version for r in state), default=0)
 
 
 def _commit(
@@ -83,12 +92,12 @@ def _commit(
     spark, root = index.spark, index.root
     folder = f"{root}/data/v={version}"
     placed = rows.withColumn("part", _part(n_parts))
-    spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(f"{root}/schema/v={version}")
     # one shuffle into even files per part; adaptive execution splits a large part over tasks
     placed.hint("rebalance", F.col("part")).write.mode("overwrite").partitionBy("part").parquet(folder)
-    written = spark.read.schema(placed.select("id", "part").schema).parquet(folder)
+    written = spark.read.schema("id BIGINT, part INT").parquet(folder)
     counts = {r.part: r["count"] for r in written.groupBy("part").count().collect()}
-    entries = [(version, p, counts.get(p, 0), n_parts, index.embedder.embedder_id, batch_id) for p in sorted(parts)]
+    about = (n_parts, index.embedder.embedder_id, rows.schema.json(), batch_id)
+    entries = [(version, part, counts.get(part, 0), *about) for part in sorted(parts)]
     spark.createDataFrame(entries, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/versions")
 
 
@@ -100,7 +109,8 @@ def _embedded(chunks: DataFrame, embedder: Embedder) -> DataFrame:
 def build_index(chunks: DataFrame, root: str, embedder: Embedder, n_parts: int = PARTS) -> VectorIndex:
     """Embed `content` of all `chunks(id, content, ..)` and write it as a new version."""
     index = VectorIndex(chunks.sparkSession, root, embedder)
-    _commit(_embedded(chunks, embedder), index, _next_version(index), range(n_parts), n_parts)
+    version = _last_version(_state(index.spark, root)) + 1
+    _commit(_embedded(chunks, embedder), index, version, range(n_parts), n_parts)
     return index
 
 
@@ -119,53 +129,54 @@ def index_diff(chunks: DataFrame, indexed: DataFrame) -> DataFrame:
     return new.join(old, "id", "full_outer").select("id", op.alias("op")).filter("op IS NOT NULL")
 
 
-def _replace(index: VectorIndex, changes: DataFrame, upserts, batch_id: int | None = None) -> None:
+def _replace(index: VectorIndex, state, changes: DataFrame, upserts, batch_id: int | None = None) -> None:
     """New version of the touched parts: rows without changes, plus the embedded upserts.
 
     `changes(id, op, ..)` are computed once and written, as they are read three times;
     `upserts(changes)` gives the chunks to embed.
     """
-    spark, version = index.spark, _next_version(index)
+    version, n_parts = _last_version(state) + 1, state[0].n_parts
     path = f"{index.root}/changes/v={version}"
     changes.write.mode("overwrite").parquet(path)
-    changes = spark.read.parquet(path)
-    n_parts = _log(spark, index.root).agg(F.max("n_parts")).first()[0]
-    touched = [r.part for r in changes.select(_part(n_parts).alias("part")).distinct().collect()]
-    if not touched:
+    changes = index.spark.read.schema(changes.schema).parquet(path)
+    counts = {r.part: r["count"] for r in changes.groupBy(_part(n_parts).alias("part")).count().collect()}
+    if not counts:
         return
     changed_ids = changes.select("id")
-    if changes.count() <= BROADCAST_IDS:
+    if sum(counts.values()) <= BROADCAST_IDS:
         changed_ids = F.broadcast(changed_ids)
-    kept = index.rows(touched).join(changed_ids, "id", "left_anti")
+    kept = index._read(state, counts).join(changed_ids, "id", "left_anti")
     added = _embedded(upserts(changes.filter("op <> 'delete'")), index.embedder)
-    _commit(kept.unionByName(added, allowMissingColumns=True), index, version, touched, n_parts, batch_id)
+    _commit(kept.unionByName(added, allowMissingColumns=True), index, version, counts, n_parts, batch_id)
 
 
 def sync_index(chunks: DataFrame, root: str, embedder: Embedder, n_parts: int = PARTS) -> VectorIndex:
     """Bring the index in step with the chunk table; only changed chunks are embedded again."""
-    spark = chunks.sparkSession
-    if not index_exists(spark, root):
+    index = VectorIndex(chunks.sparkSession, root, embedder)
+    if not index_exists(index.spark, root):
         return build_index(chunks, root, embedder, n_parts)
-    index = VectorIndex(spark, root, embedder)
-    changes = index_diff(chunks, index.rows())
-    _replace(index, changes, lambda changed: chunks.join(changed.select("id"), "id", "left_semi"))
+    state = index._checked_state()
+    changes = index_diff(chunks, index._read(state))
+    _replace(index, state, changes, lambda changed: chunks.join(changed.select("id"), "id", "left_semi"))
     return index
 
 
 def apply_changes(changes: DataFrame, root: str, embedder: Embedder, batch_id: int | None = None) -> VectorIndex:
     """Apply a change feed `(seq, op, id, content)`; the newest change of an id wins.
 
-    Creates the index if it is missing. A `batch_id` that is in the log already is not applied again.
+    Creates the index if it is missing. Batches are numbered upwards; a `batch_id` that is not above
+    those in the log was applied before and is left out.
     """
-    spark = changes.sparkSession
-    if batch_id is not None and not _log(spark, root).filter(F.col("batch_id") == batch_id).isEmpty():
-        return VectorIndex(spark, root, embedder)
-    if not index_exists(spark, root):
+    index = VectorIndex(changes.sparkSession, root, embedder)
+    if not index_exists(index.spark, root):
         build_index(changes.select("id", "content").limit(0), root, embedder)
+    state = index._checked_state()
+    applied = max((r.last_batch for r in state if r.last_batch is not None), default=-1)
+    if batch_id is not None and batch_id <= applied:
+        return index
     # partial aggregation keeps one row per id and task before the shuffle, also for a hot id
     newest = changes.groupBy("id").agg(F.max_by(F.struct("op", "content"), "seq").alias("at")).select("id", "at.*")
-    index = VectorIndex(spark, root, embedder)
-    _replace(index, newest, lambda changed: changed.select("id", "content"), batch_id)
+    _replace(index, state, newest, lambda changed: changed.select("id", "content"), batch_id)
     return index
 
 
