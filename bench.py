@@ -22,7 +22,7 @@ CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
 HEADLINES = (
     "clean_all chunk_heading chunk_tokens chunk_paragraph chunk_table embed_terms index_build index_diff index_sync "
     "index_sync_stream search_text search_vector search_approx retrieve rag_prompts answers_extractive "
-    "answer_stream history_prompts html_markdown article_text article_nested sitemap_urls data_array payload_rows"
+    "answer_stream history_prompts chat_prompts html_markdown article_text article_nested sitemap_urls data_array payload_rows"
 ).split()
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 MAX_MATRIX_VALUES = 2_000_000  # query values sent to every task: 16 MB as doubles
+MAX_QUERIES = 10_000  # and no more queries than this, which bounds the hits too
 BLOCK_ROWS = 50_000  # rows or queries in one block of the blocked plan
 QUERY_SLICE = 256  # queries scored at a time, which bounds the score matrix of a batch
 
@@ -180,7 +181,7 @@ def nearest(
     index = index.filter("vec IS NOT NULL").select("id", "vec", *(["cell"] if with_cells else []))
     schema = f"qid {queries.schema['qid'].dataType.simpleString()}, id bigint, score double"
 
-    max_queries = max(1, max_matrix_values // dim)
+    max_queries = min(MAX_QUERIES, max(1, max_matrix_values // dim))
     local = queries.limit(max_queries + 1).toArrow().combine_chunks()
     if local.num_rows > max_queries:
         if with_cells:

@@ -10,6 +10,7 @@ from groundline.functions.text import WHITESPACE
 from groundline.operators.answer import NO_ANSWER
 from groundline.operators.prompt import CONTEXT_SEPARATOR, HISTORY_ANSWER, HISTORY_INTRO, SAMPLE_QUESTIONS, TEMPLATE
 from groundline.plans.queries import CHUNK_TOKENS, DIMENSIONS
+from groundline.plans.tables import EXTRA
 
 # The whitespace set as an RE2 class body.
 SPACES = (
@@ -226,6 +227,14 @@ def _extractive() -> list[str]:
     ]
 
 
+PROMPT = _template(f"coalesce(array_to_string(contents, {lit(CONTEXT_SEPARATOR)}), '')", "query")
+HISTORY = [
+    """turns AS (SELECT *, lag(text, 2) OVER w AS q, lag(text, 1) OVER w AS a, row_number() OVER w AS n
+         FROM conversations WHERE role <> 'system' WINDOW w AS (PARTITION BY conv_id ORDER BY turn))""",
+    f"""history AS (SELECT conv_id, turn, text || '. {EXTRA}.' || CASE WHEN n > 2
+          THEN {lit(' ' + HISTORY_INTRO)} || q || {lit(HISTORY_ANSWER)} || a ELSE '' END AS query
+        FROM turns WHERE role = 'user')""",
+]
 ANSWERS = [*DOCUMENT_SEARCH, CONTEXTS, *_extractive()]
 SYNCED = _with(
     [*SNAPSHOTS, _terms("dterms", "id", "content", "new"), _norms("norms", "id", "dterms")], INDEX_SUMMARY.format("new")
@@ -235,8 +244,7 @@ TOKENS_LIST = f"list_filter(regexp_split_to_array(text, {lit('[' + SPACES + ']+'
 ORACLES = {
     "rag_prompts": _with(
         [*PAGE_CHUNKS, QUESTIONS, *SEARCH, CONTEXTS],
-        f"""SELECT qid, {_template(f"coalesce(array_to_string(contents, {lit(CONTEXT_SEPARATOR)}), '')", "query")} AS prompt
-            FROM questions LEFT JOIN contexts USING (qid)""",
+        f"SELECT qid, {PROMPT} AS prompt FROM questions LEFT JOIN contexts USING (qid)",
     ),
     **{f"clean_t{n:02d}": _clean_query(n) for n in range(1, len(CLEAN) + 1)},
     "clean_all": _with(DOCUMENT_TEXT, "SELECT doc_id, x AS text FROM cleaned"),
@@ -326,14 +334,11 @@ ORACLES = {
     "question_set": _with(
         [*DOCUMENT_CHUNKS, ALL_QUESTIONS, *SEARCH], "SELECT qid, rank::INT AS rank, id, score FROM hits"
     ),
-    "history_prompts": _with(
-        [
-            """turns AS (SELECT *, lag(text, 2) OVER w AS q, lag(text, 1) OVER w AS a, row_number() OVER w AS n
-                 FROM conversations WHERE role <> 'system' WINDOW w AS (PARTITION BY conv_id ORDER BY turn))"""
-        ],
-        f"""SELECT conv_id, turn, text || '. Answer briefly.' || CASE WHEN n > 2
-              THEN {lit(' ' + HISTORY_INTRO)} || q || {lit(HISTORY_ANSWER)} || a ELSE '' END AS query
-            FROM turns WHERE role = 'user'""",
+    "history_prompts": _with(HISTORY, "SELECT conv_id, turn, query FROM history"),
+    "chat_prompts": _with(
+        [*DOCUMENT_CHUNKS, *HISTORY, "questions AS (SELECT {conv_id: conv_id, turn: turn} AS qid, query FROM history)",
+         *SEARCH, CONTEXTS],
+        f"SELECT qid.conv_id AS conv_id, qid.turn AS turn, {PROMPT} AS prompt FROM questions LEFT JOIN contexts USING (qid)",
     ),
     "answers_extractive": _with(ANSWERS, "SELECT qid, answer FROM answers"),
     "first_prediction": "SELECT conv_id, turn, text AS answer FROM conversations WHERE role = 'assistant'",

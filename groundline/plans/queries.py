@@ -183,7 +183,14 @@ def question_set(spark, sf_dir):
 
 
 def history_prompts(spark, sf_dir):
-    return prompt.with_history(t.table(spark, sf_dir, "conversations"), "Answer briefly")
+    return t.chat_questions(spark, sf_dir).select("qid.conv_id", "qid.turn", "query")
+
+
+def chat_prompts(spark, sf_dir):
+    """All turns of all conversations: add history, retrieve, fill in."""
+    found = t.chunk_index(spark, sf_dir, t.document_chunks)
+    filled = prompt.prompts(search.retrieve(t.chat_questions(spark, sf_dir), found))
+    return filled.select("qid.conv_id", "qid.turn", "prompt")
 
 
 def answers_extractive(spark, sf_dir):
@@ -300,6 +307,7 @@ QUERIES = {
     "fill_template": fill_template,
     "question_set": question_set,
     "history_prompts": history_prompts,
+    "chat_prompts": chat_prompts,
     "answers_extractive": answers_extractive,
     "first_prediction": first_prediction,
     "answer_stream": answer_stream_rows,

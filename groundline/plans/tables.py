@@ -9,12 +9,14 @@ from groundline.functions.cleaning import clean
 from groundline.operators.chunk import chunk_by_heading
 from groundline.operators.embed import hashing_embedder
 from groundline.operators.index import VectorIndex, build_index
+from groundline.operators.prompt import with_history
 from groundline.session import shared_dir
 from groundline.sources.chunk_table import chunk_id, with_chunk_id
 from groundline.sources.documents import marked
 from groundline.sources.pages import html_to_markdown, read_pages
 
 EMBEDDER = hashing_embedder()
+EXTRA = "Answer briefly"
 SITEMAP_URLS = 1000
 
 _built: dict[tuple, VectorIndex] = {}
@@ -27,11 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(scan: DataFrame) -> DataFrame:
     """Deal the rows of a small scan out over all cores before row-local work on texts.
 
-    A file of one row group is read by one task whatever the split size. Scans with two or more
-    splits per core, so everything of cluster size, are left as they are.
+    A file of one row group is read by one task whatever the split size. Scans with more splits than
+    there are cores, so everything of cluster size, are left as they are.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(2 * cores) if scan.rdd.getNumPartitions() < 2 * cores else scan
+    return scan.repartition(2 * cores) if scan.rdd.getNumPartitions() <= cores else scan
 
 
 def marked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +77,12 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("query"))
 
 
+def chat_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user turn with its history, as a question whose id is its conversation and turn."""
+    turns = with_history(table(spark, sf_dir, "conversations"), EXTRA)
+    return turns.select(F.struct("conv_id", "turn").alias("qid"), "query")
+
+
 def sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sitemap files `(sitemap_id, xml)` of up to 1000 page URLs each."""
     escaped = F.col("url")

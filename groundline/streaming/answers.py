@@ -13,7 +13,7 @@ REQUEST_SCHEMA = "request_id BIGINT, payload STRING"
 
 def answer_requests(requests: DataFrame, index: VectorIndex, k: int = RESULTS, respond=answer_extractive) -> DataFrame:
     """`(request_id, pos, query, answer)` for the questions in `(request_id, payload)` rows."""
-    asked = decode_payload(requests).withColumn("qid", F.struct("request_id", "pos").cast("string"))
+    asked = decode_payload(requests).withColumn("qid", F.struct("request_id", "pos"))
     questions = asked.select("qid", "query")
     answers = respond(retrieve(questions, index, k))
     return asked.join(answers, "qid").select("request_id", "pos", "query", "answer")
