@@ -135,18 +135,20 @@ def _replace(index: VectorIndex, state, changes: DataFrame, upserts, batch_id: i
     `changes(id, op, ..)` are computed once and written, as they are read three times;
     `upserts(changes)` gives the chunks to embed.
     """
-    version, n_parts = _last_version(state) + 1, state[0].n_parts
+    version, n_parts = _last_version(state) + 1, state[0].n_parts if state else PARTS
     path = f"{index.root}/changes/v={version}"
     changes.write.mode("overwrite").parquet(path)
     changes = index.spark.read.schema(changes.schema).parquet(path)
     counts = {r.part: r["count"] for r in changes.groupBy(_part(n_parts).alias("part")).count().collect()}
     if not counts:
         return
+    added = _embedded(upserts(changes.filter("op <> 'delete'")), index.embedder)
+    if not state:
+        return _commit(added, index, version, range(n_parts), n_parts, batch_id)
     changed_ids = changes.select("id")
     if sum(counts.values()) <= BROADCAST_IDS:
         changed_ids = F.broadcast(changed_ids)
     kept = index._read(state, counts).join(changed_ids, "id", "left_anti")
-    added = _embedded(upserts(changes.filter("op <> 'delete'")), index.embedder)
     _commit(kept.unionByName(added, allowMissingColumns=True), index, version, counts, n_parts, batch_id)
 
 
@@ -168,9 +170,7 @@ def apply_changes(changes: DataFrame, root: str, embedder: Embedder, batch_id: i
     those in the log was applied before and is left out.
     """
     index = VectorIndex(changes.sparkSession, root, embedder)
-    if not index_exists(index.spark, root):
-        build_index(changes.select("id", "content").limit(0), root, embedder)
-    state = index._checked_state()
+    state = index._checked_state() if index_exists(index.spark, root) else []
     applied = max((r.last_batch for r in state if r.last_batch is not None), default=-1)
     if batch_id is not None and batch_id <= applied:
         return index

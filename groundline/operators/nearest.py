@@ -26,6 +26,8 @@ MAX_MATRIX_VALUES = 2_000_000  # query values sent to every task: 16 MB as doubl
 MAX_QUERIES = 10_000  # and no more queries than this, which bounds the hits too
 BLOCK_ROWS = 50_000  # rows or queries in one block of the blocked plan
 QUERY_SLICE = 256  # queries scored at a time, which bounds the score matrix of a batch
+ROW_SLICE = 10_000  # rows of a block scored at a time, likewise
+SLACK = 2e-6  # covers the rounding of scores to 6 places
 
 
 class Hits(NamedTuple):
@@ -57,38 +59,56 @@ def _norms(matrix: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", matrix, matrix)
 
 
-def _select(scores: np.ndarray, k: int):
-    """Positions of the k best rows per column; rows must be in id order, so ties go to low ids."""
-    n = len(scores)
-    if n > k:
-        kth = np.partition(scores, n - k, axis=0)[n - k]
-        above, level = scores > kth, scores == kth
-        room = k - above.sum(axis=0)
-        keep = above | (level & (np.cumsum(level, axis=0) <= room))
-    else:
-        keep = np.ones(scores.shape, dtype=bool)
-    return np.nonzero(keep & np.isfinite(scores))
-
-
 def _empty():
     return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
 
 
-def _score(ids, rows, queries, wanted, k, positive_only):
-    """Best rows for the `wanted` queries: arrays (query position, id, score)."""
-    order = np.argsort(ids, kind="stable")
-    ids, rows = ids[order], rows[order]
+def _rounded(scores: np.ndarray) -> np.ndarray:
+    """To 6 places, halves away from zero as SQL rounds them."""
+    return np.copysign(np.floor(np.abs(scores) * 1e6 + 0.5) / 1e6, scores)
+
+
+def _worst(best, n_queries, k):
+    """Score and id of each query's k-th hit so far; below everything while it has fewer."""
+    query, ids, score = best
+    counts = np.bincount(query, minlength=n_queries)
+    at = np.cumsum(counts) - 1
+    floor_score, floor_id = np.full(n_queries, -np.inf), np.full(n_queries, np.iinfo(np.int64).max)
+    full = counts == k
+    floor_score[full], floor_id[full] = score[at[full]], ids[at[full]]
+    return floor_score, floor_id
+
+
+def _score(ids, rows, queries, wanted, best, k, positive_only):
+    """Rows that may enter the hits of the `wanted` queries: arrays (query position, id, score).
+
+    One product and one comparison run over all pairs; scores are worked out for the few pairs that
+    pass. The comparison is looser than the rounding of scores, so no hit is lost to it.
+    """
+    floor_score, floor_id = _worst(best, len(queries), k)
     row_norms = _norms(rows)
+    inverse = np.divide(1.0, np.sqrt(row_norms), out=np.zeros(len(rows)), where=row_norms > 0)[:, None]
     parts = [_empty()]
     for start in range(0, len(wanted), QUERY_SLICE):
         part = wanted[start : start + QUERY_SLICE]
-        chosen = queries[part]
-        lengths = np.sqrt(row_norms[:, None] * _norms(chosen)[None, :])
-        scores = np.round(np.divide(rows @ chosen.T, lengths, out=np.zeros(lengths.shape), where=lengths > 0), 6)
+        norms = _norms(queries[part])
+        dots = rows @ queries[part].T
+        scaled = dots * inverse  # score times length of the query
+        fresh = floor_score[part] == -np.inf
+        bound = np.where(fresh, 0, floor_score[part]) * np.sqrt(norms)
+        if fresh.any():
+            bound[fresh] = -np.inf
+            if len(rows) > k:
+                bound[fresh] = np.partition(scaled[:, fresh], len(rows) - k, axis=0)[len(rows) - k]
+        passes = scaled >= bound - SLACK * np.sqrt(norms)
         if positive_only:
-            scores[scores <= 0] = -np.inf
-        at_row, at_query = _select(scores, k)
-        parts.append((part[at_query], ids[at_row], scores[at_row, at_query]))
+            passes &= dots > 0
+        at_row, at_query = np.nonzero(passes)
+        lengths = np.sqrt(row_norms[at_row] * norms[at_query])
+        scores = np.divide(dots[at_row, at_query], lengths, out=np.zeros(len(lengths)), where=lengths > 0)
+        query, row_ids, scores = part[at_query], ids[at_row], _rounded(scores)
+        enters = (scores > floor_score[query]) | ((scores == floor_score[query]) & (row_ids < floor_id[query]))
+        parts.append((query[enters], row_ids[enters], scores[enters]))
     return tuple(np.concatenate(column) for column in zip(*parts))
 
 
@@ -119,7 +139,7 @@ def _scan(qids, queries, probes, dim, k, positive_only):
                 cells = batch.column("cell").to_numpy()
                 groups = [(cells == c, probes[c]) for c in np.unique(cells) if c in probes]
             for at, wanted in groups:
-                best = _merge(best, _score(ids[at], rows[at], queries, wanted, k, positive_only), k)
+                best = _merge(best, _score(ids[at], rows[at], queries, wanted, best, k, positive_only), k)
         query, ids, score = best
         yield pa.RecordBatch.from_arrays([qids.take(pa.array(query)), pa.array(ids), pa.array(score)], ["qid", "id", "score"])
 
@@ -130,12 +150,14 @@ def _score_blocks(dim, k, positive_only):
     """Group function of the second plan: one block of queries against one block of rows."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        query, ids, score = _empty()
-        if left.num_rows and right.num_rows:
+        best = _empty()
+        if left.num_rows:
             queries = _matrix(left.column("vec").combine_chunks(), dim)
-            rows = _matrix(right.column("vec").combine_chunks(), dim)
             every = np.arange(len(queries))
-            query, ids, score = _score(right.column("id").to_numpy(), rows, queries, every, k, positive_only)
+            for batch in right.to_batches(max_chunksize=ROW_SLICE):
+                ids, rows = batch.column("id").to_numpy(), _matrix(batch.column("vec"), dim)
+                best = _merge(best, _score(ids, rows, queries, every, best, k, positive_only), k)
+        query, ids, score = best
         qids = left.column("qid").combine_chunks()
         return pa.table({"qid": qids.take(pa.array(query)), "id": pa.array(ids), "score": pa.array(score)})
 

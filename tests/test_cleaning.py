@@ -1,10 +1,14 @@
+import random
 import time
 
+import duckdb
+import pandas as pd
 import pytest
 
 from pyspark.sql import functions as F
 
 from groundline.functions import cleaning as c
+from groundline.plans.oracle import _clean_ctes
 
 
 def run(spark, fn, text):
@@ -90,3 +94,25 @@ def test_long_runs_take_linear_time(spark, name):
     start = time.time()
     run(spark, c.clean_text, HOSTILE[name])
     assert time.time() - start < 10
+
+
+PIECES = [
+    "#", "##", "####", "-", "- ", "-----", "\n", "\n\n", "\r", " ", "  ", "\t", "\x01", "\x1c", "\x85", "\u3000", "\u00ad",
+    "1. ", "12) ", "٣) ", "[3)]", "[", "]", "*", "(", ")", ",", "C", "C #", "표 1", "표 ٢", "|", "※", "□", "ㅇ", "→", "’", "☞",
+    "▲", "「", "」", "syntax error", "word", "가나", "é", "7",
+]
+
+
+def test_random_texts_equal_sql(spark):
+    """Every step, and the chain, on random mixtures of what the steps look for."""
+    rng = random.Random(11)
+    rows = [(i, "".join(rng.choices(PIECES, k=rng.randint(1, 40)))) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id INT, md STRING").cache()
+    connection = duckdb.connect()
+    connection.register("random_texts", pd.DataFrame(rows, columns=["doc_id", "md"]))
+    for last in (1, 5, 8, 12, 16, 17, 18, 20, len(c.STEPS)):
+        got = {r[0]: r[1] for r in df.select("doc_id", c.clean_through(F.col("md"), last)).collect()}
+        ctes = ", ".join(_clean_ctes("random_texts", last))
+        expected = dict(connection.execute(f"WITH {ctes} SELECT doc_id, x FROM cleaned").fetchall())
+        wrong = [(dict(rows)[i], got[i], expected[i]) for i in got if got[i] != expected[i]]
+        assert not wrong, wrong[:3]
