@@ -2,7 +2,7 @@
 
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -111,14 +111,14 @@ def nested_element(html: Column, tag: str, attr: str | None = None, value: str |
     element that is never closed reaches to the end of the page.
     """
 
-    @F.pandas_udf("string")
-    def extract(pages: pd.Series) -> pd.Series:
+    @F.arrow_udf("string")
+    def extract(pages: pa.Array) -> pa.Array:
         def one(page):
             if not page:
                 return None
             found = _FirstElement(page, tag, attr, value)
             return None if found.start is None else page[found.start : found.end].strip()
 
-        return pages.map(one, na_action="ignore")
+        return pa.array([one(page) for page in pages.to_pylist()], pa.string())
 
     return extract(html)

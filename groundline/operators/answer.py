@@ -2,7 +2,7 @@
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,10 +40,10 @@ def answer(prompts: DataFrame, load: Callable[[dict], Callable[[list], list]], p
     """`(qid, answer)` by a model: `load(params)` runs once per task, then maps prompts to answers."""
     settings = {**GENERATION, **(params or {})}
 
-    @F.pandas_udf("string")
-    def generate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def generate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load(settings)
         for batch in batches:
-            yield pd.Series(list(model(batch.tolist())), index=batch.index)
+            yield pa.array(list(model(batch.to_pylist())), pa.string())
 
     return prompts.select("qid", generate("prompt").alias("answer"))

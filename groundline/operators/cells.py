@@ -3,7 +3,8 @@
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -53,9 +54,11 @@ def probe_cells(queries: DataFrame, centres: np.ndarray, n_probe: int) -> DataFr
     """Add `cells`: the `n_probe` cells whose centres are nearest to the query vector."""
     unit = centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
 
-    @F.pandas_udf("array<int>")
-    def probe(vectors: pd.Series) -> pd.Series:
-        scores = np.stack(vectors.to_list()) @ unit.T
-        return pd.Series(list(np.argsort(-scores, axis=1, kind="stable")[:, :n_probe].astype(np.int32)))
+    @F.arrow_udf("array<int>")
+    def probe(vectors: pa.Array) -> pa.Array:
+        values = pc.list_flatten(vectors).to_numpy(zero_copy_only=False)
+        scores = values.reshape(len(vectors), unit.shape[1]) @ unit.T
+        nearest = np.argsort(-scores, axis=1, kind="stable")[:, :n_probe]
+        return pa.array(nearest.astype(np.int32).tolist(), pa.list_(pa.int32()))
 
-    return queries.withColumn("cells", probe("vec"))
+    return queries.filter("vec IS NOT NULL").withColumn("cells", probe("vec"))

@@ -3,7 +3,7 @@
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,11 +29,11 @@ def model_embedder(embedder_id: str, dim: int, load: Callable[[], Callable[[list
     """Wrap a model: `load()` runs once per task and returns a function from texts to vectors."""
 
     def vector(text: Column) -> Column:
-        @F.pandas_udf("array<float>")
-        def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("array<float>")
+        def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             model = load()
             for batch in batches:
-                yield pd.Series(list(model(batch.tolist())), index=batch.index)
+                yield pa.array([list(v) for v in model(batch.to_pylist())], pa.list_(pa.float32()))
 
         return score(text)
 
