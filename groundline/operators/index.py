@@ -4,7 +4,7 @@ Layout under a root folder: `data/v=<version>/part=<n>/` holds rows, `versions/`
 log with one row per part that a version wrote, `changes/v=<version>/` what a version changed. A
 version is written in full before its log rows are appended, so readers never see half of it, and a
 failed attempt is overwritten by the next one. Only parts with changes are rewritten; readers take
-each part from the newest version that has it.
+each part from the newest version that has it. One writer at a time.
 """
 
 import json
@@ -27,7 +27,7 @@ LOG_SCHEMA = (
 
 def _part(n_parts: int) -> Column:
     """All chunks of a document share a part."""
-    return F.pmod(F.xxhash64(F.floor(F.col("id") / CHUNKS_PER_DOCUMENT)), F.lit(n_parts)).cast("int")
+    return F.pmod(F.xxhash64(F.expr(f"id DIV {CHUNKS_PER_DOCUMENT}")), F.lit(n_parts)).cast("int")
 
 
 def _state(spark: SparkSession, root: str) -> list:

@@ -227,6 +227,7 @@ def _extractive() -> list[str]:
     ]
 
 
+PAGE_ANSWERS = [*PAGE_CHUNKS, QUESTIONS, *SEARCH, CONTEXTS]
 PROMPT = _template(f"coalesce(array_to_string(contents, {lit(CONTEXT_SEPARATOR)}), '')", "query")
 HISTORY = [
     """turns AS (SELECT *, lag(text, 2) OVER w AS q, lag(text, 1) OVER w AS a, row_number() OVER w AS n
@@ -242,9 +243,15 @@ SYNCED = _with(
 TOKENS_LIST = f"list_filter(regexp_split_to_array(text, {lit('[' + SPACES + ']+')}), lambda w: w <> '')"
 
 ORACLES = {
-    "rag_prompts": _with(
-        [*PAGE_CHUNKS, QUESTIONS, *SEARCH, CONTEXTS],
-        f"SELECT qid, {PROMPT} AS prompt FROM questions LEFT JOIN contexts USING (qid)",
+    "rag_prompts": _with(PAGE_ANSWERS, f"SELECT qid, {PROMPT} AS prompt FROM questions LEFT JOIN contexts USING (qid)"),
+    "answers_model": _with(
+        PAGE_ANSWERS,
+        f"SELECT qid, length({PROMPT})::VARCHAR || ' of 1500' AS answer FROM questions LEFT JOIN contexts USING (qid)",
+    ),
+    "embed_model": _with(
+        DOCUMENT_CHUNKS,
+        """SELECT id, length(content)::DOUBLE AS v1, (length(content) - length(replace(content, ' ', '')))::DOUBLE AS v2,
+             (length(content) - length(replace(content, 'e', '')))::DOUBLE AS v3 FROM indexed""",
     ),
     **{f"clean_t{n:02d}": _clean_query(n) for n in range(1, len(CLEAN) + 1)},
     "clean_all": _with(DOCUMENT_TEXT, "SELECT doc_id, x AS text FROM cleaned"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from groundline.functions.cleaning import STEPS, clean_text, clean_through
 from groundline.functions.tokens import squared_norm, vec_head
 from groundline.operators import cells, chunk, embed, index, prompt, search
-from groundline.operators.answer import answer_extractive
+from groundline.operators.answer import answer, answer_extractive
 from groundline.operators.nearest import topk
 from groundline.plans import tables as t
 from groundline.session import shared_dir
@@ -83,6 +83,18 @@ def embed_query_terms(spark, sf_dir):
     return embed.term_rows(embed.embed_queries(t.questions(spark, sf_dir), t.EMBEDDER), "qid")
 
 
+def _load_letter_counts():
+    """Stands in for a model: a text's length and its numbers of spaces and of the letter e."""
+    return lambda texts: [(len(text), text.count(" "), text.count("e")) for text in texts]
+
+
+def embed_model(spark, sf_dir):
+    """The plug for models over all chunks, with a stand-in whose vectors SQL can check."""
+    chunks = t.index_rows(t.document_chunks(spark, sf_dir))
+    embedded = embed.embed(chunks, "content", embed.model_embedder("letter-counts", 3, _load_letter_counts))
+    return embedded.select("id", *[F.col("vec")[i].cast("double").alias(f"v{i + 1}") for i in range(3)])
+
+
 def vector_head(spark, sf_dir):
     vectors = embed.from_vectors(t.table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     head = vectors.select("id", vec_head(F.col("vec"), 5).alias("head"))
@@ -198,6 +210,16 @@ def answers_extractive(spark, sf_dir):
     return answer_extractive(search.retrieve(t.questions(spark, sf_dir), found))
 
 
+def _load_prompt_lengths(params):
+    """Stands in for a model: says how long the prompt is and what answer length it may use."""
+    return lambda prompts: [f"{len(text)} of {params['max_tokens']}" for text in prompts]
+
+
+def answers_model(spark, sf_dir):
+    """The plug for models over all prompts, with a stand-in whose answers SQL can check."""
+    return answer(rag_prompts(spark, sf_dir), _load_prompt_lengths)
+
+
 def first_prediction(spark, sf_dir):
     """Each assistant turn, wrapped as a response of the endpoint and unwrapped again."""
     turns = t.table(spark, sf_dir, "conversations").filter("role = 'assistant'")
@@ -293,6 +315,7 @@ QUERIES = {
     "chunk_table_ordered": chunk_table_ordered,
     "embed_terms": embed_terms,
     "embed_query_terms": embed_query_terms,
+    "embed_model": embed_model,
     "vector_head": vector_head,
     "index_build": index_build,
     "index_diff": index_diff,
@@ -309,6 +332,7 @@ QUERIES = {
     "history_prompts": history_prompts,
     "chat_prompts": chat_prompts,
     "answers_extractive": answers_extractive,
+    "answers_model": answers_model,
     "first_prediction": first_prediction,
     "answer_stream": answer_stream_rows,
     "payload_rows": payload_rows,
