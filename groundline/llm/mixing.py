@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from groundline.llm.common import GAP, WORD, stored, whole
+from groundline.llm.common import WORD, let, stored, whole
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5  # of all words
@@ -183,4 +183,4 @@ def cut_runs(text: Column, runs: Column) -> Column:
 
     # gap after word i is gaps[i + 1]: words and gaps by turns
     woven = F.flatten(F.zip_with(words_, F.slice(gaps, 2, F.size(gaps)), lambda w, g: F.array(w, F.coalesce(g, F.lit("")))))
-    return F.transform(runs, lambda run: F.transform(F.array(woven), lambda pieces: part(pieces, run))[0])
+    return let(woven, lambda pieces: F.transform(runs, lambda run: part(pieces, run)))

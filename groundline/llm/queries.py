@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundline.llm import bpe, fingerprints, langid, mixing, quality, sharding, simhash
+from groundline.llm import bpe, fingerprints, langid, lm, mixing, quality, sharding, simhash
 from groundline.llm.common import id_remainder, stored, word_count
 
 BPE_FILE = "word_bpe_49k.json"
@@ -20,6 +20,10 @@ def op1_shard_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir), held_out=id_remainder("doc_id", 5) == 1)
+
+
 def op4_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edits(documents(spark, sf_dir))
 
@@ -65,6 +69,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_shard_by_bytes,
+        op2_backoff_lm,
         op4_multiset_fingerprints,
         op6_quality_rules,
         op7_simhash_classes,
