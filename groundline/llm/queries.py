@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundline.llm import bpe, fingerprints, langid, lm, mixing, quality, sharding, simhash
+from groundline.llm import bpe, fingerprints, langid, lm, mixing, quality, sharding, simhash, suffix
 from groundline.llm.common import id_remainder, stored, word_count
 
 BPE_FILE = "word_bpe_49k.json"
@@ -28,6 +28,10 @@ def op4_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edits(documents(spark, sf_dir))
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     docs = documents(spark, sf_dir)
@@ -71,6 +75,7 @@ QUERIES = {
         op1_shard_by_bytes,
         op2_backoff_lm,
         op4_multiset_fingerprints,
+        op5_repeated_passages,
         op6_quality_rules,
         op7_simhash_classes,
         op8_mix_sources,
