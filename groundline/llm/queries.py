@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundline.llm import bpe, fingerprints, langid, lm, mixing, quality, sharding, simhash, suffix
+from groundline.llm import bpe, fingerprints, langid, lm, mixing, pii, quality, sharding, simhash, suffix
 from groundline.llm.common import id_remainder, stored, word_count
 
 BPE_FILE = "word_bpe_49k.json"
@@ -24,6 +24,17 @@ def op2_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir), held_out=id_remainder("doc_id", 5) == 1)
 
 
+def op3_disclosing_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir).select("doc_id", "text"))
+    base = F.col("base")
+    return found.select(
+        "doc_id",
+        *[pii.n_of(kind, base).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.listing(base), 256).alias("base_sha256"),
+        pii.listing(F.concat("base", "extra")).alias("spans"),
+    )
+
+
 def op4_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edits(documents(spark, sf_dir))
 
@@ -74,6 +85,7 @@ QUERIES = {
     for f in (
         op1_shard_by_bytes,
         op2_backoff_lm,
+        op3_disclosing_terms,
         op4_multiset_fingerprints,
         op5_repeated_passages,
         op6_quality_rules,
