@@ -124,10 +124,10 @@ class Model:
                 held.append(piece)
                 owners.append(i)
                 size += len(piece)
-                if size >= STEP:
+                if size >= STEP and self.grams:
                     flush()
                     held, owners, size = [], [], 0
-        if held:
+        if held and self.grams:
             flush()
         return sums / counts[:, None], n_letters
 
@@ -196,7 +196,7 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, seed: int = 7) -> Model
     About `train_docs` documents of each language, chosen by a hash of the id, are used whole: that bounds the model,
     which is sent to every task. Counts are summed in Spark. A fifth of these documents is left for calibration: the
     scale that turns differences of cross-entropy into probabilities has the highest likelihood there, and a text is
-    rejected above the mean cross-entropy of its language's texts there plus six deviations.
+    rejected above the mean cross-entropy of its language's texts there plus six deviations from such means.
     """
     rows = docs.filter("lang IS NOT NULL AND text IS NOT NULL")
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "of")
@@ -230,7 +230,6 @@ def _calibrate(model: Model, sample: DataFrame) -> None:
             )
 
     found = [r for r in sample.mapInArrow(run, "lang string, h array<double>, n long").filter("n > 0").collect() if r["lang"] in model.languages]
-    model.limits = np.full(len(model.languages), np.inf)
     if not found:
         return
     h = np.array([r["h"] for r in found])
@@ -241,10 +240,9 @@ def _calibrate(model: Model, sample: DataFrame) -> None:
         likelihood = float((z[np.arange(len(h)), truth] - np.log(np.exp(z).sum(axis=1))).mean())
         best = max(best, (likelihood, float(scale)))
     model.scale = best[1]
-    for i in range(len(model.languages)):
-        own = h[truth == i, i]
-        if len(own) >= 20:
-            model.limits[i] = own.mean() + 6 * own.std()
+    own = h[np.arange(len(h)), truth]
+    means = np.array([own[truth == i].mean() if (truth == i).any() else own.mean() for i in range(len(model.languages))])
+    model.limits = means + 6 * np.sqrt(((own - means[truth]) ** 2).mean())
 
 
 def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

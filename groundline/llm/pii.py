@@ -31,6 +31,7 @@ MIN_TERM = 3  # characters
 CONTEXT = 80  # characters on either side of a span whose terms co-occur with it
 THRESHOLD = 0.9  # share of an entity's information that a term may not reach
 SUPPORT = 2  # documents in which a term is near an entity
+CHUNK = 256  # matches whose positions are summed one by one
 BROADCAST_TERMS = 200_000  # terms that are sent to all tasks; more are joined by shuffle
 
 SPAN = "struct<kind:string,start:bigint,end:bigint,value:string>"
@@ -62,30 +63,54 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def spans_of(kind: str, text: Column) -> Column:
-    """Valid spans of one kind, leftmost and without overlap, in order. Failing matches are dropped, not tried again."""
+def _placed(kind: str, text: Column, pattern: str, keeps) -> Column:
+    """Spans of those matches of a pattern for which `keeps(match)` holds, in order.
+
+    Positions are running sums of the lengths of matches and of the gaps between them, taken in chunks: sums over chunks
+    first, then inside each chunk, so that no long array is built element by element.
+    """
+    both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches"), F.split(text, pattern, -1).alias("gaps"))
     empty = F.array().cast(f"array<{SPAN}>")
-    pattern = F.lit(PATTERNS[kind])
-    both = F.struct(
-        F.regexp_extract_all(text, pattern, F.lit(0)).alias("matches"), F.split(text, PATTERNS[kind], -1).alias("gaps")
-    )
+    zero = F.lit(0).cast("long")
 
-    def placed(found: Column) -> Column:
-        lengths = F.transform(
-            found["matches"],
-            lambda m, i: F.struct(F.length(F.get(found["gaps"], i)).cast("long").alias("gap"), F.length(m).cast("long").alias("own"), m.alias("value")),
+    def lengths(found: Column) -> Column:
+        gap = lambda i: F.length(F.get(found["gaps"], i)).cast("long")
+        return F.transform(
+            found["matches"], lambda m, i: F.struct(gap(i).alias("gap"), F.length(m).cast("long").alias("own"), m.alias("value"))
         )
-        start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans"))
 
-        def step(acc: Column, x: Column) -> Column:
-            begin = acc["at"] + x["gap"]
-            span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), (begin + x["own"]).alias("end"), x["value"].alias("value"))
-            kept = F.when(_valid(kind, x["value"]), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
-            return F.struct((begin + x["own"]).alias("at"), kept.alias("spans"))
+    def chunks(xs: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / CHUNK).cast("int"))
+        return F.transform(numbers, lambda c: F.slice(xs, c * CHUNK + 1, F.lit(CHUNK)))
 
-        return F.aggregate(lengths, start, step, lambda acc: acc["spans"])
+    def begins(parts: Column) -> Column:
+        """Where each chunk begins in the text."""
+        sums = F.transform(parts, lambda part: F.aggregate(part, zero, lambda n, x: n + x["gap"] + x["own"]))
+        first = F.array(zero)
+        return F.aggregate(sums, first, lambda acc, n: F.concat(acc, F.array(F.get(acc, F.size(acc) - 1) + n)))
 
-    return F.when(text.rlike(HINTS[kind]), let(both, placed)).otherwise(empty)
+    def step(acc: Column, x: Column) -> Column:
+        begin = acc["at"] + x["gap"]
+        span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), (begin + x["own"]).alias("end"), x["value"].alias("value"))
+        kept = F.when(keeps(x["value"]), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
+        return F.struct((begin + x["own"]).alias("at"), kept.alias("spans"))
+
+    def of_chunks(parts: Column) -> Column:
+        def one(part: Column, begin: Column) -> Column:
+            return F.aggregate(part, F.struct(begin.alias("at"), empty.alias("spans")), step, lambda acc: acc["spans"])
+
+        return let(begins(parts), lambda at: F.flatten(F.transform(parts, lambda part, i: one(part, F.get(at, i)))))
+
+    def place(xs: Column) -> Column:
+        return F.when(F.size(xs) > 0, let(chunks(xs), of_chunks)).otherwise(empty)
+
+    return let(let(both, lengths), place)
+
+
+def spans_of(kind: str, text: Column) -> Column:
+    """Valid spans of one kind, leftmost and without overlap, in order. Failing matches are dropped, not tried again."""
+    found = _placed(kind, text, PATTERNS[kind], lambda match: _valid(kind, match))
+    return F.when(text.rlike(HINTS[kind]), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def base_spans(text: Column) -> Column:
@@ -149,28 +174,10 @@ def disclosing_terms(rows: DataFrame, found: DataFrame, threshold: float = THRES
 
 def term_spans(text: Column, listed: Column, base: Column) -> Column:
     """Spans of the tokens whose lower case is listed, in order, but those that touch a base span."""
-    empty = F.array().cast(f"array<{SPAN}>")
-    both = F.struct(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)).alias("tokens"), F.split(text, TOKEN, -1).alias("gaps"))
-
-    def placed(found: Column) -> Column:
-        lengths = F.transform(
-            found["tokens"],
-            lambda t, i: F.struct(F.length(F.get(found["gaps"], i)).cast("long").alias("gap"), F.length(t).cast("long").alias("own"), t.alias("value")),
-        )
-        start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans"))
-
-        def step(acc: Column, x: Column) -> Column:
-            begin = acc["at"] + x["gap"]
-            span = F.struct(F.lit(TERM).alias("kind"), begin.alias("start"), (begin + x["own"]).alias("end"), x["value"].alias("value"))
-            kept = F.when(F.array_contains(listed, F.lower(x["value"])), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
-            return F.struct((begin + x["own"]).alias("at"), kept.alias("spans"))
-
-        return F.aggregate(lengths, start, step, lambda acc: acc["spans"])
-
     def free(span: Column) -> Column:
         return ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
 
-    return F.filter(let(both, placed), free)
+    return F.filter(_placed(TERM, text, TOKEN, lambda token: F.array_contains(listed, F.lower(token))), free)
 
 
 def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:

@@ -81,9 +81,9 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """`(doc_id, key, fingerprint, component_id)`, a row per document: the smallest id that its links reach, its own included.
+    """`(doc_id, key, fingerprint, class, component_id)`, a row per document: the smallest id that its links reach, its own included.
 
-    `key` is the md5 of the text (NULL for a missing one). Equal texts share a fingerprint and are never paired; classes
+    `key` is the md5 of the text (NULL for a missing one), `class` the smallest fingerprint that the links reach. Equal texts share a fingerprint and are never paired; classes
     are found among distinct fingerprints that have a link at all. Empty and missing texts have fingerprint 0, which links
     like any other. A missing id never becomes a class id unless its class has no other. Repeated rows stay. No rows give
     no rows.
@@ -97,12 +97,13 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         .groupBy("class")
         .agg(F.min("first_id").alias("component_id"))
     )
-    linked = joined.join(smallest, "class").select(F.col("node").alias("fingerprint"), "component_id")
-    known = stored(
-        prints.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("component_id", "first_id").alias("component_id")),
-        "simhash-known",
+    linked = joined.join(smallest, "class").select(F.col("node").alias("fingerprint"), "class", "component_id")
+    known = prints.join(linked, "fingerprint", "left").select(
+        "fingerprint",
+        F.coalesce("class", "fingerprint").alias("class"),
+        F.coalesce("component_id", "first_id").alias("component_id"),
     )
-    return rows.join(known, "fingerprint", "left").select("doc_id", "key", "fingerprint", "component_id")
+    return rows.join(stored(known, "simhash-known"), "fingerprint", "left").select("doc_id", "key", "fingerprint", "class", "component_id")
 
 
 def hex_print(print_: Column) -> Column:
@@ -113,7 +114,7 @@ def one_per_class(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """The rows of `docs` without near-duplicates: of each class the row of smallest id, then of smallest text hash, once."""
     chosen = (
         classes(docs, id_column, text_column)
-        .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("nameless"))
+        .groupBy("class")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.coalesce("key", F.lit("")).alias("key"))).alias("kept"))
         .select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.key").alias("kept_key"))
     )
