@@ -225,18 +225,17 @@ def _log_share(bad: int, good: int) -> float:
     return math.log2((bad + 1) / (bad + good + 2))
 
 
-def learn_from(docs: DataFrame, labels: DataFrame, **options) -> list[Rule]:
-    """Rules from the rows of `docs(doc_id, text)` that `labels(doc_id, quality)` covers: good is quality 1.
+def learn_from(stats: DataFrame, labels: DataFrame, **options) -> list[Rule]:
+    """Rules from the rows of `stats` (see `statistics`) that `labels(doc_id, quality)` covers: good is quality 1.
 
     Rows that fail the base rules are left out, since the list never decides on them. An id with differing labels counts
-    as bad if any says so; a missing id has no label.
+    as bad if any says so; a missing id has no label. No texts are joined, only their statistics.
     """
     marks = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("doc_id IS NOT NULL")
-    labelled = docs.select("doc_id", "text").join(marks, "doc_id")
-    stats = statistics(labelled.select(F.struct("doc_id", (F.col("quality") == 1).alias("good")).alias("doc_id"), "text"))
-    return learn(stats.filter("NOT base_failed").select("doc_id.good", "doc_id.doc_id", *stats.columns[1:]), **options)
+    labelled = stats.filter("NOT base_failed").join(marks, "doc_id").withColumn("good", F.col("quality") == 1)
+    return learn(labelled, **options)
 
 
-def with_verdict(docs: DataFrame, rules: list[Rule], id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The statistics of `docs` and `kept`: the base rules hold and the list does not reject."""
-    return statistics(docs, id_column, text_column).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+def with_verdict(stats: DataFrame, rules: list[Rule]) -> DataFrame:
+    """`stats` and `kept`: the base rules hold and the list does not reject."""
+    return stats.withColumn("kept", ~F.col("base_failed") & verdict(rules))

@@ -45,8 +45,8 @@ def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    docs = documents(spark, sf_dir)
-    return quality.with_verdict(docs, quality.learn_from(docs, labels)).drop("n_distinct")
+    stats = stored(quality.statistics(documents(spark, sf_dir)), "quality-statistics")
+    return quality.with_verdict(stats, quality.learn_from(stats, labels)).drop("n_distinct")
 
 
 def op7_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,7 +62,8 @@ def test_ordered_expression(spark):
 
 def test_table(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
-    judged = with_verdict(docs, learn_from(docs, labels))
+    stats = statistics(docs)
+    judged = with_verdict(stats, learn_from(stats, labels))
     rows = judged.join(labels, "doc_id").collect()
     assert judged.count() == docs.count()
     assert all(r.kept or r.base_failed for r in rows if r.quality == 1)  # clean documents stay
@@ -70,11 +71,11 @@ def test_table(spark, sf_dir):
 
 
 def test_plan_has_no_python_and_no_shuffle(spark):
-    plan = with_verdict(frame(spark, ["a"]), [(Condition("n_words", True, 3),)])._jdf.queryExecution().executedPlan().toString()
+    plan = with_verdict(statistics(frame(spark, ["a"])), [(Condition("n_words", True, 3),)])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_no_rows(spark):
     docs = frame(spark, [(1, "a")]).filter("doc_id > 1")
     labels = spark.createDataFrame([], "doc_id long, quality int")
-    assert with_verdict(docs, learn_from(docs, labels)).collect() == []
+    assert with_verdict(statistics(docs), learn_from(statistics(docs), labels)).collect() == []
