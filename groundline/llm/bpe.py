@@ -23,7 +23,7 @@ WORD_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\
 PLAIN_BYTES = (*range(33, 127), *range(161, 173), *range(174, 256))  # shown as themselves
 
 NONE = 1 << 30  # no merge
-REMEMBERED = 400_000  # words a task remembers per generation; two generations are kept
+REMEMBERED = 120_000  # words a task remembers per generation; two generations are kept
 
 
 def byte_characters() -> list[str]:
@@ -39,7 +39,6 @@ class Bpe:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
-        self.vocabulary: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         byte = {c: chr(b) for b, c in enumerate(byte_characters())}
 
@@ -50,10 +49,7 @@ class Bpe:
 
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.ranks = {(plain(a), plain(b)): i for i, (a, b) in enumerate(pairs)}
-        self.ids = {plain(token): i for token, i in self.vocabulary.items()}
-        self.tokens = np.empty(max([*self.vocabulary.values(), *self.special.values()]) + 1, dtype=object)
-        for token, i in (*self.vocabulary.items(), *self.special.items()):
-            self.tokens[i] = token
+        self.ids = {plain(token): i for token, i in model["vocab"].items()}
         self.inner = set()  # two bytes that stand next to each other inside some token
         for token in self.ids:
             body = token.removesuffix(WORD_END)
@@ -159,17 +155,29 @@ class Bpe:
         out += self.encode_plain(text[start:] if start else text)
         return np.frombuffer(b"".join(out), dtype=np.int32)
 
+
+
+class Tokens:
+    """Decoder: the tokens of ids, special ones too, joined by one space, as a file without a decoder has it."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        known = [*spec["model"]["vocab"].items(), *((t["content"], t["id"]) for t in spec["added_tokens"])]
+        self.tokens = np.empty(max(i for _, i in known) + 1, dtype=object)
+        for token, i in known:
+            self.tokens[i] = token
+
     def decode(self, ids: np.ndarray) -> str:
-        """The tokens of the ids, special ones too, joined by one space, as a file without a decoder has it."""
         return " ".join(self.tokens[ids].tolist())
 
 
-def load(path: str) -> Bpe:
-    """The vocabulary of a file, read once in a worker."""
+def load(kind: type, path: str):
+    """What `kind` makes of a file, read once in a worker."""
     memory = worker_memory()
-    if ("bpe", path) not in memory:
-        memory["bpe", path] = Bpe(path)
-    return memory["bpe", path]
+    if (kind.__name__, path) not in memory:
+        memory[kind.__name__, path] = kind(path)
+    return memory[kind.__name__, path]
 
 
 def _map_column(df: DataFrame, column: str, result: str, kind: T.DataType, convert) -> DataFrame:
@@ -197,7 +205,7 @@ def encode(df: DataFrame, path: str, column: str = "text", result: str = "ids")
     """
 
     def convert(texts: pa.Array) -> pa.Array:
-        encoder = load(path)
+        encoder = load(Bpe, path)
         ids = [encoder.encode(text) for text in texts.to_pylist()]
         offsets = np.zeros(len(ids) + 1, dtype=np.int32)
         np.cumsum([len(x) for x in ids], out=offsets[1:])
@@ -210,7 +218,7 @@ def decode(df: DataFrame, path: str, column: str = "ids", result: str = "text")
     """`column` replaced by `result`, the text that the ids stand for. Missing and empty ids give an empty text."""
 
     def convert(ids: pa.Array) -> pa.Array:
-        decoder = load(path)
+        decoder = load(Tokens, path)
         if ids.null_count:
             return pa.array([decoder.decode(np.array(x or [], dtype=np.int64)) for x in ids.to_pylist()], pa.string())
         values, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
