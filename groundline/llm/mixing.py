@@ -20,7 +20,7 @@ STRIDE = 1 << 20  # largest step between chosen blocks: products stay within 63
 
 PLAN = (
     "source string, source_size long, target double, blocks long, quota long, shard_quotas array<long>, "
-    "passes long, rest long, step long, offset long"
+    "passes long, rest long, step long, offset long, width long, wider long"
 )
 
 
@@ -86,7 +86,7 @@ def plan_sources(
         names, sizes = [names[i] for i in order], rows["source_size"].to_numpy()[order]
         weights = np.resize(np.array(WEIGHTS, dtype=np.float64), len(names))
         wanted = targets(sizes, weights, share, times)
-        blocks = -(-sizes // block)
+        blocks = np.where(sizes > 0, np.maximum(1, np.round(sizes / block)), 0).astype(np.int64)
         n = round(share * int(sizes.sum()) / block)
         upto = [apportion(wanted, times * blocks, n * (j + 1) // shards) for j in range(shards)]
         parts = np.diff(np.array([np.zeros_like(upto[0]), *upto]), axis=0)
@@ -105,17 +105,23 @@ def plan_sources(
                 "rest": quota % some,
                 "step": [c[0] for c in chosen],
                 "offset": [c[1] for c in chosen],
+                "width": sizes // some,  # words of a block; the first `wider` ones have one more
+                "wider": sizes % some,
             }
         )
 
     return totals.groupBy().applyInPandas(plan, PLAN)
 
 
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, F.greatest(b, F.lit(1)))
+
+
 def mix(docs: DataFrame, rows_per_run: int = 5000, block: int = BLOCK, seed: str = SEED, **options) -> DataFrame:
     """Rows of `docs(doc_id, source, size, ..)` with `source_size, target, quota, passes, taken, runs`.
 
-    The words of a source are laid out document after document in the order of a seeded hash and cut into blocks of
-    `block` words. A source whose quota is more than all its blocks is taken whole `passes` times; the rest of the
+    The words of a source are laid out document after document in the order of a seeded hash and cut into equal
+    blocks of about `block` words. A source whose quota is more than all its blocks is taken whole `passes` times; the rest of the
     quota are blocks chosen by a seeded permutation. `runs` are the word ranges (from, to) of a document inside chosen
     blocks, `taken` counts the words of passes and runs together. `docs` is read three times: store it if it is dear.
 
@@ -150,7 +156,16 @@ def mix(docs: DataFrame, rows_per_run: int = 5000, block: int = BLOCK, seed: str
     plan = plan.withColumnRenamed("offset", "shift").alias("p")
     joined = placed.join(plan, F.col("r.source").eqNullSafe(F.col("p.source")))
 
-    first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
+    width, wider = F.col("width"), F.col("wider")
+
+    def block_of(word: Column) -> Column:
+        edge = wider * (width + 1)
+        return F.when(word < edge, _div(word, width + 1)).otherwise(wider + _div(word - edge, width))
+
+    def begin(k: Column) -> Column:
+        return k * width + F.least(k, wider)
+
+    first, last = block_of(F.col("start")), block_of(F.col("start") + F.col("size") - 1)
     chosen = F.filter(
         F.when(F.col("size") > 0, F.sequence(first, last)),
         lambda k: F.pmod(k * F.col("step") + F.col("shift"), F.col("p.blocks")) < F.col("rest"),
@@ -158,8 +173,8 @@ def mix(docs: DataFrame, rows_per_run: int = 5000, block: int = BLOCK, seed: str
     runs = F.transform(
         chosen,
         lambda k: F.struct(
-            F.greatest(k * block - F.col("start"), F.lit(0)).alias("from"),
-            F.least((k + 1) * block - F.col("start"), F.col("size")).alias("to"),
+            F.greatest(begin(k) - F.col("start"), F.lit(0)).alias("from"),
+            F.least(begin(k + 1) - F.col("start"), F.col("size")).alias("to"),
         ),
     )
     zero = F.lit(0).cast("long")
