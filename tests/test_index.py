@@ -1,8 +1,11 @@
+import glob
+import os
+
 import pytest
 
 from groundline.operators.embed import hashing_embedder
 from groundline.operators.index import (
-    apply_changes, build_index, index_diff, index_exists, latest_version, open_index, sync_index,
+    apply_changes, build_index, clean_index, compact_index, index_diff, index_exists, latest_version, open_index, sync_index,
 )
 from groundline.session import shared_dir
 
@@ -17,7 +20,7 @@ def chunks(spark, rows):
 
 
 def content(index):
-    return sorted((r.id, r.content, r.content_md5, r.vec) for r in index.rows().collect())
+    return sorted(((r.id, r.content, r.content_md5, r.vec) for r in index.rows().collect()), key=repr)
 
 
 @pytest.fixture
@@ -26,7 +29,7 @@ def root(spark):
 
 
 def test_diff(spark, root):
-    index = build_index(chunks(spark, OLD), root, EMBEDDER, 4)
+    index = build_index(chunks(spark, OLD), root, EMBEDDER)
     ops = {r.id // 1_000_000: r.op for r in index_diff(chunks(spark, NEW), index.rows()).collect()}
     expected = {i: "delete" for i in range(5)} | {i: "insert" for i in range(20, 25)}
     assert ops == expected | {i: "update" for i in range(5, 20) if i % 3 == 0}
@@ -34,24 +37,43 @@ def test_diff(spark, root):
 
 def test_sync_equals_rebuild(spark, root):
     assert not index_exists(spark, root)
-    sync_index(chunks(spark, OLD), root, EMBEDDER, 4)
+    sync_index(chunks(spark, OLD), root, EMBEDDER)
     assert index_exists(spark, root)
     synced = sync_index(chunks(spark, NEW), root, EMBEDDER)
     rebuilt = build_index(chunks(spark, NEW), shared_dir(spark, "rebuilt"), EMBEDDER)
     assert content(synced) == content(rebuilt)
+    assert synced.rows().columns == rebuilt.rows().columns
+
+
+def test_missing_texts_are_values(spark, root):
+    with_null = [(1, None), (2, "b")]
+    index = sync_index(chunks(spark, [(1, "a"), (2, "b")]), root, EMBEDDER)
+    for _ in range(2):
+        sync_index(chunks(spark, with_null), root, EMBEDDER)
+        assert content(index) == content(build_index(chunks(spark, with_null), shared_dir(spark, "rebuilt"), EMBEDDER))
+    assert spark.read.parquet(f"{root}/versions").count() == 2
 
 
-def test_only_touched_parts_are_written(spark, root):
-    build_index(chunks(spark, OLD), root, EMBEDDER, 8)
-    sync_index(chunks(spark, [*OLD[:-1], (OLD[-1][0], "new")]), root, EMBEDDER)
-    log = spark.read.parquet(f"{root}/versions")
-    assert log.filter("version = 2").count() == 1
-    sync_index(chunks(spark, [*OLD[:-1], (OLD[-1][0], "new")]), root, EMBEDDER)
-    assert log.select("version").distinct().count() == 2
+def test_rebuild_retires_what_was_there(spark, root):
+    build_index(chunks(spark, OLD), root, EMBEDDER)
+    sync_index(chunks(spark, NEW), root, EMBEDDER)
+    rebuilt = build_index(chunks(spark, OLD[:3]), root, EMBEDDER)
+    assert [r[:2] for r in content(rebuilt)] == sorted(OLD[:3], key=repr)
+
+
+def test_a_small_change_writes_little(spark, root):
+    rows = [(i, f"text {i} " + "word " * 50) for i in range(2000)]
+    build_index(chunks(spark, rows), root, EMBEDDER)
+    rows[3:23] = [(i, "other " * 50) for i in range(3, 23)]
+    sync_index(chunks(spark, rows), root, EMBEDDER)
+    sizes = [sum(map(os.path.getsize, glob.glob(f"{root}/data/v={v}/*.parquet"))) for v in (1, 2)]
+    assert spark.read.parquet(f"{root}/data/v=2").count() == 20 and sizes[1] < 0.2 * sizes[0]
+    sync_index(chunks(spark, rows), root, EMBEDDER)
+    assert spark.read.parquet(f"{root}/versions").count() == 2
 
 
 def test_delete_everything_then_add(spark, root):
-    build_index(chunks(spark, OLD), root, EMBEDDER, 4)
+    build_index(chunks(spark, OLD), root, EMBEDDER)
     emptied = sync_index(chunks(spark, []), root, EMBEDDER)
     assert content(emptied) == []
     assert content(sync_index(chunks(spark, OLD), root, EMBEDDER)) == content(
@@ -68,13 +90,35 @@ def test_changes_newest_wins_and_replay_is_ignored(spark, root):
     assert [r.content for r in apply_changes(other, root, EMBEDDER, batch_id=1).rows().collect()] == ["not applied"]
 
 
+def test_late_changes_lose_across_batches(spark, root):
+    apply = lambda rows, n: apply_changes(spark.createDataFrame(rows, CHANGE), root, EMBEDDER, batch_id=n)
+    apply([(3, "update", 1, "newest"), (5, "delete", 2, None)], 0)
+    index = apply([(2, "update", 1, "older"), (4, "insert", 2, "back from the dead")], 1)
+    assert [(r.id, r.content) for r in index.rows().collect()] == [(1, "newest")]
+    compact_index(index)
+    index = apply([(4, "insert", 2, "still dead"), (3, "update", 1, "equal seq, later batch")], 2)
+    assert [(r.id, r.content) for r in index.rows().collect()] == [(1, "equal seq, later batch")]
+
+
+def test_compaction_and_clean_up(spark, root):
+    index = build_index(chunks(spark, OLD), root, EMBEDDER)
+    for n in (4, 9, 14):
+        sync_index(chunks(spark, OLD[:n] + NEW[n:]), root, EMBEDDER)
+    before = content(index)
+    compact_index(index)
+    assert content(index) == before
+    assert clean_index(index) == [1, 2, 3, 4] and content(index) == before
+    assert not os.path.exists(f"{root}/data/v=2")
+    assert content(sync_index(chunks(spark, NEW), root, EMBEDDER)) == content(
+        build_index(chunks(spark, NEW), shared_dir(spark, "rebuilt"), EMBEDDER)
+    )
+
+
 def test_failed_write_is_not_visible(spark, root):
-    index = build_index(chunks(spark, OLD), root, EMBEDDER, 4)
+    index = build_index(chunks(spark, OLD), root, EMBEDDER)
     before = content(index)
     # a version that was written but never logged
-    spark.createDataFrame([(1, "x", 0)], "id BIGINT, content STRING, part INT").write.partitionBy("part").parquet(
-        f"{root}/data/v=2"
-    )
+    chunks(spark, [(1, "x")]).write.parquet(f"{root}/data/v=2")
     assert content(open_index(spark, root, EMBEDDER)) == before
     assert len(content(sync_index(chunks(spark, NEW), root, EMBEDDER))) == len(NEW)
 
