@@ -12,7 +12,9 @@ be handed around. Three things keep the work small and are exact:
    Equal windows have equal pointers at the same place, so only pointers are put into buckets, about one in 38 bytes.
 2. The windows that share a pointer are neighbours, a run. A bucket is refined by the identifier of the run's whole
    content. If that leaves one class, its first member keeps its windows and all others lose theirs.
-3. Only buckets of several classes (the ends of repeated passages) are refined by id100 of each window in its runs.
+3. Only buckets of several classes (the ends of repeated passages) are refined by id100 of each window in its runs: the
+   first run of each class goes with its bytes to the part of its bucket. A bucket of very many classes (the end of a
+   line that is everywhere) would gather in one part; its windows are spread over all parts by their own identifiers.
 
 Texts are taken in blocks. A block sends one entry per bucket (or window) to the part that decides it, so a passage that
 every document has is one entry per block; and the part answers the block. Texts move to where the answers are, twice.
@@ -40,9 +42,10 @@ BLOCK_BYTES = 8 << 20
 PART_BYTES = 8 << 20  # of text per part
 PIECE = 1 << 22  # window starts that are hashed at once; longer texts are taken in pieces that overlap
 BASE = np.uint64(0xD6E8FEB86659FD93)  # odd, so that it has an inverse modulo 2 ** 64
+GATHERED = 1000  # classes of a bucket that are refined in one part
 MISSING = np.uint64((1 << 64) - 1)  # a missing id comes last
 
-TEXTS, BUCKETS, REMOVED, WINDOWS, ANSWERS = range(5)  # kinds of rows
+TEXTS, BUCKETS, REMOVED, CONTEXTS, WINDOWS, ANSWERS, WINDOW_ANSWERS = range(7)  # kinds of rows
 ROW = "block long, kind int, part int, data binary"
 RESULT = "doc_id {id}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -93,6 +96,7 @@ class Runs:
     high: np.ndarray
     bucket: np.ndarray  # identifier of the pointer's 25 bytes
     content: np.ndarray  # identifier (48 bits) of all that the windows cover and of where in it the pointer is
+    lead: np.ndarray  # bytes from the first window start to the pointer
 
 
 def _pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int, int]]]]:
@@ -142,9 +146,9 @@ def find_runs(texts: list[bytes]) -> Runs:
         content = mix(mix(hashes.of(low, length)) + place + length.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
         of = np.searchsorted(ends, low, side="right")
         rows, offsets, begins = (np.array([p[i] for p in parts])[of] for i in range(3))
-        found.append((rows, low - begins + offsets, high - begins + offsets, ids[pointer], content >> np.uint64(16)))
+        found.append((rows, low - begins + offsets, high - begins + offsets, ids[pointer], content >> np.uint64(16), pointer - low))
     if not found:
-        return Runs(*(np.empty(0, dtype=k) for k in (np.int64, np.int64, np.int64, np.uint64, np.uint64)))
+        return Runs(*(np.empty(0, dtype=k) for k in (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.int64)))
     return Runs(*(np.concatenate(c) for c in zip(*found)))
 
 
@@ -163,7 +167,7 @@ class Buckets:
 
     keys: np.ndarray
     first: np.ndarray  # the earliest run of each bucket
-    several: np.ndarray  # whether its runs are of more than one class
+    classes: np.ndarray  # how many classes its runs are of
     lost: np.ndarray  # runs whose class has an earlier run in the block
     of: np.ndarray  # each run's bucket
 
@@ -178,7 +182,7 @@ def group(runs: Runs, rank: np.ndarray) -> Buckets:
     classes = np.bincount(number[new_class]) if len(order) else np.empty(0, np.int64)
     of = np.empty(len(order), dtype=np.int64)
     of[order] = number
-    return Buckets(bucket[new_bucket], order[new_bucket], classes > 1, order[~new_class], of)
+    return Buckets(bucket[new_bucket], order[new_bucket], classes, order[~new_class], of)
 
 
 # rows of the exchange ------------------------------------------------------------------------------------------------
@@ -198,9 +202,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], repeated: bool) -> Iterator[tuple
         yield ids, ties, texts
 
 
-def _name(ids: list, texts: list[bytes]) -> int:
-    """A block's name, made of what it holds and of the partition that it is read in."""
-    digest = xxhash.xxh64(repr((TaskContext.get().partitionId(), ids)))
+def _name(number: int, ids: list, texts: list[bytes]) -> int:
+    """A block's name, made of the partition that it is read in, its number there, and what it holds."""
+    digest = xxhash.xxh64(repr((TaskContext.get().partitionId(), number, ids)))
     for text in texts:
         digest.update(len(text).to_bytes(8, "little"))
         digest.update(text)
@@ -249,56 +253,111 @@ def _unpack_texts(data: bytes) -> tuple[list, list[int], list[bytes]]:
     return tuple(table.column(c).to_pylist() for c in ("doc_id", "tie", "text"))
 
 
-def _earliest(lists: list[tuple[np.ndarray, ...]], names: list[int]) -> tuple[np.ndarray, ...]:
-    """The lists of several blocks as one, in order of key, class and then of document, block and place.
-
-    Each list is `(key, class, doc, tie, row, low, ..)`. Also gives the entry numbers in that order.
-    """
-    columns = [np.concatenate(c) for c in zip(*lists)]
+def _joined(lists: list[tuple[np.ndarray, ...]], held: list[tuple]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The lists of several blocks as one, and each entry's block by rank of its name."""
+    names = [row[0] for row in held]
     turn = {name: i for i, name in enumerate(sorted(set(names)))}
-    block = np.repeat([turn[n] for n in names], [len(x[0]) for x in lists])
-    key, class_, doc, tie, row, low = columns[:6]
-    return columns, np.lexsort((low, row, block, tie, doc, class_, key))
+    return [np.concatenate(c) for c in zip(*lists)], np.repeat([turn[n] for n in names], [len(x[0]) for x in lists])
+
+
+def _per_block(held: list[tuple], lists: list[tuple], values: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Block, part and own stretch of `values` for each list."""
+    at = 0
+    for (block, _, part, _), own in zip(held, lists):
+        yield block, part, values[at : at + len(own[0])]
+        at += len(own[0])
 
 
 def _decide_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per part: for each block the buckets whose first run is lost (1) or must be refined by windows (2)."""
+    """Per part: for each block the buckets whose first run is lost (1) or that are refined gathered (2) or spread (3)."""
     for _, held in _grouped(batches, 2):
         lists = [blobs.unpack(row[3]) for row in held]
-        columns, order = _earliest(lists, [row[0] for row in held])
-        key, content, several = columns[0][order], columns[1][order], columns[6][order]
+        (key, content, doc, tie, rank, low, classes), block = _joined(lists, held)
+        order = np.lexsort((low, rank, block, tie, doc, content, key))
+        key, content = key[order], content[order]
         new = np.concatenate([[True], key[1:] != key[:-1]])
         number = np.cumsum(new) - 1
-        mixed = np.zeros(int(number[-1]) + 1, dtype=bool)
-        differs = np.concatenate([[False], (content[1:] != content[:-1]) & ~new[1:]])
-        mixed[number[differs | (several > 0)]] = True
-        state = np.where(mixed[number], 2, np.where(new, 0, 1)).astype(np.uint8)
-        state[several > 0] = 0  # the block knows already
-        answer = np.empty_like(state)
-        answer[order] = state
-        at = 0
-        for (block, _, part, _), own in zip(held, lists):
-            mine = answer[at : at + len(own[0])]
-            at += len(own[0])
+        total = np.bincount(number, weights=classes[order])
+        mixed = np.bincount(number, weights=classes[order] > 1) > 0
+        mixed[number[1:][(content[1:] != content[:-1]) & ~new[1:]]] = True
+        refined = np.where(total <= GATHERED, 2, 3)
+        answer = np.empty(len(order), dtype=np.uint8)
+        answer[order] = np.where(mixed[number], refined[number], np.where(new, 0, 1))
+        for name, part, mine in _per_block(held, lists, answer):
             places = np.flatnonzero(mine)
             if len(places):
-                yield _rows([(block, ANSWERS, part, blobs.pack(places.astype(np.uint64), mine[places]))])
+                yield _rows([(name, ANSWERS, part, blobs.pack(places.astype(np.uint64), mine[places]))])
+
+
+def _contexts(texts: list[bytes], runs: Runs, chosen: np.ndarray, docs, tie, rank, name: int, parts: int) -> pa.RecordBatch:
+    """Runs with their bytes for the parts of their buckets. Neighbours in a bucket are alike, so they pack well."""
+    chosen = chosen[np.lexsort((runs.content[chosen], runs.bucket[chosen]))]
+    row, low, length = runs.row[chosen], runs.low[chosen], runs.high[chosen] - runs.low[chosen] + WINDOW
+    keys, out = runs.bucket[chosen], []
+    at = blobs.cuts(keys, parts)
+    packer = zstandard.ZstdCompressor(level=3)
+    for p, (a, b) in enumerate(zip(at, at[1:])):
+        if a < b:
+            columns = (docs[row], tie[row], *(c.astype(np.uint32) for c in (rank[row], low, runs.lead[chosen], length)))
+            head = blobs.pack(keys[a:b], *(c[a:b] for c in columns))
+            body = b"".join(texts[r][i : i + n] for r, i, n in zip(row[a:b].tolist(), low[a:b].tolist(), length[a:b].tolist()))
+            out.append((name, CONTEXTS, p, len(head).to_bytes(8, "little") + head + packer.compress(body)))
+    return _rows(out)
+
+
+def _head(data: bytes) -> tuple[np.ndarray, ...]:
+    return blobs.unpack(data[8 : 8 + int.from_bytes(data[:8], "little")])
+
+
+def _body(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data[8 + int.from_bytes(data[:8], "little") :])
+
+
+def _ranges(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, .. for each length, one after the other."""
+    return np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
+def _decide_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per part: for each block the stretches (run, from, to) of windows that start earlier elsewhere in their bucket."""
+    for _, held in _grouped(batches, 2):
+        lists = [_head(row[3]) for row in held]
+        (key, doc, tie, rank, low, lead, length), block = _joined(lists, held)
+        length = length.astype(np.int64)
+        hashes = Hashes(np.frombuffer(b"".join(_body(row[3]) for row in held), dtype=np.uint8))
+        n = length - WINDOW + 1
+        run, step = np.repeat(np.arange(len(n)), n), _ranges(n)
+        ids, check = hashes.windows(np.repeat(np.cumsum(length) - length, n) + step)
+        place = (np.repeat(lead.astype(np.int64), n) - step).astype(np.uint64)  # of the pointer in the window
+        same = mix(key[run] + mix(ids + place * np.uint64(0x9E3779B97F4A7C15)))
+        order = np.lexsort((low[run] + step, rank[run], block[run], tie[run], doc[run], check, same))
+        late = np.zeros(len(order), dtype=bool)
+        late[order[1:]] = (same[order[1:]] == same[order[:-1]]) & (check[order[1:]] == check[order[:-1]])
+        before = np.concatenate([[False], late[:-1]]) & (step > 0)
+        after = np.concatenate([late[1:], [False]]) & (step < np.repeat(n, n) - 1)
+        first, last = np.flatnonzero(late & ~before), np.flatnonzero(late & ~after)
+        base = 0
+        for (name, _, part, _), own in zip(held, lists):
+            mine = slice(*np.searchsorted(run[first], [base, base + len(own[0])]))
+            if mine.start < mine.stop:
+                at = (run[first[mine]] - base).astype(np.uint64)
+                stretch = (step[x[mine]].astype(np.uint32) for x in (first, last))
+                yield _rows([(name, ANSWERS, part, blobs.pack(at, *stretch))])
+            base += len(own[0])
 
 
 def _decide_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per part: for each block the windows that start earlier elsewhere."""
     for _, held in _grouped(batches, 2):
         lists = [blobs.unpack(row[3]) for row in held]
-        columns, order = _earliest(lists, [row[0] for row in held])
-        key, check = columns[0][order], columns[1][order]
-        late = np.empty(len(order), dtype=bool)
-        late[order] = np.concatenate([[False], (key[1:] == key[:-1]) & (check[1:] == check[:-1])])
-        at = 0
-        for (block, _, part, _), own in zip(held, lists):
-            places = np.flatnonzero(late[at : at + len(own[0])])
-            at += len(own[0])
+        (key, check, doc, tie, rank, start), block = _joined(lists, held)
+        order = np.lexsort((start, rank, block, tie, doc, check, key))
+        late = np.zeros(len(order), dtype=bool)
+        late[order[1:]] = (key[order[1:]] == key[order[:-1]]) & (check[order[1:]] == check[order[:-1]])
+        for name, part, mine in _per_block(held, lists, late):
+            places = np.flatnonzero(mine)
             if len(places):
-                yield _rows([(block, ANSWERS, part, blobs.pack(places.astype(np.uint64)))])
+                yield _rows([(name, WINDOW_ANSWERS, part, blobs.pack(places.astype(np.uint64)))])
 
 
 def _refine(ids, ties, texts, lists: dict[int, tuple], parts: int, name: int) -> Iterator[pa.RecordBatch]:
@@ -313,8 +372,10 @@ def _refine(ids, ties, texts, lists: dict[int, tuple], parts: int, name: int) ->
     lost = np.zeros(len(runs.row), dtype=bool)
     lost[buckets.lost] = True
     lost[buckets.first[state == 1]] = True
-    fine = np.flatnonzero(((state == 2) | buckets.several)[buckets.of] & ~lost) if len(runs.row) else np.empty(0, int)
+    gathered, fine = (np.flatnonzero((state == s)[buckets.of] & ~lost) if len(lost) else np.empty(0, int) for s in (2, 3))
     removed = [(runs.row[lost], runs.low[lost], runs.high[lost])]
+    if len(gathered):
+        yield _contexts(texts, runs, gathered, docs, tie, rank, name, parts)
 
     windows = []
     begin, row_of = 0, runs.row
@@ -331,8 +392,7 @@ def _refine(ids, ties, texts, lists: dict[int, tuple], parts: int, name: int) ->
         begins = {(row, offset): start for row, offset, start, _ in pieces}
         shift = np.array([begins[r, o] - o for r, o in zip(row_of[mine].tolist(), (runs.low[mine] // PIECE * PIECE).tolist())])
         length = runs.high[mine] - runs.low[mine] + 1
-        step = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
-        start = np.repeat(runs.low[mine], length) + step
+        start = np.repeat(runs.low[mine], length) + _ranges(length)
         key, check = hashes.windows(start + np.repeat(shift, length))
         windows.append((key, check, np.repeat(row_of[mine], length), start))
     if windows:
@@ -343,7 +403,7 @@ def _refine(ids, ties, texts, lists: dict[int, tuple], parts: int, name: int) ->
         removed.append((row[~new], start[~new], start[~new]))
         key, check, row, start = key[new], check[new], row[new], start[new]
         yield _by_part(
-            name, WINDOWS, parts, key, check, docs[row], tie[row], rank[row].astype(np.uint32), start.astype(np.uint32), row.astype(np.uint32)
+            name, WINDOWS, parts, key, check, docs[row], tie[row], rank[row].astype(np.uint32), start.astype(np.uint32)
         )
     row, low, high = (np.concatenate(c) for c in zip(*removed))
     order = np.argsort(row, kind="stable")
@@ -393,22 +453,22 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     names = [f.split()[0] for f in RESULT.split(", ")]
 
     def send_buckets(batches):
-        for ids, ties, texts in _blocks(batches, repeated):
+        for number, (ids, ties, texts) in enumerate(_blocks(batches, repeated)):
             docs_, tie, rank = _order(ids, ties)
             runs = find_runs(texts)
             b = group(runs, rank)
-            first, single = b.first, ~b.several
+            first, single = b.first, b.classes == 1
             row = runs.row[first]
             if len(first):
                 # what only a bucket of one class needs is zero for the others
                 yield _by_part(
-                    _name(ids, texts), BUCKETS, parts, b.keys, runs.content[first] * single, docs_[row] * single, tie[row] * single,
-                    rank[row].astype(np.uint32) * single, runs.low[first].astype(np.uint32) * single, b.several.astype(np.uint8),
+                    _name(number, ids, texts), BUCKETS, parts, b.keys, runs.content[first] * single, docs_[row] * single, tie[row] * single,
+                    rank[row].astype(np.uint32) * single, runs.low[first].astype(np.uint32) * single, np.minimum(b.classes, GATHERED + 1).astype(np.uint16),
                 )
 
     def keep_texts(batches):
-        for ids, ties, texts in _blocks(batches, repeated):
-            yield _rows([(_name(ids, texts), TEXTS, -1, _pack_texts(ids, ties, texts))])
+        for number, (ids, ties, texts) in enumerate(_blocks(batches, repeated)):
+            yield _rows([(_name(number, ids, texts), TEXTS, -1, _pack_texts(ids, ties, texts))])
 
     def refine(batches):
         for name, held in _grouped(batches, 0):
@@ -416,31 +476,36 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
             copies = [data for _, kind, _, data in held if kind == TEXTS]
             if not copies:
                 raise RuntimeError("a block of texts was read in two ways: the input changed during the job")
-            for data in copies:
-                yield from _refine(*_unpack_texts(data), lists, parts, name)
+            yield from _refine(*_unpack_texts(copies[0]), lists, parts, name)
 
     def finish(batches):
         for name, held in _grouped(batches, 0):
             copies = [data for _, kind, _, data in held if kind == TEXTS]
             of_block = [blobs.unpack(data) for _, kind, _, data in held if kind == REMOVED]
-            answers = {part: blobs.unpack(data)[0].astype(np.int64) for _, kind, part, data in held if kind == ANSWERS}
-            for _, kind, part, data in held:
-                if kind == WINDOWS and part in answers:
-                    *_, start, row = blobs.unpack(data)
-                    late = answers[part]
-                    of_block.append((row[late], start[late], start[late]))
             if not copies or not of_block:
                 raise RuntimeError("a block of texts was read in two ways: the input changed during the job")
+            answers = {(kind, part): blobs.unpack(data) for _, kind, part, data in held if kind in (ANSWERS, WINDOW_ANSWERS)}
+            ids, ties, texts = _unpack_texts(copies[0])
+            row_of = np.argsort(_order(ids, ties)[2])
+            for _, kind, part, data in held:
+                if kind == WINDOWS and (WINDOW_ANSWERS, part) in answers:
+                    late = answers[WINDOW_ANSWERS, part][0].astype(np.int64)
+                    *_, rank, start = blobs.unpack(data)
+                    of_block.append((row_of[rank[late]], start[late], start[late]))
+                elif kind == CONTEXTS and (ANSWERS, part) in answers:
+                    at, first, last = answers[ANSWERS, part]
+                    _, _, _, rank, low, _, _ = _head(data)
+                    at = at.astype(np.int64)
+                    of_block.append((row_of[rank[at]], low[at] + first, low[at] + last))
             of_block = [tuple(c.astype(np.int64) for c in x) for x in of_block]
-            for data in copies:
-                ids, _, texts = _unpack_texts(data)
-                yield _finish(ids, texts, of_block, id_type, names)
+            yield _finish(ids, texts, of_block, id_type, names)
 
     sent = rows.mapInArrow(send_buckets, ROW).repartition("part").sortWithinPartitions("part")
     texts = rows.mapInArrow(keep_texts, ROW)
     together = texts.union(sent.mapInArrow(_decide_buckets, ROW)).repartition("block").sortWithinPartitions("block", "kind")
     refined = stored(together.mapInArrow(refine, ROW), "repeat-windows")
-    windows = refined.filter(F.col("kind") == WINDOWS).repartition("part").sortWithinPartitions("part")
-    late = windows.mapInArrow(_decide_windows, ROW)
+    asked = {kind: refined.filter(F.col("kind") == kind).repartition("part").sortWithinPartitions("part") for kind in (CONTEXTS, WINDOWS)}
+    late = asked[CONTEXTS].mapInArrow(_decide_contexts, ROW).union(asked[WINDOWS].mapInArrow(_decide_windows, ROW))
+    # what goes back to the blocks: of the bytes sent with contexts nothing is needed any more, but they pack to little
     ready = texts.union(refined).union(late).repartition("block").sortWithinPartitions("block", "kind")
     return ready.mapInArrow(finish, RESULT.format(id=rows.schema["doc_id"].dataType.simpleString()))

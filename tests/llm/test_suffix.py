@@ -59,7 +59,9 @@ def hostile(seed):
         (syllables(4, 150), 4000, 9000, 1 << 22),
     ],
 )
-def test_against_all_windows(spark, monkeypatch, texts, part, block, piece):
+@pytest.mark.parametrize("gathered", [1000, 3, 0])
+def test_against_all_windows(spark, monkeypatch, texts, part, block, piece, gathered):
+    monkeypatch.setattr(suffix, "GATHERED", gathered)
     monkeypatch.setattr(suffix, "BLOCK_BYTES", block)
     monkeypatch.setattr(suffix, "PIECE", piece)
     rows = [t if isinstance(t, tuple) else (i, t) for i, t in enumerate(texts)]
