@@ -463,7 +463,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
                 # what only a bucket of one class needs is zero for the others
                 yield _by_part(
                     _name(number, ids, texts), BUCKETS, parts, b.keys, runs.content[first] * single, docs_[row] * single, tie[row] * single,
-                    rank[row].astype(np.uint32) * single, runs.low[first].astype(np.uint32) * single, np.minimum(b.classes, GATHERED + 1).astype(np.uint16),
+                    rank[row].astype(np.uint32) * single, runs.low[first].astype(np.uint32) * single, np.minimum(b.classes, 0xFFFF).astype(np.uint16),
                 )
 
     def keep_texts(batches):
