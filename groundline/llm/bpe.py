@@ -23,7 +23,8 @@ WORD_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\
 PLAIN_BYTES = (*range(33, 127), *range(161, 173), *range(174, 256))  # shown as themselves
 
 NONE = 1 << 30  # no merge
-REMEMBERED = 120_000  # words a task remembers per generation; two generations are kept
+ROWS = 512  # texts held as Python strings at once
+REMEMBERED = 100_000  # words a task remembers per generation; two generations are kept
 
 
 def byte_characters() -> list[str]:
@@ -188,9 +189,10 @@ def _map_column(df: DataFrame, column: str, result: str, kind: T.DataType, conve
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                new = convert(batch.column(len(rest)))
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], new], names=[*rest, result])
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                new = convert(part.column(len(rest)))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], new], names=[*rest, result])
 
     return df.select(*rest, column).mapInArrow(run, schema)
 
@@ -221,7 +223,7 @@ def decode(df: DataFrame, path: str, column: str = "ids", result: str = "text")
         decoder = load(Tokens, path)
         if ids.null_count:
             return pa.array([decoder.decode(np.array(x or [], dtype=np.int64)) for x in ids.to_pylist()], pa.string())
-        values, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
+        values, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()  # offsets are of the slice, values are whole
         return pa.array([decoder.decode(values[a:b]) for a, b in zip(offsets, offsets[1:])], pa.string())
 
     return _map_column(df, column, result, T.StringType(), convert)

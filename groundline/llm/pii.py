@@ -31,6 +31,7 @@ MIN_TERM = 3  # characters
 CONTEXT = 80  # characters on either side of a span whose terms co-occur with it
 THRESHOLD = 0.9  # share of an entity's information that a term may not reach
 SUPPORT = 2  # documents in which a term is near an entity
+BROADCAST_ROWS = 200_000  # findings of documents that are sent to all tasks; more are joined by shuffle
 CHUNK = 256  # matches whose positions are summed one by one
 BROADCAST_TERMS = 200_000  # terms that are sent to all tasks; more are joined by shuffle
 
@@ -208,7 +209,8 @@ def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     names = [c for c in docs.columns if c not in ("base", "extra")]
     text = whole(F.col(text_column))
     row = docs.select(F.struct(*names).alias("row"), F.col(id_column).alias("doc_id"), text.alias("text"), F.md5(text.cast("binary")).alias("key"))
-    joined = row.join(known, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key")), "left")
+    few = F.broadcast(known) if known.count() <= BROADCAST_ROWS else known
+    joined = row.join(few, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key")), "left")
     empty = F.array().cast(f"array<{SPAN}>")
     base = F.coalesce("base", empty)
     extra = F.when(F.col("listed").isNotNull(), term_spans(F.col("text"), F.col("listed"), base)).otherwise(empty)

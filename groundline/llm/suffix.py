@@ -40,7 +40,7 @@ WINDOW, QUARTER = 100, 25
 OFFSETS = WINDOW - QUARTER + 1  # places of a pointer in a window
 BLOCK_BYTES = 8 << 20
 PART_BYTES = 8 << 20  # of text per part
-PIECE = 1 << 22  # window starts that are hashed at once; longer texts are taken in pieces that overlap
+PIECE = 1 << 19  # window starts that are hashed at once; longer texts are taken in pieces that overlap
 BASE = np.uint64(0xD6E8FEB86659FD93)  # odd, so that it has an inverse modulo 2 ** 64
 GATHERED = 1000  # classes of a bucket that are refined in one part
 MISSING = np.uint64((1 << 64) - 1)  # a missing id comes last
