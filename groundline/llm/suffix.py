@@ -42,6 +42,7 @@ BLOCK_BYTES = 8 << 20
 PART_BYTES = 8 << 20  # of text per part
 PIECE = 1 << 19  # window starts that are hashed at once; longer texts are taken in pieces that overlap
 BASE = np.uint64(0xD6E8FEB86659FD93)  # odd, so that it has an inverse modulo 2 ** 64
+AT_ONCE = 1 << 20  # bytes of runs that are refined at once
 GATHERED = 1000  # classes of a bucket that are refined in one part
 MISSING = np.uint64((1 << 64) - 1)  # a missing id comes last
 
@@ -318,31 +319,54 @@ def _ranges(lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
 
+def _late_stretches(data: np.ndarray, begin: np.ndarray, key, doc, tie, rank, low, lead, length, block) -> tuple[np.ndarray, ...]:
+    """Of some runs with their bytes: stretches (run, from, to) of windows that start earlier in another run of their bucket."""
+    hashes = Hashes(data[np.repeat(begin, length) + _ranges(length)])
+    n = length - WINDOW + 1
+    run, step = np.repeat(np.arange(len(n)), n), _ranges(n)
+    ids, check = hashes.windows(np.repeat(np.cumsum(length) - length, n) + step)
+    place = (np.repeat(lead, n) - step).astype(np.uint64)  # of the pointer in the window
+    same = mix(key[run] + mix(ids + place * np.uint64(0x9E3779B97F4A7C15)))
+    order = np.lexsort((low[run] + step, rank[run], block[run], tie[run], doc[run], check, same))
+    late = np.zeros(len(order), dtype=bool)
+    late[order[1:]] = (same[order[1:]] == same[order[:-1]]) & (check[order[1:]] == check[order[:-1]])
+    before = np.concatenate([[False], late[:-1]]) & (step > 0)
+    after = np.concatenate([late[1:], [False]]) & (step < np.repeat(n, n) - 1)
+    first, last = np.flatnonzero(late & ~before), np.flatnonzero(late & ~after)
+    return run[first], step[first], step[last]
+
+
 def _decide_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per part: for each block the stretches (run, from, to) of windows that start earlier elsewhere in their bucket."""
+    """Per part: for each block the stretches (run, from, to) of windows that start earlier elsewhere in their bucket.
+
+    Whole buckets are taken together up to AT_ONCE bytes, so memory is bounded by that and by the largest bucket.
+    """
     for _, held in _grouped(batches, 2):
         lists = [_head(row[3]) for row in held]
-        (key, doc, tie, rank, low, lead, length), block = _joined(lists, held)
-        length = length.astype(np.int64)
-        hashes = Hashes(np.frombuffer(b"".join(_body(row[3]) for row in held), dtype=np.uint8))
-        n = length - WINDOW + 1
-        run, step = np.repeat(np.arange(len(n)), n), _ranges(n)
-        ids, check = hashes.windows(np.repeat(np.cumsum(length) - length, n) + step)
-        place = (np.repeat(lead.astype(np.int64), n) - step).astype(np.uint64)  # of the pointer in the window
-        same = mix(key[run] + mix(ids + place * np.uint64(0x9E3779B97F4A7C15)))
-        order = np.lexsort((low[run] + step, rank[run], block[run], tie[run], doc[run], check, same))
-        late = np.zeros(len(order), dtype=bool)
-        late[order[1:]] = (same[order[1:]] == same[order[:-1]]) & (check[order[1:]] == check[order[:-1]])
-        before = np.concatenate([[False], late[:-1]]) & (step > 0)
-        after = np.concatenate([late[1:], [False]]) & (step < np.repeat(n, n) - 1)
-        first, last = np.flatnonzero(late & ~before), np.flatnonzero(late & ~after)
+        columns, block = _joined(lists, held)
+        columns = [c if c.dtype == np.uint64 else c.astype(np.int64) for c in columns]
+        key, length = columns[0], columns[6]
+        data = np.frombuffer(b"".join(_body(row[3]) for row in held), dtype=np.uint8)
+        begin = np.cumsum(length) - length
+        order = np.argsort(key, kind="stable")
+        new = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+        upto = np.concatenate([np.cumsum(length[order])[new[1:] - 1], [int(length.sum())]])  # bytes up to each bucket's end
+        found, at = [], 0
+        while at < len(new):
+            done = upto[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(upto, done + AT_ONCE, side="right")))
+            chosen = order[new[at] : new[stop] if stop < len(new) else len(order)]
+            run, first, last = _late_stretches(data, begin[chosen], *(c[chosen] for c in columns), block[chosen])
+            found.append((chosen[run], first, last))
+            at = stop
+        run, first, last = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((first, run))
+        run, first, last = run[order], first[order].astype(np.uint32), last[order].astype(np.uint32)
         base = 0
         for (name, _, part, _), own in zip(held, lists):
-            mine = slice(*np.searchsorted(run[first], [base, base + len(own[0])]))
+            mine = slice(*np.searchsorted(run, [base, base + len(own[0])]))
             if mine.start < mine.stop:
-                at = (run[first[mine]] - base).astype(np.uint64)
-                stretch = (step[x[mine]].astype(np.uint32) for x in (first, last))
-                yield _rows([(name, ANSWERS, part, blobs.pack(at, *stretch))])
+                yield _rows([(name, ANSWERS, part, blobs.pack((run[mine] - base).astype(np.uint64), first[mine], last[mine]))])
             base += len(own[0])
 
 

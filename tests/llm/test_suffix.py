@@ -63,6 +63,7 @@ def hostile(seed):
 def test_against_all_windows(spark, monkeypatch, texts, part, block, piece, gathered):
     monkeypatch.setattr(suffix, "GATHERED", gathered)
     monkeypatch.setattr(suffix, "BLOCK_BYTES", block)
+    monkeypatch.setattr(suffix, "AT_ONCE", 20 * block)
     monkeypatch.setattr(suffix, "PIECE", piece)
     rows = [t if isinstance(t, tuple) else (i, t) for i, t in enumerate(texts)]
     docs = stored(frame(spark, rows, 5), "test")
