@@ -123,8 +123,19 @@ def break_before_table_labels(text: Column) -> Column:
 
 
 def break_after_table_labels(text: Column) -> Column:
-    """Break before the first `|` that follows a table label on the same line."""
-    return _replace_near(text, "표 ", r"(표 \p{Nd}[^|\n]*+)\|", "$1\n\n|")
+    """Break before the first `|` that follows a table label on the same line.
+
+    The text is cut at `|`; a part gets the break if its last line holds a label, so each part is looked at once.
+    """
+
+    def broken(parts: Column) -> Column:
+        last = F.size(parts) - 1
+        label = lambda part: F.substring_index(part, "\n", -1).rlike(r"표 \p{Nd}")
+        return F.array_join(
+            F.transform(parts, lambda part, i: F.when((i < last) & label(part), F.concat(part, F.lit("\n\n"))).otherwise(part)), "|"
+        )
+
+    return F.when(text.contains("표 ") & text.contains("|"), let(F.split(text, r"\|", -1), broken)).otherwise(text)
 
 
 def drop_side_notes(text: Column) -> Column:
@@ -167,15 +178,19 @@ STEPS = (
 )
 
 
-def clean_through(text: Column, last_step: int) -> Column:
-    """The text after steps 1..last_step. Steps 2 to 4 work on the array of pages."""
-    return reduce(lambda acc, step: step(acc), STEPS[:last_step], text)
+def clean_through(text: Column, last_step: int, anchored: bool = False, symbols=SYMBOLS) -> Column:
+    """The text after steps 1..last_step. Steps 2 to 4 work on the array of pages.
+
+    `anchored` cuts footnotes only where they start a line; `symbols` are the pairs that step 10 rewrites.
+    """
+    options = {remove_footnotes: {"anchored": anchored}, rewrite_symbols: {"symbols": symbols}}
+    return reduce(lambda acc, step: step(acc, **options.get(step, {})), STEPS[:last_step], text)
 
 
-def clean_text(text: Column) -> Column:
-    return clean_through(text, len(STEPS))
+def clean_text(text: Column, **options) -> Column:
+    return clean_through(text, len(STEPS), **options)
 
 
-def clean(df: DataFrame, text_col: str = "text", out_col: str | None = None) -> DataFrame:
+def clean(df: DataFrame, text_col: str = "text", out_col: str | None = None, **options) -> DataFrame:
     """For `df.transform(clean, "md")`: replace (or add) a cleaned text column."""
-    return df.withColumn(out_col or text_col, clean_text(F.col(text_col)))
+    return df.withColumn(out_col or text_col, clean_text(F.col(text_col), **options))

@@ -1,5 +1,6 @@
 """HTML elements and Markdown as column expressions, plus one Arrow helper for nested elements."""
 
+from functools import reduce
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -7,21 +8,16 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from groundline.functions.text import strip
+from groundline.functions.text import let, strip
 
 # Elements that never have a closing tag.
 VOID_ELEMENTS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 
-# (pattern, replacement) pairs that turn an HTML fragment into Markdown, in order. `{0}` stands for
-# optional attributes. Written for both Java's and RE2's dialect, so that SQL can check the result.
+# (pattern, replacement) pairs that turn the tags of an HTML fragment into Markdown, in order.
 _ATTRS = r"(?:\s[^>]*)?"
-MARKDOWN_RULES = (
-    (r"(?s)<!--.*?-->", ""),
-    (r"(?is)<script" + _ATTRS + r">.*?</script\s*>", ""),
-    (r"(?is)<style" + _ATTRS + r">.*?</style\s*>", ""),
-    (r"[ \t\r\n]+", " "),
+TAG_RULES = (
     *((rf"(?i)<h{n}{_ATTRS}>", "\n\n" + "#" * n + " ") for n in range(1, 7)),
     (r"(?i)</h[1-6]\s*>", "\n\n"),
     (r"(?i)</?(?:b|strong)" + _ATTRS + r">", "**"),
@@ -34,9 +30,8 @@ MARKDOWN_RULES = (
     (r"(?i)</t[dh]\s*>", " |"),
     (r"(?i)</?(?:p|div|ul|ol|table|article|section)" + _ATTRS + r">", "\n\n"),
     (r"<[^>]*>", ""),
-    (r" ?\n ?", "\n"),
-    (r"\n\n\n+", "\n\n"),
 )
+LINE_RULES = ((r" ?\n ?", "\n"), (r"\n\n\n+", "\n\n"))
 
 # Entities, `&amp;` last so that `&amp;lt;` ends as `&lt;`.
 ENTITIES = (
@@ -46,25 +41,87 @@ ENTITIES = (
     ("&#39;", "'"),
     ("&apos;", "'"),
     ("&nbsp;", " "),
+    ("&mdash;", "\u2014"),
+    ("&ndash;", "\u2013"),
+    ("&hellip;", "\u2026"),
+    ("&lsquo;", "\u2018"),
+    ("&rsquo;", "\u2019"),
+    ("&ldquo;", "\u201c"),
+    ("&rdquo;", "\u201d"),
     ("&amp;", "&"),
 )
 
 
+def _split_after_last(text: Column, closer: str, body) -> Column:
+    """`body(head, tail)`, where the head ends with the last match of `closer` (NULL if there is none)."""
+    head = F.regexp_substr(text, F.lit(rf"(?is)^.*{closer}"))
+    return let(F.struct(text.alias("t"), head.alias("h")), lambda x: body(x["h"], F.substring(x["t"], F.length(x["h"]) + 1, F.length(x["t"]))))
+
+
+def _delete_closed(text: Column, opener: str, closer: str) -> Column:
+    """Delete from each opener to the next closer. Only text up to the last closer is searched: there, every opener has one."""
+    pattern = rf"(?is){opener}.*?{closer}"
+    cut = _split_after_last(text, closer, lambda head, tail: F.concat(F.regexp_replace(head, pattern, ""), tail))
+    return F.coalesce(cut, text)
+
+
 def flat_element(html: Column, tag: str) -> Column:
     """First `<tag>` element with its markup, for a tag that does not nest in itself; else NULL."""
-    return strip(F.regexp_substr(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>")))
+    closer = rf"</{tag}\s*>"
+    pattern = F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>.*?{closer}")
+    return strip(_split_after_last(html, closer, lambda head, _: F.regexp_substr(head, pattern)))
+
+
+def _numbered_references(text: Column) -> Column:
+    """`&#8217;` and `&#x2019;` as characters; numbers beyond the code space stay as they are."""
+    number = F.lit(r"&#([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});")
+
+    def character(reference: Column) -> Column:
+        is_hex = F.lower(F.substring(reference, 3, 1)) == "x"
+        digits = F.when(is_hex, F.regexp_extract(reference, r"([0-9a-fA-F]+);", 1)).otherwise(F.regexp_extract(reference, r"([0-9]+);", 1))
+        code = F.conv(digits, 16, 10).cast("long")
+        code = F.when(is_hex, code).otherwise(F.conv(digits, 10, 10).cast("long"))
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        point = F.when(valid, code).otherwise(F.lit(63).cast("long"))
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")).otherwise(reference)
+
+    def joined(x: Column) -> Column:
+        def woven(characters: Column) -> Column:
+            return F.transform(x["between"], lambda part, i: F.concat(part, F.coalesce(F.get(characters, i), F.lit(""))))
+
+        return F.array_join(let(F.transform(x["found"], character), woven), "")
+
+    both = F.struct(F.regexp_extract_all(text, number, F.lit(0)).alias("found"), F.split(text, number, -1).alias("between"))
+    return F.when(text.contains("&#"), let(both, joined)).otherwise(text)
 
 
 def to_markdown(fragment: Column) -> Column:
-    """Headings, emphasis, lists, line breaks and table rows of an HTML fragment as Markdown."""
-    text = fragment
-    for pattern, replacement in MARKDOWN_RULES:
+    """Headings, emphasis, lists, line breaks and table rows of an HTML fragment as Markdown.
+
+    Linear in the text: what needs a closer is searched only up to the last one, tags only up to the last `>`.
+    """
+    text = _delete_closed(fragment, "<!--", "-->")
+    for tag in ("script", "style"):
+        text = _delete_closed(text, rf"<{tag}{_ATTRS}>", rf"</{tag}\s*>")
+    text = F.regexp_replace(text, r"[ \t\r\n]+", " ")
+
+    def tags(x: Column) -> Column:
+        tail = F.substring_index(x, ">", -1)
+        head = F.substring(x, F.lit(1), F.length(x) - F.length(tail))
+        return F.concat(reduce(lambda acc, rule: F.regexp_replace(acc, *rule), TAG_RULES, head), tail)
+
+    text = let(text, tags)
+    for pattern, replacement in LINE_RULES:
         text = F.regexp_replace(text, pattern, replacement)
+    text = _numbered_references(text)
     for entity, character in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(character))
     return strip(text)
 
 
+FED = 1 << 16  # characters given to the parser at once
+
+
 class _FirstElement(HTMLParser):
     """Offsets of the first element with a given tag and attribute, counting nested same tags."""
 
@@ -75,7 +132,10 @@ class _FirstElement(HTMLParser):
         self.line_starts = [0]
         for line in html.split("\n"):
             self.line_starts.append(self.line_starts[-1] + len(line) + 1)
-        self.feed(html)
+        for start in range(0, len(html), FED):
+            self.feed(html[start : start + FED])
+            if self.end is not None:
+                return  # the rest of the page is not looked at
         self.close()
 
     def _offset(self) -> int:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from groundline.functions.text import let
 
-N_BUCKETS = 256
+N_BUCKETS = 1 << 20
 
 
 def tokens(text: Column) -> Column:

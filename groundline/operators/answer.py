@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from groundline.functions.text import let, strip
 from groundline.functions.tokens import tokens
+from groundline.operators.prompt import TEMPLATE, prompts
 
 # Generation parameters.
 GENERATION = {"temperature": 0.1, "top_p": 0.95, "max_tokens": 1500}
@@ -37,13 +38,20 @@ def answer_extractive(retrieved: DataFrame) -> DataFrame:
 
 
 def answer(prompts: DataFrame, load: Callable[[dict], Callable[[list], list]], params: dict | None = None) -> DataFrame:
-    """`(qid, answer)` by a model: `load(params)` runs once per task, then maps prompts to answers."""
+    """`(qid, answer)` by a model: `load(params)` runs once per task, then maps prompts to answers. A missing prompt has no answer."""
     settings = {**GENERATION, **(params or {})}
 
     @F.arrow_udf("string")
     def generate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load(settings)
         for batch in batches:
-            yield pa.array(list(model(batch.to_pylist())), pa.string())
+            texts = [text for text in batch.to_pylist() if text is not None]
+            given = iter(model(texts) if texts else [])
+            yield pa.array([next(given) if there else None for there in batch.is_valid().to_pylist()], pa.string())
 
     return prompts.select("qid", generate("prompt").alias("answer"))
+
+
+def model_responder(load: Callable[[dict], Callable[[list], list]], params: dict | None = None, template: str = TEMPLATE):
+    """What `answer_requests` and `answer_stream` take as `respond`: prompts from the hits, answered by a model."""
+    return lambda retrieved: answer(prompts(retrieved, template), load, params)

@@ -26,14 +26,17 @@ def hashing_embedder(n_buckets: int = N_BUCKETS) -> Embedder:
 
 
 def model_embedder(embedder_id: str, dim: int, load: Callable[[], Callable[[list], list]]) -> Embedder:
-    """Wrap a model: `load()` runs once per task and returns a function from texts to vectors."""
+    """Wrap a model: `load()` runs once per task and returns a function from texts to vectors. Missing texts have none."""
 
     def vector(text: Column) -> Column:
         @F.arrow_udf("array<float>")
         def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             model = load()
             for batch in batches:
-                yield pa.array([list(v) for v in model(batch.to_pylist())], pa.list_(pa.float32()))
+                texts = [text for text in batch.to_pylist() if text is not None]
+                vectors = iter(model(texts) if texts else [])
+                known = [list(next(vectors)) if there else None for there in batch.is_valid().to_pylist()]
+                yield pa.array(known, pa.list_(pa.float32()))
 
         return score(text)
 

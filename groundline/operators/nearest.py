@@ -2,8 +2,8 @@
 
 Two exact plans share one scoring step:
 
-* Up to a checked number of queries, their matrix goes to every task. A task multiplies its Arrow
-  batches with it and keeps k rows per query, so the index is read once, is not shuffled, and only
+* Up to a checked number of queries, their vectors go to every task. A task multiplies its Arrow
+  batches with them and keeps k rows per query, so the index is read once, is not shuffled, and only
   `k * queries` rows leave a task.
 * Beyond that, both sides are cut into blocks of bounded size by a hash of their ids; each block of
   queries meets each block of rows in one group, and again only k rows per query leave a group.
@@ -44,19 +44,71 @@ def topk(scored: DataFrame, k: int, by: str = "score") -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _matrix(vec: pa.Array, dim: int) -> np.ndarray:
-    if pa.types.is_struct(vec.type):
+class Dense:
+    """Vectors of equal length as a matrix."""
+
+    def __init__(self, values: np.ndarray):
+        self.values = values
+
+    @classmethod
+    def of(cls, vec: pa.Array, dim: int):
+        values = pc.list_flatten(vec).to_numpy(zero_copy_only=False)
+        return cls(values.astype(np.float64).reshape(len(vec), dim))
+
+    def __len__(self) -> int:
+        return len(self.values)
+
+    def __getitem__(self, at):
+        return Dense(self.values[at])
+
+    def norms(self) -> np.ndarray:
+        return np.einsum("ij,ij->i", self.values, self.values)
+
+    def dots(self, queries) -> np.ndarray:
+        return self.values @ queries.values.T
+
+
+class Sparse:
+    """Term vectors as flat entries: only what a row and a query have in common is ever multiplied, whatever the dimension."""
+
+    def __init__(self, n: int, row: np.ndarray, bucket: np.ndarray, weight: np.ndarray):
+        self.n, self.row, self.bucket, self.weight = n, row, bucket, weight
+
+    @classmethod
+    def of(cls, vec: pa.Array, _dim: int):
         buckets, weights = vec.flatten()
-        dense = np.zeros((len(vec), dim))
         row = np.repeat(np.arange(len(vec)), pc.list_value_length(buckets).to_numpy(zero_copy_only=False))
-        dense[row, pc.list_flatten(buckets).to_numpy()] = pc.list_flatten(weights).to_numpy()
-        return dense
-    values = pc.list_flatten(vec).to_numpy(zero_copy_only=False)
-    return values.astype(np.float64).reshape(len(vec), dim)
+        bucket = pc.list_flatten(buckets).to_numpy(zero_copy_only=False)
+        return cls(len(vec), row, bucket, pc.list_flatten(weights).to_numpy(zero_copy_only=False).astype(np.float64))
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, at):
+        chosen = np.arange(self.n)[at]
+        place = np.full(self.n, -1)
+        place[chosen] = np.arange(len(chosen))
+        kept = place[self.row] >= 0
+        return Sparse(len(chosen), place[self.row[kept]], self.bucket[kept], self.weight[kept])
+
+    def norms(self) -> np.ndarray:
+        return np.bincount(self.row, weights=self.weight**2, minlength=self.n)
+
+    def dots(self, queries) -> np.ndarray:
+        order = np.argsort(queries.bucket, kind="stable")
+        listed = queries.bucket[order]
+        first, last = np.searchsorted(listed, self.bucket), np.searchsorted(listed, self.bucket, side="right")
+        common = np.flatnonzero(last > first)
+        n = (last - first)[common]
+        entry = np.repeat(common, n)
+        other = order[np.repeat(first[common], n) + np.arange(len(entry)) - np.repeat(np.cumsum(n) - n, n)]
+        cell = self.row[entry] * len(queries) + queries.row[other]
+        products = self.weight[entry] * queries.weight[other]
+        return np.bincount(cell, weights=products, minlength=self.n * len(queries)).reshape(self.n, len(queries))
 
 
-def _norms(matrix: np.ndarray) -> np.ndarray:
-    return np.einsum("ij,ij->i", matrix, matrix)
+def _vectors(vec: pa.Array, dim: int) -> Dense | Sparse:
+    return (Sparse if pa.types.is_struct(vec.type) else Dense).of(vec, dim)
 
 
 def _empty():
@@ -86,13 +138,14 @@ def _score(ids, rows, queries, wanted, best, k, positive_only):
     pass. The comparison is looser than the rounding of scores, so no hit is lost to it.
     """
     floor_score, floor_id = _worst(best, len(queries), k)
-    row_norms = _norms(rows)
+    row_norms = rows.norms()
     inverse = np.divide(1.0, np.sqrt(row_norms), out=np.zeros(len(rows)), where=row_norms > 0)[:, None]
     parts = [_empty()]
     for start in range(0, len(wanted), QUERY_SLICE):
         part = wanted[start : start + QUERY_SLICE]
-        norms = _norms(queries[part])
-        dots = rows @ queries[part].T
+        asked = queries[part]
+        norms = asked.norms()
+        dots = rows.dots(asked)
         scaled = dots * inverse  # score times length of the query
         fresh = floor_score[part] == -np.inf
         bound = np.where(fresh, 0, floor_score[part]) * np.sqrt(norms)
@@ -132,9 +185,9 @@ def _scan(qids, queries, probes, dim, k, positive_only):
             if batch.num_rows == 0:
                 continue
             ids = batch.column("id").to_numpy()
-            rows = _matrix(batch.column("vec"), dim)
+            rows = _vectors(batch.column("vec"), dim)
             if probes is None:
-                groups = [(slice(None), every)]
+                groups = [(slice(None), every)] if len(every) else []
             else:
                 cells = batch.column("cell").to_numpy()
                 groups = [(cells == c, probes[c]) for c in np.unique(cells) if c in probes]
@@ -152,10 +205,10 @@ def _score_blocks(dim, k, positive_only):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         best = _empty()
         if left.num_rows:
-            queries = _matrix(left.column("vec").combine_chunks(), dim)
+            queries = _vectors(left.column("vec").combine_chunks(), dim)
             every = np.arange(len(queries))
             for batch in right.to_batches(max_chunksize=ROW_SLICE):
-                ids, rows = batch.column("id").to_numpy(), _matrix(batch.column("vec"), dim)
+                ids, rows = batch.column("id").to_numpy(), _vectors(batch.column("vec"), dim)
                 best = _merge(best, _score(ids, rows, queries, every, best, k, positive_only), k)
         query, ids, score = best
         qids = left.column("qid").combine_chunks()
@@ -203,7 +256,9 @@ def nearest(
     index = index.filter("vec IS NOT NULL").select("id", "vec", *(["cell"] if with_cells else []))
     schema = f"qid {queries.schema['qid'].dataType.simpleString()}, id bigint, score double"
 
-    max_queries = min(MAX_QUERIES, max(1, max_matrix_values // dim))
+    sparse = queries.schema["vec"].dataType.typeName() == "struct"
+    max_queries = MAX_QUERIES if sparse else min(MAX_QUERIES, max(1, max_matrix_values // dim))
+    max_queries = min(max_queries, max_matrix_values)
     local = queries.limit(max_queries + 1).toArrow().combine_chunks()
     if local.num_rows > max_queries:
         if with_cells:
@@ -214,7 +269,7 @@ def nearest(
         return Hits(topk(scored, k), None)
 
     qids = local.column("qid").combine_chunks()
-    matrix = _matrix(local.column("vec").combine_chunks(), dim) if local.num_rows else np.zeros((0, dim))
+    matrix = _vectors(local.column("vec").combine_chunks(), dim) if local.num_rows else Dense(np.zeros((0, dim)))
     probes = None
     if with_cells:
         cells = local.column("cells").combine_chunks()

@@ -27,6 +27,7 @@ HISTORY_ANSWER = ". 답변 : "
 
 CONTEXT_SEPARATOR = "\n\n"
 TURN_BLOCK = 65_536
+BLOCKS = 256  # parts of a longer conversation
 
 
 def question_set(spark) -> DataFrame:
@@ -53,44 +54,60 @@ def prompts(retrieved: DataFrame, template: str = TEMPLATE, separator: str = CON
     return retrieved.select("qid", fill_template(template, context=context, question=F.col("query")).alias("prompt"))
 
 
-def _previous_two(turns: DataFrame, window) -> DataFrame:
-    return turns.withColumns(
-        {
-            "last_question": F.lag("text", 2).over(window),
-            "last_answer": F.lag("text", 1).over(window),
-            "has_two": F.lag("turn", 2).over(window).isNotNull(),
-        }
-    )
+def _pairs(turns: DataFrame, window) -> DataFrame:
+    """Add `pair`: a user turn's text with that of the assistant turn right after it."""
+    after = F.lead(F.struct("role", "text")).over(window)
+    complete = (F.col("role") == "user") & (F.col("after.role") == "assistant")
+    pair = F.when(complete, F.struct(F.col("text").alias("question"), F.col("after.text").alias("answer")))
+    return turns.withColumn("after", after).withColumn("pair", pair).drop("after")
 
 
-def _with_previous(turns: DataFrame, block: int) -> DataFrame:
-    """Add the texts of the two turns before each turn of a conversation.
+def _last_pair(window) -> Column:
+    return F.last("pair", ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
 
-    Turn numbers are unique within a conversation, so while all of them are below `block` no window
-    group has more than `block` rows. Otherwise conversations are cut into blocks of turns: inside a
-    block the window looks back as usual, and the first two turns of a block are looked up in a
-    second window that holds only the two first and two last turns of every block.
-    """
-    top = turns.agg(F.min("turn"), F.max("turn")).first()
-    if top[1] is None or (top[0] >= 0 and top[1] < block):
-        return _previous_two(turns, Window.partitionBy("conv_id").orderBy("turn"))
-    inside = Window.partitionBy("conv_id", "turn_block").orderBy("turn")
-    blocks = turns.withColumn("turn_block", F.floor(F.col("turn") / block))
-    looked = _previous_two(blocks, inside).withColumn("is_last_two", F.lead("turn", 2).over(inside).isNull())
-    edges = looked.filter("NOT has_two OR is_last_two").select("conv_id", "turn", "role", "text", F.col("has_two").alias("done"))
-    starts = _previous_two(edges, Window.partitionBy("conv_id").orderBy("turn")).filter("NOT done")
-    columns = ("conv_id", "turn", "role", "text", "last_question", "last_answer", "has_two")
-    return looked.filter("has_two").select(*columns).unionByName(starts.select(*columns))
+
+def _plain(turns: DataFrame) -> DataFrame:
+    window = Window.partitionBy("conv_id").orderBy("turn")
+    return _pairs(turns, window).withColumn("last_pair", _last_pair(window)).drop("pair")
+
+
+def _in_blocks(turns: DataFrame, bounds: DataFrame) -> DataFrame:
+    """The same for long conversations, in blocks of rows between bounds; what passes from block to block is a row per block."""
+    number = F.size(F.filter("bounds", lambda bound: bound <= F.col("turn")))
+    placed = turns.join(bounds, "conv_id").withColumn("block", number).drop("bounds")
+    inside = Window.partitionBy("conv_id", "block").orderBy("turn")
+    rows = _pairs(placed, inside)
+    said = F.struct("role", "text")
+    ends = rows.groupBy("conv_id", "block").agg(
+        F.min_by(said, "turn").alias("first"),
+        F.max_by(said, "turn").alias("end"),
+        F.max_by("pair", F.when(F.col("pair").isNotNull(), F.col("turn"))).alias("inner"),
+    )
+    order = Window.partitionBy("conv_id").orderBy("block")
+    over_edge = F.when(
+        (F.col("end.role") == "user") & (F.col("next.role") == "assistant"),
+        F.struct(F.col("end.text").alias("question"), F.col("next.text").alias("answer")),
+    )
+    ends = ends.withColumn("next", F.lead("first").over(order)).withColumn("pair", F.coalesce(over_edge, "inner"))
+    carried = ends.select("conv_id", "block", _last_pair(order).alias("carried"))
+    looked = rows.withColumn("own", _last_pair(inside)).join(carried, ["conv_id", "block"])
+    return looked.select(*turns.columns, F.coalesce("own", "carried").alias("last_pair"))
 
 
 def with_history(conversations: DataFrame, extra: str = "", block: int = TURN_BLOCK) -> DataFrame:
-    """`(conv_id, turn, query)`: each user turn as a request that carries the last question and answer.
+    """`(conv_id, turn, query)`: each user turn as a request that carries the last question that was answered, and its answer.
 
-    `conversations(conv_id, turn, role, text)` alternate between user and assistant; system turns
-    are left out. The first request is `message. extra.`.
+    An answer is the assistant turn right after a user turn of `conversations(conv_id, turn, role, text)`; system turns
+    are left out and missing texts count as empty. The first request is `message. extra.`. Conversations of more than
+    `block` rows are cut at quantiles of their turns, so that no task sorts one of them whole.
     """
-    turns = conversations.select("conv_id", "turn", "role", "text").filter("role <> 'system'")
+    turns = conversations.filter("role <> 'system'").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    long = turns.groupBy("conv_id").count().filter(F.col("count") > block).select("conv_id")
+    steps = [i / BLOCKS for i in range(1, BLOCKS)]
+    bounds = turns.join(long, "conv_id", "left_semi").groupBy("conv_id")
+    bounds = bounds.agg(F.array_distinct(F.percentile_approx("turn", steps, 10_000)).alias("bounds"))
+    looked = _plain(turns.join(long, "conv_id", "left_anti")).unionByName(_in_blocks(turns, bounds))
     message = F.concat(F.col("text"), F.lit(f". {extra}."))
-    history = F.concat(F.lit(f" {HISTORY_INTRO}"), "last_question", F.lit(HISTORY_ANSWER), "last_answer")
-    query = F.when(F.col("has_two"), F.concat(message, history)).otherwise(message)
-    return _with_previous(turns, block).filter("role = 'user'").select("conv_id", "turn", query.alias("query"))
+    history = F.concat(F.lit(f" {HISTORY_INTRO}"), "last_pair.question", F.lit(HISTORY_ANSWER), "last_pair.answer")
+    query = F.when(F.col("last_pair").isNotNull(), F.concat(message, history)).otherwise(message)
+    return looked.filter("role = 'user'").select("conv_id", "turn", query.alias("query"))

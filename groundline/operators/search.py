@@ -11,6 +11,11 @@ from groundline.operators.nearest import Hits, nearest
 RESULTS = 4
 
 
+def distinct_questions(questions: DataFrame) -> DataFrame:
+    """`(qid, query)` with every qid once; of different questions under one qid the first in text order counts."""
+    return questions.groupBy("qid").agg(F.min("query").alias("query"))
+
+
 def attach(hits: Hits, rows: DataFrame, columns) -> DataFrame:
     """Fetch `columns` of the hit rows: `(qid, rank, id, <columns>, score)`.
 
@@ -32,7 +37,7 @@ def search_vector(queries: DataFrame, rows: DataFrame, dim: int, columns=(), k:
 def search_text(queries: DataFrame, index: VectorIndex, columns=("content",), k: int = RESULTS) -> DataFrame:
     """Search by question text: `queries(qid, query)` are embedded by the index's own embedder."""
     rows = index.rows()
-    hits = nearest(embed_queries(queries, index.embedder), rows, k, index.embedder.dim, positive_only=True)
+    hits = nearest(embed_queries(distinct_questions(queries), index.embedder), rows, k, index.embedder.dim, positive_only=True)
     return attach(hits, rows, columns)
 
 
@@ -48,7 +53,8 @@ def search_approx(
 
 
 def retrieve(questions: DataFrame, index: VectorIndex, k: int = RESULTS) -> DataFrame:
-    """`(qid, query, contents)`: the texts of the k nearest chunks in rank order, maybe none."""
+    """`(qid, query, contents)`: the texts of the k nearest chunks in rank order, maybe none. A repeated qid gives one row."""
+    questions = distinct_questions(questions)
     found = (
         search_text(questions, index, ("content",), k)
         .groupBy("qid")

@@ -5,7 +5,6 @@ windows over line rows, scores from a join of term rows, history from window fra
 """
 
 from groundline.functions.cleaning import SOFT_HYPHEN
-from groundline.functions.html import ENTITIES, MARKDOWN_RULES
 from groundline.functions.text import WHITESPACE
 from groundline.operators.answer import NO_ANSWER
 from groundline.operators.prompt import CONTEXT_SEPARATOR, HISTORY_ANSWER, HISTORY_INTRO, SAMPLE_QUESTIONS, TEMPLATE
@@ -103,11 +102,27 @@ def _clean_ctes(source: str, last: int = len(CLEAN)) -> list[str]:
     return ctes
 
 
+def _tag(names: str) -> str:
+    return rf"(?i)<(?:{names})(?:[ \t\r\n][^>]*)?>"
+
+
 def _markdown(x: str) -> str:
-    for pattern, replacement in MARKDOWN_RULES:
-        x = sub(x, pattern, replacement)
-    for entity, character in ENTITIES:
-        x = rep(x, entity, character)
+    """What SURVEY asks of Markdown, written for RE2: one tag group after the other."""
+    for pattern in (r"(?s)<!--.*?-->", r"(?is)<script(?:\s[^>]*)?>.*?</script\s*>", r"(?is)<style(?:\s[^>]*)?>.*?</style\s*>"):
+        x = sub(x, pattern, "")
+    x = sub(x, r"\s+", " ")
+    for level in range(6, 0, -1):
+        x = sub(x, _tag(f"h{level}"), NEWLINE * 2 + "#" * level + " ")
+    for names, mark in (("b|strong|/b|/strong", "**"), ("i|em|/i|/em", "*"), ("code|/code", "`"), ("br|br/", NEWLINE),
+                        ("li", NEWLINE + "- "), ("tr", NEWLINE + "|"), ("td|th", " ")):
+        x = sub(x, _tag(names), mark)
+    x = sub(x, r"(?i)</(?:td|th)\s*>", " |")
+    blocks = "|".join(f"{name}|/{name}" for name in ("p", "div", "ul", "ol", "table", "article", "section"))
+    x = sub(x, _tag(blocks + "|/h1|/h2|/h3|/h4|/h5|/h6"), NEWLINE * 2)
+    x = sub(sub(x, "<[^>]*>", ""), " ?\n ?", NEWLINE)
+    x = sub(x, "\n{3,}", NEWLINE * 2)
+    for name, character in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("apos", "'"), ("nbsp", " "), ("amp", "&")):
+        x = rep(x, f"&{name};", character)
     return strip(x)
 
 
@@ -148,7 +163,7 @@ def token_list(x: str) -> str:
 
 def _terms(name: str, key: str, text: str, source: str) -> str:
     return f"""{name} AS (
-      SELECT {key}, ('0x' || substr(md5(t), 1, 8))::BIGINT % 256 AS bucket, count(*) AS weight
+      SELECT {key}, ('0x' || substr(md5(t), 1, 8))::BIGINT % 1048576 AS bucket, count(*) AS weight
       FROM (SELECT {key}, unnest({token_list(text)}) AS t FROM {source}) GROUP BY ALL)"""
 
 
@@ -229,13 +244,24 @@ def _extractive() -> list[str]:
 
 PAGE_ANSWERS = [*PAGE_CHUNKS, QUESTIONS, *SEARCH, CONTEXTS]
 PROMPT = _template(f"coalesce(array_to_string(contents, {lit(CONTEXT_SEPARATOR)}), '')", "query")
-HISTORY = [
-    """turns AS (SELECT *, lag(text, 2) OVER w AS q, lag(text, 1) OVER w AS a, row_number() OVER w AS n
-         FROM conversations WHERE role <> 'system' WINDOW w AS (PARTITION BY conv_id ORDER BY turn))""",
-    f"""history AS (SELECT conv_id, turn, text || '. {EXTRA}.' || CASE WHEN n > 2
-          THEN {lit(' ' + HISTORY_INTRO)} || q || {lit(HISTORY_ANSWER)} || a ELSE '' END AS query
-        FROM turns WHERE role = 'user')""",
-]
+
+
+def _history(source: str) -> list[str]:
+    """Each user turn, with the newest user turn before it that an assistant turn follows at once."""
+    return [
+        f"""said AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n
+             FROM {source} WHERE role <> 'system')""",
+        """answered AS (SELECT u.conv_id, u.n, u.text AS q, a.text AS a FROM said u JOIN said a
+             ON a.conv_id = u.conv_id AND a.n = u.n + 1 AND u.role = 'user' AND a.role = 'assistant')""",
+        f"""history AS (SELECT u.conv_id, u.turn, u.text || '. {EXTRA}.' || coalesce(
+              {lit(' ' + HISTORY_INTRO)} || p.q || {lit(HISTORY_ANSWER)} || p.a, '') AS query
+            FROM (SELECT * FROM said WHERE role = 'user') u ASOF LEFT JOIN answered p
+              ON u.conv_id = p.conv_id AND u.n > p.n)""",
+    ]
+
+
+HISTORY = _history("conversations")
+NO_QUESTIONS = " UNION ALL SELECT -1 - item_id, NULL, NULL, 'no question in the payload' FROM benchmark"
 ANSWERS = [*DOCUMENT_SEARCH, CONTEXTS, *_extractive()]
 SYNCED = _with(
     [*SNAPSHOTS, _terms("dterms", "id", "content", "new"), _norms("norms", "id", "dterms")], INDEX_SUMMARY.format("new")
@@ -311,6 +337,25 @@ ORACLES = {
     ),
     "index_sync": SYNCED,
     "index_sync_stream": SYNCED,
+    "index_rebuild": SYNCED,
+    "index_sync_late": _with(
+        [
+            *SNAPSHOTS,
+            "merged AS (SELECT * FROM new UNION ALL SELECT * FROM old WHERE id NOT IN (SELECT id FROM new))",
+            _terms("dterms", "id", "content", "merged"),
+            _norms("norms", "id", "dterms"),
+        ],
+        INDEX_SUMMARY.format("merged"),
+    ),
+    "index_sync_nulls": _with(
+        [
+            "kept AS (SELECT doc_id * 1000000 AS id, CASE WHEN lang <> 'es' THEN text END AS content FROM documents)",
+            _terms("dterms", "id", "content", "kept"),
+            _norms("norms", "id", "dterms"),
+        ],
+        """SELECT id, md5(content) AS content_md5, CASE WHEN content IS NOT NULL THEN coalesce(n2, 0) END AS norm2
+           FROM kept LEFT JOIN norms USING (id)""",
+    ),
     "search_text": _with(
         DOCUMENT_SEARCH, "SELECT qid, rank::INT AS rank, id, content, score FROM hits JOIN indexed USING (id)"
     ),
@@ -342,6 +387,14 @@ ORACLES = {
         [*DOCUMENT_CHUNKS, ALL_QUESTIONS, *SEARCH], "SELECT qid, rank::INT AS rank, id, score FROM hits"
     ),
     "history_prompts": _with(HISTORY, "SELECT conv_id, turn, query FROM history"),
+    "history_gaps": _with(
+        [
+            """doubled AS (SELECT conv_id, turn * 10 AS turn, role, text FROM conversations
+                 UNION ALL SELECT conv_id, turn * 10 + 1, role, text || ' please' FROM conversations WHERE role = 'user')""",
+            *_history("doubled"),
+        ],
+        "SELECT conv_id, turn, query FROM history",
+    ),
     "chat_prompts": _with(
         [*DOCUMENT_CHUNKS, *HISTORY, "questions AS (SELECT {conv_id: conv_id, turn: turn} AS qid, query FROM history)",
          *SEARCH, CONTEXTS],
@@ -349,21 +402,28 @@ ORACLES = {
     ),
     "answers_extractive": _with(ANSWERS, "SELECT qid, answer FROM answers"),
     "first_prediction": "SELECT conv_id, turn, text AS answer FROM conversations WHERE role = 'assistant'",
-    "answer_stream": _with(ANSWERS, "SELECT qid AS request_id, query, answer FROM answers"),
+    "answer_stream": _with(ANSWERS, "SELECT qid AS request_id, query, answer, NULL::VARCHAR AS error FROM answers" + NO_QUESTIONS),
+    "answer_stream_model": _with(
+        PAGE_ANSWERS,
+        f"""SELECT qid AS request_id, query, length({PROMPT})::VARCHAR || ' of 1500' AS answer, NULL::VARCHAR AS error
+            FROM questions LEFT JOIN contexts USING (qid)""" + NO_QUESTIONS,
+    ),
     "payload_rows": """SELECT item_id AS qid, form, text AS query
          FROM benchmark, (VALUES ('split'), ('inputs')) f(form)""",
     "data_array": _with(
-        _exploded("CASE WHEN lang <> 'es' THEN string_split(text, chr(10)) END", "documents"),
+        _exploded("string_split(text, chr(10))", "documents"),
         """SELECT doc_id, z[2] AS line_no, z[1] AS line FROM zipped
-           UNION ALL SELECT doc_id, NULL, NULL FROM documents WHERE lang = 'es'""",
+           UNION ALL SELECT -1 - doc_id, NULL, NULL FROM documents""",
     ),
     "latest_version": """SELECT source AS name, greatest(1, max(n_chars))::INT AS latest_version
          FROM documents GROUP BY source""",
     "sitemap_urls": "SELECT url FROM pages",
-    "page_source": "SELECT page_id, url, html FROM pages",
+    "page_source": "SELECT page_id, url, html FROM pages UNION ALL SELECT -1 - page_id, url, NULL FROM pages",
     "article_text": f"SELECT page_id, url, nullif({ARTICLE}, '') AS text FROM pages",
-    "article_nested": """SELECT page_id, url, nullif(regexp_extract(html, '(?s)<div class="ad">.*?</div>'), '') AS text
-         FROM pages""",
+    # the block's own text ends at its first closing tag; the nested blocks stand before it
+    "article_nested": """SELECT page_id, url, CASE WHEN contains(html, '<div class="ad">') THEN
+             '<div class="ad"><div><div>a</div>b</div>' || split_part(split_part(html, '<div class="ad">', 2), '</div>', 1) || '</div>'
+           END AS text FROM pages""",
     "nonnull_articles": f"SELECT url, {ARTICLE} AS text FROM pages WHERE {ARTICLE} <> ''",
     "html_markdown": _with([MARKDOWN], "SELECT page_id, md FROM markdown"),
     "page_range": _with(

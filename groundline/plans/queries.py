@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from groundline.functions.cleaning import STEPS, clean_text, clean_through
 from groundline.functions.tokens import squared_norm, vec_head
 from groundline.operators import cells, chunk, embed, index, prompt, search
-from groundline.operators.answer import answer, answer_extractive
+from groundline.operators.answer import answer, answer_extractive, model_responder
 from groundline.operators.nearest import topk
 from groundline.plans import tables as t
 from groundline.session import shared_dir
@@ -19,6 +19,7 @@ from groundline.streaming.sync import sync_stream
 DIMENSIONS = 64
 CELLS, PROBES = 16, 4
 CHUNK_TOKENS = 64
+AD, NESTED = '<div class="ad">', "<div><div>a</div>b</div>"
 
 
 def clean_step(spark: SparkSession, sf_dir: str, step: int) -> DataFrame:
@@ -136,6 +137,36 @@ def index_sync_stream(spark, sf_dir):
     return _index_summary(sync_stream(spark, feed, root, t.EMBEDDER, checkpoint).rows())
 
 
+def index_rebuild(spark, sf_dir):
+    """The new snapshot over an index of the old one."""
+    root = shared_dir(spark, "index-rebuild")
+    index.build_index(t.old_snapshot(spark, sf_dir), root, t.EMBEDDER)
+    return _index_summary(index.build_index(t.new_snapshot(spark, sf_dir), root, t.EMBEDDER).rows())
+
+
+def index_sync_late(spark, sf_dir):
+    """New rows as changes of a higher number, then the old rows, late: they only add ids that are not there."""
+    root = shared_dir(spark, "index-late")
+
+    def changes(rows, seq):
+        return rows.withColumns({"seq": F.lit(seq).cast("long"), "op": F.lit("update")})
+
+    index.apply_changes(changes(t.new_snapshot(spark, sf_dir), 3), root, t.EMBEDDER, batch_id=0)
+    late = index.apply_changes(changes(t.old_snapshot(spark, sf_dir), 2), root, t.EMBEDDER, batch_id=1)
+    return _index_summary(index.compact_index(late).rows())
+
+
+def index_sync_nulls(spark, sf_dir):
+    """All documents, then twice the same with the Spanish texts missing."""
+    root = shared_dir(spark, "index-nulls")
+    docs = t.table(spark, sf_dir, "documents").select(chunk_table.chunk_id(F.col("doc_id"), F.lit(0)).alias("id"), "lang", "text")
+    whole = docs.select("id", F.col("text").alias("content"))
+    missing = docs.select("id", F.when(F.col("lang") != "es", F.col("text")).alias("content"))
+    for rows in (whole, missing, missing):
+        synced = index.sync_index(rows, root, t.EMBEDDER)
+    return _index_summary(synced.rows())
+
+
 def search_text(spark, sf_dir):
     found = t.chunk_index(spark, sf_dir, t.document_chunks)
     return search.search_text(t.questions(spark, sf_dir), found)
@@ -198,6 +229,13 @@ def history_prompts(spark, sf_dir):
     return t.chat_questions(spark, sf_dir).select("qid.conv_id", "qid.turn", "query")
 
 
+def history_gaps(spark, sf_dir):
+    """Every question asked twice in a row, so that user and assistant do not take turns."""
+    turns = t.table(spark, sf_dir, "conversations").withColumn("turn", F.col("turn") * 10)
+    again = turns.filter("role = 'user'").withColumns({"turn": F.col("turn") + 1, "text": F.concat("text", F.lit(" please"))})
+    return prompt.with_history(turns.unionByName(again), t.EXTRA)
+
+
 def chat_prompts(spark, sf_dir):
     """All turns of all conversations: add history, retrieve, fill in."""
     found = t.chunk_index(spark, sf_dir, t.document_chunks)
@@ -227,16 +265,27 @@ def first_prediction(spark, sf_dir):
     return turns.select("conv_id", "turn", payload.first_prediction(response).alias("answer"))
 
 
-def answer_stream_rows(spark, sf_dir):
-    """All questions as request files, alternating the two request forms by length of the question."""
+def _answer_stream(spark, sf_dir, found, **options):
+    """All questions as request files, in two request forms; each delivered twice and beside it a request without a question."""
     requests, out, checkpoint = (shared_dir(spark, f"answers-{part}") for part in ("in", "out", "checkpoint"))
     asked = t.questions(spark, sf_dir)
     body = F.when(F.length("query") > 200, payload.encode_split(F.col("query"))).otherwise(
         payload.encode_inputs(F.col("query"))
     )
-    asked.select(F.col("qid").alias("request_id"), body.alias("payload")).write.json(requests)
-    found = t.chunk_index(spark, sf_dir, t.document_chunks)
-    return answer_stream(spark, requests, found, out, checkpoint).select("request_id", "query", "answer")
+    good = asked.select(F.col("qid").alias("request_id"), body.alias("payload"))
+    bad = asked.select((-1 - F.col("qid")).alias("request_id"), F.col("query").alias("payload"))
+    good.union(good).union(bad).write.json(requests)
+    return answer_stream(spark, requests, found, out, checkpoint, **options).select("request_id", "query", "answer", "error")
+
+
+def answer_stream_rows(spark, sf_dir):
+    return _answer_stream(spark, sf_dir, t.chunk_index(spark, sf_dir, t.document_chunks))
+
+
+def answer_stream_model(spark, sf_dir):
+    """The stream with a model over prompts from pages, with the stand-in of `answers_model`."""
+    found = t.chunk_index(spark, sf_dir, t.page_chunks)
+    return _answer_stream(spark, sf_dir, found, respond=model_responder(_load_prompt_lengths))
 
 
 def payload_rows(spark, sf_dir):
@@ -254,12 +303,12 @@ def payload_rows(spark, sf_dir):
 
 
 def data_array(spark, sf_dir):
-    """Each document as a search response with a row per line; Spanish ones came back without a result."""
+    """Each document as a search response with a row per line; beside each a response without a result."""
     lines = F.transform(F.split("text", "\n", -1), lambda line, i: F.array(i.cast("string"), line))
     result = F.to_json(F.struct(F.struct(lines.alias("data_array")).alias("result")))
-    responses = t.table(spark, sf_dir, "documents").select(
-        "doc_id", F.when(F.col("lang") == "es", "{}").otherwise(result).alias("response")
-    )
+    docs = t.table(spark, sf_dir, "documents")
+    responses = docs.select("doc_id", result.alias("response"))
+    responses = responses.union(docs.select(-1 - F.col("doc_id"), F.lit("{}")))
     return payload.data_array(responses).select(
         "doc_id", F.get("hit", 0).cast("long").alias("line_no"), F.get("hit", 1).alias("line")
     )
@@ -277,7 +326,12 @@ def sitemap_urls(spark, sf_dir):
 
 
 def page_source(spark, sf_dir):
-    return pages.read_pages(spark, f"{sf_dir}/pages.parquet")
+    """All pages as a crawl that reached them, and each again as one that did not."""
+    crawl = shared_dir(spark, "crawl")
+    reached = t.table(spark, sf_dir, "pages").withColumn("status", F.lit(200))
+    failed = reached.withColumns({"page_id": -1 - F.col("page_id"), "status": F.lit(404)})
+    reached.union(failed).write.parquet(crawl)
+    return pages.read_pages(spark, crawl)
 
 
 def article_text(spark, sf_dir):
@@ -286,13 +340,16 @@ def article_text(spark, sf_dir):
 
 
 def article_nested(spark, sf_dir):
-    """The first advertisement block, by tag and attribute."""
-    found = pages.extract_article(t.page_source(spark, sf_dir), "div", "class", "ad")
+    """The first advertisement block, by tag and attribute, with blocks inside it."""
+    inside = F.replace("html", F.lit(AD), F.lit(AD + NESTED))
+    found = pages.extract_article(t.page_source(spark, sf_dir).withColumn("html", inside), "div", "class", "ad")
     return found.select("page_id", "url", "text")
 
 
 def nonnull_articles(spark, sf_dir):
-    return pages.nonnull_articles(article_text(spark, sf_dir))
+    """All articles, and beside each a page that had none."""
+    articles = article_text(spark, sf_dir)
+    return pages.nonnull_articles(articles.union(articles.withColumn("text", F.lit(None).cast("string"))))
 
 
 def html_markdown(spark, sf_dir):
@@ -321,6 +378,9 @@ QUERIES = {
     "index_diff": index_diff,
     "index_sync": index_sync,
     "index_sync_stream": index_sync_stream,
+    "index_rebuild": index_rebuild,
+    "index_sync_late": index_sync_late,
+    "index_sync_nulls": index_sync_nulls,
     "search_text": search_text,
     "search_vector": search_vector,
     "search_approx": search_approx,
@@ -330,11 +390,13 @@ QUERIES = {
     "fill_template": fill_template,
     "question_set": question_set,
     "history_prompts": history_prompts,
+    "history_gaps": history_gaps,
     "chat_prompts": chat_prompts,
     "answers_extractive": answers_extractive,
     "answers_model": answers_model,
     "first_prediction": first_prediction,
     "answer_stream": answer_stream_rows,
+    "answer_stream_model": answer_stream_model,
     "payload_rows": payload_rows,
     "data_array": data_array,
     "latest_version": latest_version,

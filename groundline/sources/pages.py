@@ -66,9 +66,13 @@ def nonnull_articles(articles: DataFrame) -> DataFrame:
     return kept
 
 
-def html_to_markdown(pages: DataFrame, tag: str = "article") -> DataFrame:
-    """`(page_id, md)`: the page's article as Markdown. Pages without one are left out."""
-    article = H.flat_element(F.col("html"), tag)
+def html_to_markdown(pages: DataFrame, tag: str = "article", attr: str | None = None, value: str | None = None) -> DataFrame:
+    """`(page_id, md)`: the page's article as Markdown. Pages without one are left out.
+
+    With `attr` and `value` the element is chosen by attribute and may nest in its own tag.
+    """
+    html = F.col("html")
+    article = H.flat_element(html, tag) if attr is None else H.nested_element(html, tag, attr, value)
     return (
         pages.filter(F.col("html").isNotNull())
         .select("page_id", present(article).alias("article"))

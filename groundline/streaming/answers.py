@@ -6,34 +6,50 @@ from pyspark.sql import functions as F
 from groundline.operators.answer import answer_extractive
 from groundline.operators.index import VectorIndex
 from groundline.operators.search import RESULTS, retrieve
-from groundline.sources.payload import decode_payload
+from groundline.sources.payload import payload_values
 
 REQUEST_SCHEMA = "request_id BIGINT, payload STRING"
 
 
+NO_QUESTION = "no question in the payload"
+
+
 def answer_requests(requests: DataFrame, index: VectorIndex, k: int = RESULTS, respond=answer_extractive) -> DataFrame:
-    """`(request_id, pos, query, answer)` for the questions in `(request_id, payload)` rows."""
-    asked = decode_payload(requests).withColumn("qid", F.struct("request_id", "pos"))
-    questions = asked.select("qid", "query")
-    answers = respond(retrieve(questions, index, k))
-    return asked.join(answers, "qid").select("request_id", "pos", "query", "answer")
+    """`(request_id, pos, query, answer, error)` for the questions in `(request_id, payload)` rows.
+
+    A request that holds no question keeps one row, without an answer and with an error; so does a question that is
+    missing. A request that is delivered again is answered once; of different payloads under one id the first in text
+    order counts.
+    """
+    once = requests.groupBy("request_id").agg(F.min("payload").alias("payload"))
+    asked = once.select("request_id", F.posexplode_outer(payload_values(F.col("payload"))).alias("pos", "query"))
+    asked = asked.withColumn("qid", F.struct("request_id", "pos"))
+    answers = respond(retrieve(asked.filter("query IS NOT NULL").select("qid", "query"), index, k))
+    error = F.when(F.col("query").isNull(), F.lit(NO_QUESTION))
+    return asked.join(answers, "qid", "left").select("request_id", "pos", "query", "answer", error.alias("error"))
 
 
 def answer_stream(
-    spark: SparkSession, requests_dir: str, index: VectorIndex, out_dir: str, checkpoint: str, k: int = RESULTS
+    spark: SparkSession,
+    requests_dir: str,
+    index: VectorIndex,
+    out_dir: str,
+    checkpoint: str,
+    k: int = RESULTS,
+    respond=answer_extractive,
+    files_per_batch: int = 1000,
 ) -> DataFrame:
     """One triggered run over JSON-lines request files; the answers so far are returned.
 
-    Each batch writes a folder of its own and overwrites it if it is replayed.
+    Each batch takes up to `files_per_batch` files, writes a folder of its own and overwrites it if it is replayed. A
+    request that comes again in a later batch is answered again there; the answer of the first batch counts.
     """
 
     def write(batch, batch_id):
-        batch.persist()
-        answers = answer_requests(batch, index, k)
+        answers = answer_requests(batch, index, k, respond)
         answers.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
-        batch.unpersist()
 
-    requests = spark.readStream.schema(REQUEST_SCHEMA).json(requests_dir)
+    requests = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", files_per_batch).json(requests_dir)
     query = (
         requests.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
@@ -41,4 +57,6 @@ def answer_stream(
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(out_dir)
+    given = spark.read.parquet(out_dir)
+    first = given.groupBy("request_id").agg(F.min("batch").alias("batch"))
+    return given.join(first, ["request_id", "batch"], "left_semi").drop("batch")

@@ -98,5 +98,6 @@ def test_tokens_and_paragraphs(spark):
 def test_chunk_ids(spark):
     df = spark.createDataFrame([(3, 0), (3, 999_999), (4, 0)], "d BIGINT, n INT")
     assert [r[0] for r in df.select(chunk_id(F.col("d"), F.col("n"))).collect()] == [3_000_000, 3_999_999, 4_000_000]
-    with pytest.raises(Exception, match="too many chunks"):
-        spark.createDataFrame([(3, CHUNKS_PER_DOCUMENT)], "d BIGINT, n INT").select(chunk_id(F.col("d"), F.col("n"))).collect()
+    odd = spark.createDataFrame([(3, 1_000_000), (-1, 0), (10**13, 0), (10**18, 5), (-1, 1)], "d BIGINT, n INT")
+    ids = [r[0] for r in odd.select(chunk_id(F.col("d"), F.col("n"))).collect()]
+    assert all(i < 0 for i in ids) and len(set(ids)) == 5

@@ -86,6 +86,8 @@ HOSTILE = {
     "long line": "word " * LONG,
     "many lines": "3) line\n" * LONG,
     "hashes": "#" * LONG,
+    "table labels": "표 1 " * LONG,
+    "table labels and bars": "표 1 |" * LONG,
 }
 
 

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from groundline.plans.queries import QUERIES
 from tools.check import check, connect
 
 
@@ -11,13 +12,13 @@ def connection(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, connection, sf_dir, name):
     assert check(spark, connection, sf_dir, name) is None
 
 
 def test_every_query_but_the_approximate_one_has_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"search_approx"}
+    assert set(QUERIES) - set(contract.oracle_sql()) == {"search_approx"}
 
 
 def test_entry(spark):

@@ -37,18 +37,33 @@ def test_history(spark):
     ]
 
 
-def test_long_conversations_in_blocks_equal_the_plain_window(spark):
+def by_hand(rows):
+    out, last, previous = [], {}, {}
+    for conv, turn, role, text in sorted((r for r in rows if r[2] != "system"), key=lambda r: r[:2]):
+        text = text or ""
+        if role == "user":
+            query = f"{text}. x."
+            if conv in last:
+                query += " 참고로 이전의 질문과 답변은 다음과 같습니다. 질문 : {}. 답변 : {}".format(*last[conv])
+            out.append((conv, turn, query))
+        elif previous.get(conv, ("", ""))[0] == "user":
+            last[conv] = (previous[conv][1], text)
+        previous[conv] = (role, text)
+    return sorted(out)
+
+
+def test_history_goes_by_answered_questions(spark):
     rng = random.Random(3)
     rows = []
     for conv in range(12):
         turn = 0
         for n in range(rng.choice([1, 2, 5, 40, 200])):
-            turn += rng.choice([1, 1, 1, 2, 9])
-            rows.append((conv, turn, "user" if n % 2 == 0 else "assistant", f"t{conv}.{n}"))
+            turn += rng.choice([1, 1, 1, 2, 9, 1_000_000_007])
+            role = rng.choice(["user", "user", "assistant", "assistant", "system"])
+            rows.append((conv, turn, role, None if n % 17 == 5 else f"t{conv}.{n}"))
     df = spark.createDataFrame(rows, CONVERSATION)
-    plain = sorted(map(tuple, with_history(df, "x").collect()))
-    for block in (1, 2, 3, 7, 64):
-        assert sorted(map(tuple, with_history(df, "x", block=block).collect())) == plain
+    for block in (1, 3, 64, 65_536):  # long conversations are cut into blocks
+        assert sorted(map(tuple, with_history(df, "x", block=block).collect())) == by_hand(rows)
 
 
 def test_extractive_answer(spark):

@@ -103,7 +103,7 @@ def test_self_is_nearest(spark, sf_dir):
 
 def python_terms(text):
     tokens = [t for t in re.split(r"[^\w]+|_", text.lower()) if t]
-    return Counter(int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % 256 for t in tokens)
+    return Counter(int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % (1 << 20) for t in tokens)
 
 
 @pytest.mark.parametrize("text", ["English embedding test.", "한국어 임베딩 테스트 입니다.", "Spark와 SQL, a a A b", "", "!?"])
@@ -126,7 +126,7 @@ CHUNKS = [(1, "red apples and pears"), (2, "blue sky"), (3, "red wine"), (4, "ap
 
 def make_index(spark, embedder):
     chunks = spark.createDataFrame(CHUNKS, "id BIGINT, content STRING")
-    return build_index(chunks, shared_dir(spark, "test-index"), embedder, n_parts=3)
+    return build_index(chunks, shared_dir(spark, "test-index"), embedder)
 
 
 def test_search_text_and_retrieve(spark):
@@ -154,3 +154,23 @@ def test_index_remembers_its_embedder(spark):
         open_index(spark, index.root, hashing_embedder(128))
     with pytest.raises(ValueError, match="no index"):
         open_index(spark, shared_dir(spark, "none"), hashing_embedder())
+
+
+def test_a_repeated_question_is_ranked_once(spark):
+    index = make_index(spark, hashing_embedder())
+    twice = spark.createDataFrame([(1, CHUNKS[0][1]), (1, CHUNKS[0][1]), (2, CHUNKS[1][1])], "qid BIGINT, query STRING")
+    rows = retrieve(twice, index).collect()
+    assert sorted(r.qid for r in rows) == [1, 2]
+    once = {r.qid: r.contents for r in retrieve(twice.distinct(), index).collect()}
+    assert {r.qid: r.contents for r in rows} == once and all(len(c) <= 4 for c in once.values())
+
+
+def test_hits_share_a_token_with_the_question(spark, sf_dir):
+    from groundline.functions.tokens import tokens
+    from groundline.operators.search import search_text
+    from groundline.plans import tables
+
+    asked = tables.questions(spark, sf_dir)
+    hits = search_text(asked, tables.chunk_index(spark, sf_dir, tables.document_chunks)).join(asked, "qid")
+    assert hits.count() > 0
+    assert hits.filter(~F.arrays_overlap(tokens(F.col("query")), tokens(F.col("content")))).count() == 0

@@ -15,7 +15,7 @@ def test_sitemap_rows(spark):
     df = spark.createDataFrame([(2, xml.format("u3", "u4")), (1, xml.format("u1", "a&amp;b"))], "sitemap_id INT, xml STRING")
     assert sorted(r.url for r in pages.sitemap_urls(df).collect()) == ["a&b", "u1", "u3", "u4"]
     assert sorted(r.url for r in pages.sitemap_urls(df, max_documents=3).collect()) == ["a&b", "u1", "u3"]
-    assert pages.sitemap_urls(df).rdd.getNumPartitions() == 10
+    assert pages.sitemap_urls(df).select(F.spark_partition_id().alias("p")).count() == 4
 
 
 def test_sitemap_file(spark, tmp_path):
@@ -120,3 +120,27 @@ def test_responses(spark):
     assert [(r.qid, r.hit) for r in got] == [(1, ["a", "b"]), (1, ["c", "d"]), (2, None)]
     df = spark.createDataFrame([('{"predictions": ["x", "y"]}',), ('{"predictions": []}',), ("{}",)], "r STRING")
     assert [r[0] for r in df.select(payload.first_prediction(F.col("r"))).collect()] == ["x", None, None]
+
+
+def test_markdown_takes_linear_time(spark):
+    import time
+
+    units = ["<!--", "<script>", "<style ", "<p ", "<h1", "</article", "<", "<article>", "&#", "&#1;", "-->", "<br"]
+    rows = [(1, "u", unit * 60_000) for unit in units] + [(2, "u", f"<article>{unit * 60_000}</article>") for unit in units]
+    df = spark.createDataFrame(rows, "page_id INT, url STRING, html STRING")
+    start = time.time()
+    df.select(to_markdown(F.col("html"))).collect()
+    assert pages.html_to_markdown(df).count() >= len(units)
+    assert time.time() - start < 60
+
+
+def test_character_references(spark):
+    html = "a&#8217;b &#x1F600;&#X2014; &mdash; &hellip; &amp;#39; &#0; &#xD800; &#9999999; &#39;&nbsp;."
+    got = spark.createDataFrame([(html,)], "h STRING").select(to_markdown(F.col("h"))).first()[0]
+    assert got == "a\u2019b \U0001f600\u2014 \u2014 \u2026 &#39; &#0; &#xD800; &#9999999; ' ."
+
+
+def test_markdown_of_an_element_chosen_by_attribute(spark):
+    html = '<div>x</div><div itemprop="articleBody"><h2>T</h2><div>in</div></div>'
+    df = spark.createDataFrame([(1, "u", html)], "page_id INT, url STRING, html STRING")
+    assert pages.html_to_markdown(df, "div", "itemprop", "articleBody").first().md == "## T\n\nin"

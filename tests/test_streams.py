@@ -1,3 +1,4 @@
+from groundline.operators.answer import model_responder
 from groundline.operators.embed import hashing_embedder
 from groundline.operators.index import apply_changes, build_index
 from groundline.session import shared_dir
@@ -39,10 +40,22 @@ def test_answers(spark):
     requests = asked.select("request_id", encode_split(F.col("query")).alias("payload")).union(
         asked.select(F.col("request_id") + 10, encode_inputs(F.col("query")))
     )
+    empty = spark.createDataFrame([(9, "not json"), (10, None)], "request_id BIGINT, payload STRING")
+    requests = requests.union(requests).union(empty)
     folder, out, checkpoint = (shared_dir(spark, f"test-{n}") for n in ("in", "out", "checkpoint"))
     requests.write.json(folder)
     streamed = answer_stream(spark, folder, index, out, checkpoint)
-    expected = {7: "red apples.", 8: "blue sky", 17: "red apples.", 18: "blue sky"}
+    expected = {7: "red apples.", 8: "blue sky", 17: "red apples.", 18: "blue sky", 9: None, 10: None}
     assert {r.request_id: r.answer for r in streamed.collect()} == expected
     assert {r.request_id: r.answer for r in answer_requests(requests, index).collect()} == expected
-    assert answer_stream(spark, folder, index, out, checkpoint).count() == 4
+    assert {r.request_id for r in streamed.filter("error IS NOT NULL").collect()} == {9, 10}
+    requests.write.mode("append").json(folder)  # all of them once more
+    assert answer_stream(spark, folder, index, out, checkpoint, files_per_batch=2).count() == 6
+
+
+def test_model_in_the_stream(spark):
+    chunks = spark.createDataFrame([(1, "red apples"), (2, None)], "id BIGINT, content STRING")
+    index = build_index(chunks, shared_dir(spark, "test-index"), EMBEDDER)
+    respond = model_responder(lambda params: lambda texts: [t.upper() for t in texts], template="{context}|{question}")
+    requests = spark.createDataFrame([(1, '{"inputs": {"query": ["apples"]}}')], "request_id BIGINT, payload STRING")
+    assert answer_requests(requests, index, respond=respond).first().answer == "RED APPLES|APPLES"
