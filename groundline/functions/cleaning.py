@@ -135,7 +135,10 @@ def break_after_table_labels(text: Column) -> Column:
             F.transform(parts, lambda part, i: F.when((i < last) & label(part), F.concat(part, F.lit("\n\n"))).otherwise(part)), "|"
         )
 
-    return F.when(text.contains("표 ") & text.contains("|"), let(F.split(text, r"\|", -1), broken)).otherwise(text)
+    def near(t: Column) -> Column:
+        return F.when(t.contains("표 ") & t.contains("|"), let(F.split(t, r"\|", -1), broken)).otherwise(t)
+
+    return let(text, near)
 
 
 def drop_side_notes(text: Column) -> Column:

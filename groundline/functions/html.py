@@ -54,15 +54,23 @@ ENTITIES = (
 
 def _split_after_last(text: Column, closer: str, body) -> Column:
     """`body(head, tail)`, where the head ends with the last match of `closer` (NULL if there is none)."""
-    head = F.regexp_substr(text, F.lit(rf"(?is)^.*{closer}"))
-    return let(F.struct(text.alias("t"), head.alias("h")), lambda x: body(x["h"], F.substring(x["t"], F.length(x["h"]) + 1, F.length(x["t"]))))
+
+    def parts(t: Column) -> Column:
+        head = F.regexp_substr(t, F.lit(rf"(?is)^.*{closer}"))
+        return let(head, lambda h: body(h, F.substring(t, F.length(h) + 1, F.length(t))))
+
+    return let(text, parts)
 
 
 def _delete_closed(text: Column, opener: str, closer: str) -> Column:
     """Delete from each opener to the next closer. Only text up to the last closer is searched: there, every opener has one."""
     pattern = rf"(?is){opener}.*?{closer}"
-    cut = _split_after_last(text, closer, lambda head, tail: F.concat(F.regexp_replace(head, pattern, ""), tail))
-    return F.coalesce(cut, text)
+
+    def deleted(t: Column) -> Column:
+        cut = _split_after_last(t, closer, lambda head, tail: F.concat(F.regexp_replace(head, pattern, ""), tail))
+        return F.coalesce(cut, t)
+
+    return let(text, deleted)
 
 
 def flat_element(html: Column, tag: str) -> Column:
@@ -91,8 +99,11 @@ def _numbered_references(text: Column) -> Column:
 
         return F.array_join(let(F.transform(x["found"], character), woven), "")
 
-    both = F.struct(F.regexp_extract_all(text, number, F.lit(0)).alias("found"), F.split(text, number, -1).alias("between"))
-    return F.when(text.contains("&#"), let(both, joined)).otherwise(text)
+    def replaced(t: Column) -> Column:
+        both = F.struct(F.regexp_extract_all(t, number, F.lit(0)).alias("found"), F.split(t, number, -1).alias("between"))
+        return F.when(t.contains("&#"), let(both, joined)).otherwise(t)
+
+    return let(text, replaced)
 
 
 def to_markdown(fragment: Column) -> Column:
