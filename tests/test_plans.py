@@ -28,8 +28,8 @@ def test_cleaning_chunking_and_embedding_do_not_shuffle(spark, sf_dir):
 
 def test_scoring_reads_vectors_only(spark, sf_dir):
     text = plan(QUERIES["search_text"](spark, sf_dir))
-    assert "ReadSchema: struct<id:bigint,vec:struct<buckets:array<int>,weights:array<int>>>" in text
-    assert "ReadSchema: struct<id:bigint,content:string>" in text
+    assert "ReadSchema: struct<id:bigint,vec:struct<buckets:array<int>,weights:array<int>>,deleted:boolean>" in text
+    assert "ReadSchema: struct<id:bigint,content:string,deleted:boolean>" in text
     assert "WindowGroupLimit" in text
 
 
