@@ -235,10 +235,10 @@ def score(
         return _score(batches, parts, n, starts, id_type)
 
     id_type = pa.schema(rows.select("doc_id").limit(0).toArrow().schema).field(0).type
-    sent = rows.mapInArrow(send, ROW).repartition("kind", "part").sortWithinPartitions("kind", "part")
+    sent = rows.mapInArrow(send, ROW).repartition(parts, "kind", "part").sortWithinPartitions("kind", "part")
     answers = sent.mapInArrow(_answer, ROW)
     texts = rows.mapInArrow(_keep_texts, ROW)
-    together = texts.union(answers).repartition("block").sortWithinPartitions("block", "kind", "part")
+    together = texts.union(answers).repartition(parts, "block").sortWithinPartitions("block", "kind", "part")
     partial = stored(together.mapInArrow(apply, SCORED.format(id=rows.schema["doc_id"].dataType.simpleString())), "lm-scores")
     types = partial.agg(F.sum("types")).first()[0] or 0
     base_total, unknown = n + 0.5 * (types + 1), DISCOUNT * types / n if n else 1.0

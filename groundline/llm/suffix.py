@@ -18,6 +18,7 @@ be handed around. Three things keep the work small and are exact:
 
 Texts are taken in blocks. A block sends one entry per bucket (or window) to the part that decides it, so a passage that
 every document has is one entry per block; and the part answers the block. Texts move to where the answers are, twice.
+The number of tasks of an exchange follows the bytes of text, not the session's setting.
 """
 
 import hashlib
@@ -40,9 +41,9 @@ WINDOW, QUARTER = 100, 25
 OFFSETS = WINDOW - QUARTER + 1  # places of a pointer in a window
 BLOCK_BYTES = 8 << 20
 PART_BYTES = 8 << 20  # of text per part
-PIECE = 1 << 19  # window starts that are hashed at once; longer texts are taken in pieces that overlap
+PIECE = 1 << 18  # window starts that are hashed at once; longer texts are taken in pieces that overlap
 BASE = np.uint64(0xD6E8FEB86659FD93)  # odd, so that it has an inverse modulo 2 ** 64
-AT_ONCE = 1 << 20  # bytes of runs that are refined at once
+AT_ONCE = 1 << 19  # bytes of runs that are refined at once
 GATHERED = 1000  # classes of a bucket that are refined in one part
 MISSING = np.uint64((1 << 64) - 1)  # a missing id comes last
 
@@ -524,12 +525,12 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
             of_block = [tuple(c.astype(np.int64) for c in x) for x in of_block]
             yield _finish(ids, texts, of_block, id_type, names)
 
-    sent = rows.mapInArrow(send_buckets, ROW).repartition("part").sortWithinPartitions("part")
+    sent = rows.mapInArrow(send_buckets, ROW).repartition(parts, "part").sortWithinPartitions("part")
     texts = rows.mapInArrow(keep_texts, ROW)
-    together = texts.union(sent.mapInArrow(_decide_buckets, ROW)).repartition("block").sortWithinPartitions("block", "kind")
+    together = texts.union(sent.mapInArrow(_decide_buckets, ROW)).repartition(parts, "block").sortWithinPartitions("block", "kind")
     refined = stored(together.mapInArrow(refine, ROW), "repeat-windows")
-    asked = {kind: refined.filter(F.col("kind") == kind).repartition("part").sortWithinPartitions("part") for kind in (CONTEXTS, WINDOWS)}
+    asked = {kind: refined.filter(F.col("kind") == kind).repartition(parts, "part").sortWithinPartitions("part") for kind in (CONTEXTS, WINDOWS)}
     late = asked[CONTEXTS].mapInArrow(_decide_contexts, ROW).union(asked[WINDOWS].mapInArrow(_decide_windows, ROW))
     # what goes back to the blocks: of the bytes sent with contexts nothing is needed any more, but they pack to little
-    ready = texts.union(refined).union(late).repartition("block").sortWithinPartitions("block", "kind")
+    ready = texts.union(refined).union(late).repartition(parts, "block").sortWithinPartitions("block", "kind")
     return ready.mapInArrow(finish, RESULT.format(id=rows.schema["doc_id"].dataType.simpleString()))
