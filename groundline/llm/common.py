@@ -1,8 +1,11 @@
 """What the operators of this package share: words, stored tables, memory of a worker."""
 
+import ctypes
 import sys
 import types
 
+import pyarrow as pa
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +28,14 @@ def worker_memory() -> dict:
     return vars(sys.modules.setdefault("groundline_worker_memory", types.ModuleType("groundline_worker_memory")))
 
 
+def give_back() -> None:
+    """Hands memory that this worker has freed back to the system, since idle workers live on beside the busy ones."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def whole(text) -> Column:
     """The text, a missing one as empty."""
     return F.coalesce(text, F.lit(""))

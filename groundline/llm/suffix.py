@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundline.llm import blobs
-from groundline.llm.common import stored, whole, worker_memory
+from groundline.llm.common import give_back, stored, whole, worker_memory
 
 WINDOW, QUARTER = 100, 25
 OFFSETS = WINDOW - QUARTER + 1  # places of a pointer in a window
@@ -193,15 +193,19 @@ def group(runs: Runs, rank: np.ndarray) -> Buckets:
 def _blocks(batches: Iterator[pa.RecordBatch], repeated: bool) -> Iterator[tuple[list, list[int], list[bytes]]]:
     ids, ties, texts, size = [], [], [], 0
     for batch in batches:
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            data = text.encode("utf-8", "replace")
-            ids.append(i), texts.append(data), ties.append(xxhash.xxh32_intdigest(data) if repeated else 0)
+        for row in range(batch.num_rows):  # a text at a time: a batch may hold thousands
+            data = batch.column(1)[row].as_py().encode("utf-8", "replace")
+            ids.append(batch.column(0)[row].as_py()), texts.append(data)
+            ties.append(xxhash.xxh32_intdigest(data) if repeated else 0)
             size += len(data) + 64
             if size >= BLOCK_BYTES:
                 yield ids, ties, texts
                 ids, ties, texts, size = [], [], [], 0
+                give_back()
     if ids:
         yield ids, ties, texts
+        ids, ties, texts = [], [], []
+        give_back()
 
 
 def _name(number: int, ids: list, texts: list[bytes]) -> int:
@@ -221,7 +225,9 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        yield from zip(*(batch.column(j).to_pylist() for j in range(4)))
+        keys = zip(*(batch.column(j).to_pylist() for j in range(3)))
+        for row, key in enumerate(keys):  # the data of one row at a time
+            yield *key, batch.column(3)[row].as_py()
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[int, list[tuple]]]:
@@ -231,10 +237,13 @@ def _grouped(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[i
         if held and row[column] != key:
             yield key, held
             held = []
+            give_back()
         key = row[column]
         held.append(row)
     if held:
         yield key, held
+        held = []
+        give_back()
 
 
 def _by_part(name: int, kind: int, parts: int, keys: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
