@@ -39,7 +39,7 @@ from groundline.llm.common import give_back, stored, whole, worker_memory
 
 WINDOW, QUARTER = 100, 25
 OFFSETS = WINDOW - QUARTER + 1  # places of a pointer in a window
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 PART_BYTES = 8 << 20  # of text per part
 PIECE = 1 << 18  # window starts that are hashed at once; longer texts are taken in pieces that overlap
 BASE = np.uint64(0xD6E8FEB86659FD93)  # odd, so that it has an inverse modulo 2 ** 64
@@ -483,6 +483,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     size, n = rows.agg(F.sum(F.octet_length("text").cast("long")), F.count("*")).first()
     repeated = rows.groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
     parts = max(1, min(1 << 16, -(-(size or 0) // part_bytes)))
+    tasks = 2 * parts  # parts and blocks are dealt by hash: more tasks, fewer that get several
     id_type = rows.select("doc_id").limit(0).toArrow().schema.field(0).type
     names = [f.split()[0] for f in RESULT.split(", ")]
 
@@ -534,12 +535,12 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
             of_block = [tuple(c.astype(np.int64) for c in x) for x in of_block]
             yield _finish(ids, texts, of_block, id_type, names)
 
-    sent = rows.mapInArrow(send_buckets, ROW).repartition(parts, "part").sortWithinPartitions("part")
+    sent = rows.mapInArrow(send_buckets, ROW).repartition(tasks, "part").sortWithinPartitions("part")
     texts = rows.mapInArrow(keep_texts, ROW)
-    together = texts.union(sent.mapInArrow(_decide_buckets, ROW)).repartition(parts, "block").sortWithinPartitions("block", "kind")
+    together = texts.union(sent.mapInArrow(_decide_buckets, ROW)).repartition(tasks, "block").sortWithinPartitions("block", "kind")
     refined = stored(together.mapInArrow(refine, ROW), "repeat-windows")
-    asked = {kind: refined.filter(F.col("kind") == kind).repartition(parts, "part").sortWithinPartitions("part") for kind in (CONTEXTS, WINDOWS)}
+    asked = {kind: refined.filter(F.col("kind") == kind).repartition(tasks, "part").sortWithinPartitions("part") for kind in (CONTEXTS, WINDOWS)}
     late = asked[CONTEXTS].mapInArrow(_decide_contexts, ROW).union(asked[WINDOWS].mapInArrow(_decide_windows, ROW))
     # what goes back to the blocks: of the bytes sent with contexts nothing is needed any more, but they pack to little
-    ready = texts.union(refined).union(late).repartition(parts, "block").sortWithinPartitions("block", "kind")
+    ready = texts.union(refined).union(late).repartition(tasks, "block").sortWithinPartitions("block", "kind")
     return ready.mapInArrow(finish, RESULT.format(id=rows.schema["doc_id"].dataType.simpleString()))
