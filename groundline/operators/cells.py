@@ -24,12 +24,22 @@ def open_cells(spark: SparkSession, path: str) -> CellIndex:
 
 
 def build_cells(
-    rows: DataFrame, n_cells: int, path: str, seed: int = 7, max_iter: int = 10, train_fraction: float = 1.0
+    rows: DataFrame,
+    n_cells: int,
+    path: str,
+    seed: int = 7,
+    max_iter: int = 10,
+    train_fraction: float = 1.0,
+    centres: np.ndarray | None = None,
 ) -> CellIndex:
     """Assign `rows(id, vec, ..)` to cells by k-means under cosine distance and write them by cell.
 
-    `train_fraction` lets the centres be fitted on a part of the vectors; all rows are assigned.
+    `train_fraction` lets the centres be fitted on a part of the vectors; all rows are assigned. With given
+    `centres` nothing is fitted: a row goes to the centre of highest cosine, the first of equals.
     """
+    if centres is not None:
+        placed = probe_cells(rows, centres, 1).withColumn("cell", F.col("cells")[0]).drop("cells")
+        return _write_cells(placed, centres, path)
     values = F.col("vec").cast("array<double>")
     # cosine distance has no answer for a zero vector: any cell will do
     first_axis = F.transform(values, lambda _, i: F.when(i == 0, 1.0).otherwise(0.0))
@@ -42,11 +52,14 @@ def build_cells(
         k=n_cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine", featuresCol="_features", predictionCol="cell"
     )
     model = means.fit(training)
-    placed = model.transform(featured).drop("_features")
+    return _write_cells(model.transform(featured).drop("_features"), np.array(model.clusterCenters()), path)
+
+
+def _write_cells(placed: DataFrame, centres: np.ndarray, path: str) -> CellIndex:
     placed.hint("rebalance", F.col("cell")).write.mode("overwrite").partitionBy("cell").parquet(f"{path}/rows")
-    spark = rows.sparkSession
-    centres = [(i, [float(v) for v in centre]) for i, centre in enumerate(model.clusterCenters())]
-    spark.createDataFrame(centres, "cell INT, centre ARRAY<DOUBLE>").write.mode("overwrite").parquet(f"{path}/centres")
+    spark = placed.sparkSession
+    numbered = [(i, [float(v) for v in centre]) for i, centre in enumerate(centres)]
+    spark.createDataFrame(numbered, "cell INT, centre ARRAY<DOUBLE>").write.mode("overwrite").parquet(f"{path}/centres")
     return open_cells(spark, path)
 
 

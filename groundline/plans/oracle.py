@@ -8,7 +8,7 @@ from groundline.functions.cleaning import SOFT_HYPHEN
 from groundline.functions.text import WHITESPACE
 from groundline.operators.answer import NO_ANSWER
 from groundline.operators.prompt import CONTEXT_SEPARATOR, HISTORY_ANSWER, HISTORY_INTRO, SAMPLE_QUESTIONS, TEMPLATE
-from groundline.plans.queries import CHUNK_TOKENS, DIMENSIONS
+from groundline.plans.queries import CENTRE_PROBES, CHUNK_TOKENS, DIMENSIONS
 from groundline.plans.tables import EXTRA
 
 # The whitespace set as an RE2 class body.
@@ -268,6 +268,11 @@ SYNCED = _with(
 )
 TOKENS_LIST = f"list_filter(regexp_split_to_array(text, {lit('[' + SPACES + ']+')}), lambda w: w <> '')"
 
+LABEL_MEANS = [
+    f"value_rows AS (SELECT label, unnest(list_zip(embedding, range({DIMENSIONS}))) AS z FROM embeddings)",
+    "means AS (SELECT label, z[2] AS pos, avg(z[1]::DOUBLE) AS m FROM value_rows GROUP BY ALL)",
+]
+
 ORACLES = {
     "rag_prompts": _with(PAGE_ANSWERS, f"SELECT qid, {PROMPT} AS prompt FROM questions LEFT JOIN contexts USING (qid)"),
     "answers_model": _with(
@@ -361,8 +366,7 @@ ORACLES = {
     ),
     "search_vector": _with(
         [
-            f"value_rows AS (SELECT label, unnest(list_zip(embedding, range({DIMENSIONS}))) AS z FROM embeddings)",
-            "means AS (SELECT label, z[2] AS pos, avg(z[1]::DOUBLE) AS m FROM value_rows GROUP BY ALL)",
+            *LABEL_MEANS,
             "q AS (SELECT label::BIGINT AS qid, list(m ORDER BY pos) AS qv FROM means GROUP BY label)",
             "v AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS dv FROM embeddings)",
             """scored AS (SELECT qid, id, label, round(list_dot_product(qv, dv)
@@ -371,6 +375,21 @@ ORACLES = {
         """SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id)::INT AS rank, id, label, score
            FROM scored QUALIFY rank <= 4""",
     ),
+    "search_approx_centres": _with(
+        [
+            *LABEL_MEANS,
+            "c AS (SELECT label AS cell, list(m ORDER BY pos) AS cv FROM means GROUP BY label)",
+            "v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS dv FROM embeddings)",
+            """near AS (SELECT id, dv, cell, row_number() OVER (PARTITION BY id
+                 ORDER BY list_dot_product(cv, dv) / sqrt(list_dot_product(cv, cv)) DESC, cell) AS place FROM v, c)""",
+            f"""scored AS (SELECT q.id AS qid, r.id AS id, round(list_dot_product(q.dv, r.dv)
+                 / sqrt(list_dot_product(q.dv, q.dv) * list_dot_product(r.dv, r.dv)), 6) AS score
+                 FROM near q JOIN near r ON q.cell = r.cell
+                 WHERE q.id % 100 = 0 AND q.place <= {CENTRE_PROBES} AND r.place = 1)""",
+        ],
+        """SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id)::INT AS rank, id, score
+           FROM scored QUALIFY rank <= 4""",
+    ),
     "topk": """SELECT source AS qid, doc_id AS id, n_chars AS score,
            row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id)::INT AS rank
          FROM documents QUALIFY rank <= 4""",

@@ -2,6 +2,8 @@
 
 from functools import partial
 
+import numpy as np
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from groundline.streaming.sync import sync_stream
 
 DIMENSIONS = 64
 CELLS, PROBES = 16, 4
+CENTRE_PROBES = 2
 CHUNK_TOKENS = 64
 AD, NESTED = '<div class="ad">', "<div><div>a</div>b</div>"
 
@@ -183,6 +186,16 @@ def search_approx(spark, sf_dir):
     return search.search_approx(t.label_vectors(spark, sf_dir), built, PROBES)
 
 
+def search_approx_centres(spark, sf_dir):
+    """Cells around given centres, the mean vector of each label; every hundredth vector asks."""
+    rows = embed.from_vectors(t.table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    means = t.label_vectors(spark, sf_dir).orderBy("qid").collect()  # a row per label
+    centres = np.array([mean.vec for mean in means]).reshape(len(means), DIMENSIONS)
+    built = cells.build_cells(rows, len(means), shared_dir(spark, "label-cells"), centres=centres)
+    asked = rows.filter("id % 100 = 0").withColumnRenamed("id", "qid")
+    return search.search_approx(asked, built, CENTRE_PROBES)
+
+
 def topk_hits(spark, sf_dir):
     """Per source, the four longest documents."""
     scored = t.table(spark, sf_dir, "documents").select(
@@ -384,6 +397,7 @@ QUERIES = {
     "search_text": search_text,
     "search_vector": search_vector,
     "search_approx": search_approx,
+    "search_approx_centres": search_approx_centres,
     "topk": topk_hits,
     "retrieve": retrieve,
     "stuff_context": stuff_context,

@@ -84,6 +84,15 @@ def test_all_cells_probed_is_exact(spark, vectors, options):
     assert collected(near.nearest(probed, cells.rows, 4, 4, **options).rows) == brute(queries, rows, 4)
 
 
+def test_given_centres(spark):
+    """Rows go to the centre of highest cosine, the first of equals; a zero vector has a cell, a missing one is left out."""
+    rows = [(1, [2.0, 0.0]), (2, [0.0, 3.0]), (3, [1.0, 1.0]), (4, [0.0, 0.0]), (5, None), (6, [-1.0, 0.1])]
+    centres = np.array([[1.0, 0.0], [0.0, 5.0]])
+    cells = build_cells(spark.createDataFrame(rows, VECTORS), 2, shared_dir(spark, "test-given"), centres=centres)
+    assert {r["id"]: r["cell"] for r in cells.rows.collect()} == {1: 0, 2: 1, 3: 0, 4: 0, 6: 1}
+    assert np.array_equal(cells.centres, centres)
+
+
 def test_recall_of_cells(spark, sf_dir):
     """Every vector as a query, 4 of 16 cells: recall@4 against the exact search."""
     rows = from_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
