@@ -110,10 +110,13 @@ def hex_print(print_: Column) -> Column:
     return F.lower(F.lpad(F.hex(print_), 16, "0"))
 
 
-def one_per_class(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of `docs` without near-duplicates: of each class the row of smallest id, then of smallest text hash, once."""
+def one_per_class(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", known: DataFrame | None = None) -> DataFrame:
+    """The rows of `docs` without near-duplicates: of each class the row of smallest id, then of smallest text hash, once.
+
+    `known` is `(doc_id, key, class)` of another rule for what is near; without it the classes are those of `classes`.
+    """
     chosen = (
-        classes(docs, id_column, text_column)
+        (classes(docs, id_column, text_column) if known is None else known)
         .groupBy("class")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.coalesce("key", F.lit("")).alias("key"))).alias("kept"))
         .select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.key").alias("kept_key"))
