@@ -27,10 +27,11 @@ IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 
 TOKEN = r"[\p{L}\p{N}]+"
 NO_TOKEN = r"[^\p{L}\p{N}]+"
-MIN_TERM = 3  # characters
-CONTEXT = 80  # characters on either side of a span whose terms co-occur with it
+MIN_TERM = 3  # characters; one that holds a letter of another script than Latin needs no more than itself
+OTHER_LETTER = r"[\p{L}&&[^\p{IsLatin}]]"
+CONTEXT = 80  # characters around a span that tests count by hand; co-occurrence has no such bound
 THRESHOLD = 0.9  # share of an entity's information that a term may not reach
-SUPPORT = 2  # documents in which a term is near an entity
+SUPPORT = 2  # documents that a term and an entity share
 BROADCAST_ROWS = 200_000  # findings of documents that are sent to all tasks; more are joined by shuffle
 CHUNK = 256  # matches whose positions are summed one by one
 BROADCAST_TERMS = 200_000  # terms that are sent to all tasks; more are joined by shuffle
@@ -120,18 +121,14 @@ def base_spans(text: Column) -> Column:
 
 
 def terms(text: Column) -> Column:
-    """Distinct terms of a text: runs of letters and digits in lower case, of three characters at least."""
-    return F.array_distinct(F.filter(F.split(F.lower(text), NO_TOKEN, -1), lambda t: F.length(t) >= MIN_TERM))
+    """Distinct terms of a text: runs of letters and digits in lower case, of MIN_TERM characters or with a letter that is not Latin."""
+    listed = lambda t: (F.length(t) >= MIN_TERM) | t.rlike(OTHER_LETTER)
+    return F.array_distinct(F.filter(F.split(F.lower(text), NO_TOKEN, -1), listed))
 
 
-def nearby_terms(text: Column, span: Column) -> Column:
-    """Terms within CONTEXT characters of a span; one that reaches over the edge is left out."""
-    left_start = F.greatest(span["start"] - CONTEXT - 1, F.lit(0))
-    left = F.substring(text, (left_start + 1).cast("int"), (span["start"] - left_start).cast("int"))
-    left = F.when(left_start > 0, F.regexp_replace(left, rf"^{TOKEN}", "")).otherwise(left)
-    right = F.substring(text, (span["end"] + 1).cast("int"), F.lit(CONTEXT + 1))
-    right = F.when(F.length(right) > CONTEXT, F.regexp_replace(right, rf"{TOKEN}$", "")).otherwise(right)
-    return terms(F.concat_ws(" ", left, right))
+def outside_terms(text: Column, spans: Column) -> Column:
+    """Terms of a text without its spans."""
+    return terms(_replaced(text, spans, lambda span: F.lit(" ")))
 
 
 def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -144,6 +141,11 @@ def _among(exploded: DataFrame, listed: DataFrame, n: int) -> DataFrame:
     return exploded.join(F.broadcast(listed) if n <= BROADCAST_TERMS else listed, "term", "left_semi")
 
 
+def _small(listed: DataFrame, most: int) -> DataFrame:
+    """A stored table to join with: sent to all tasks up to a counted number of rows, by shuffle beyond."""
+    return F.broadcast(listed) if listed.count() <= most else listed
+
+
 def disclosing_terms(rows: DataFrame, found: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
     """`(term)`: what reveals some protected entity more than the threshold allows.
 
@@ -152,24 +154,37 @@ def disclosing_terms(rows: DataFrame, found: DataFrame, threshold: float = THRES
 
         PMI(t; e) = log(N f(t, e) / (f(t) f(e)))  >=  threshold * IC(e),    IC(e) = log(N / f(e)),
 
-    f(t, e) counting documents where t is within CONTEXT characters of e. Pairs with less than `support` documents are no
-    estimate. A document gives pairs in proportion to its spans; all counts are summed before they are shuffled.
+    f(t, e) counting documents that hold e, and t outside their base spans, at any distance. Pairs with less than `support`
+    documents are no estimate. f(t, e) <= f(e), so a term with f(t) > f(e)^threshold N^(1 - threshold) cannot disclose e:
+    frequent terms drop out before pairs are formed, and no pair is lost by it.
     """
-    near = found.select("doc_id", "key", "text", F.explode("base").alias("span")).select(
-        "doc_id", "key", F.xxhash64("span.kind", "span.value").alias("entity"), nearby_terms(F.col("text"), F.col("span")).alias("terms")
-    )
-    near = stored(near, "pii-near")
-    entities = near.select("doc_id", "key", "entity").distinct().groupBy("entity").agg(F.count("*").alias("f_entity"))
-    pairs = near.select("doc_id", "key", "entity", F.explode("terms").alias("term")).distinct()
-    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("f_both")).filter(F.col("f_both") >= support)
-    pairs = stored(pairs.join(entities, "entity"), "pii-pairs")
-    candidates = stored(pairs.select("term").distinct(), "pii-candidates")
+    entity = F.transform("base", lambda span: F.xxhash64(span["kind"], span["value"]))
+    entities = stored(found.select("doc_id", "key", F.explode(F.array_distinct(entity)).alias("entity")).distinct(), "pii-entities")
+    counts = stored(entities.groupBy("entity").agg(F.count("*").alias("f_entity")).filter(F.col("f_entity") >= support), "pii-counts")
+    entities = stored(entities.join(_small(counts, BROADCAST_ROWS), "entity"), "pii-shared")
+    most = stored(entities.groupBy("doc_id", "key").agg(F.max("f_entity").alias("most")).toDF("of", "of_key", "most"), "pii-most")
+    here = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key"))
+    held = found.select("doc_id", "key", outside_terms(F.col("text"), F.col("base")).alias("terms")).join(_small(most, BROADCAST_ROWS), here)
+    held = stored(held.select("doc_id", "key", "most", F.explode("terms").alias("term")).distinct(), "pii-held")
+    candidates = held.groupBy("term").agg(F.max("most").alias("most"), F.count("*").alias("n")).filter(F.col("n") >= support).drop("n")
+    candidates = stored(candidates, "pii-candidates")
     exploded = rows.select(F.explode(terms(F.col("text"))).alias("term"))
-    frequencies = _among(exploded, candidates, candidates.count()).groupBy("term").agg(F.count("*").alias("f_term"))
+    if (listed := candidates.count()) <= BROADCAST_TERMS:  # else all terms are counted, which are summed in the tasks too
+        exploded = _among(exploded, candidates, listed)
     n = rows.count()
+
+    def possible(f_entity: str) -> Column:
+        bound = F.pow(F.col(f_entity).cast("double"), F.lit(threshold)) * F.pow(F.lit(float(n)), F.lit(1 - threshold))
+        return F.col("f_term") <= bound * (1 + 1e-9)
+
+    frequencies = exploded.groupBy("term").agg(F.count("*").alias("f_term"))
+    rare = stored(frequencies.join(candidates, "term").filter(possible("most")).select("term", "f_term"), "pii-rare")
+    near = held.select("doc_id", "key", "term").join(_small(rare, BROADCAST_TERMS), "term")
+    with_entity = entities.withColumnsRenamed({"doc_id": "of", "key": "of_key"})
+    pairs = near.join(with_entity, here & possible("f_entity")).groupBy("entity", "term", "f_entity", "f_term").agg(F.count("*").alias("f_both"))
     pmi = F.log(F.lit(float(n)) * F.col("f_both") / (F.col("f_term") * F.col("f_entity")))
     information = F.log(F.lit(float(n)) / F.col("f_entity"))
-    risky = pairs.join(frequencies, "term").filter((information > 0) & (pmi >= threshold * information))
+    risky = pairs.filter((F.col("f_both") >= support) & (information > 0) & (pmi >= threshold * information))
     return stored(risky.select("term").distinct(), "pii-terms")
 
 
@@ -222,11 +237,8 @@ def listing(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def sanitised(text: Column, spans: Column) -> Column:
-    """The text with every span generalised to its kind, `<EMAIL>`; a disclosing term is removed as `<REMOVED>`.
-
-    Spans of different kinds that overlap are one, named after the first.
-    """
+def _replaced(text: Column, spans: Column, name) -> Column:
+    """The text with `name(span)` in place of every span. Spans that overlap are one, named after the first."""
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
     one = "array<struct<start:bigint,end:bigint,kind:string>>"
 
@@ -240,7 +252,6 @@ def sanitised(text: Column, spans: Column) -> Column:
 
     def rebuilt(parts: Column) -> Column:
         begin = lambda i: F.coalesce(F.get(parts, i - 1)["end"], F.lit(0).cast("long"))
-        name = lambda s: F.when(s["kind"] == TERM, F.lit("<REMOVED>")).otherwise(F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
         cut = F.transform(parts, lambda s, i: F.concat(F.substring(text, (begin(i) + 1).cast("int"), (s["start"] - begin(i)).cast("int")), name(s)))
         tail = F.substring(text, (begin(F.size(parts)) + 1).cast("int"), F.length(text))
         return F.concat(F.array_join(cut, ""), tail)
@@ -248,5 +259,14 @@ def sanitised(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, let(merged, rebuilt)).otherwise(text)
 
 
+def sanitised(text: Column, spans: Column) -> Column:
+    """The text with every span generalised to its kind, `<EMAIL>`; a disclosing term is removed as `<REMOVED>`.
+
+    Spans of different kinds that overlap are one, named after the first.
+    """
+    name = lambda s: F.when(s["kind"] == TERM, F.lit("<REMOVED>")).otherwise(F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
+    return _replaced(text, spans, name)
+
+
 def n_of(kind: str, spans: Column) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
