@@ -3,8 +3,11 @@
 import ctypes
 import sys
 import types
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,10 +19,10 @@ GAP = r"[ \t-\r]+"
 GAP_CHARACTERS = " \t\n\x0b\x0c\r"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """`df` written once to the shared folder and read back: later jobs start from the files, whatever executors are lost."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -36,6 +39,19 @@ def give_back() -> None:
         trim(0)
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of `batches` in slices of about `size` bytes of text, one text at least; batches are counted in rows, texts vary."""
+    for batch in batches:
+        texts = batch.column(column)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            reached = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, reached + size, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def whole(text) -> Column:
     """The text, a missing one as empty."""
     return F.coalesce(text, F.lit(""))

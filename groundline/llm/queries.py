@@ -3,10 +3,12 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundline.llm import bpe, fingerprints, langid, lm, mixing, pii, quality, sharding, simhash, suffix
-from groundline.llm.common import id_remainder, stored, word_count
+from groundline.llm import alignment, bpe, fingerprints, langid, lm, mixing, pii, quality, ranking, sharding, simhash, suffix, token_counts
+from groundline.llm.common import id_remainder, stored, whole, word_count
 
 BPE_FILE = "word_bpe_49k.json"
+A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
+TOKEN_LIMIT = 2048
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +82,39 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", id_remainder("doc_id", 3) == 1)
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    rows = documents(spark, sf_dir).select("doc_id", F.octet_length(whole("text")).cast("long").alias("n_bytes"), "text")
+    counted = token_counts.with_token_count(rows, public_tokenizers.path(BPE_FILE))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    rows = documents(spark, sf_dir).select("doc_id", "text")
+    found = alignment.align(rows, public_tokenizers.path(A_FILE), public_tokenizers.path(B_FILE))
+    groups = F.col("groups")
+    numbers = {"n_a": F.size("a_ids"), "n_b": F.size("b_ids"), "n_groups": F.regexp_count(groups, F.lit(r"\|")), "n_links": F.size("link_a")}
+    found = found.select(
+        F.monotonically_increasing_id().alias(alignment.ROW),
+        "doc_id",
+        *[n.cast("long").alias(c) for c, n in numbers.items()],
+        F.when(groups == "", "").otherwise(F.sha2(groups, 256)).alias("groups_sha256"),
+        "link_a",
+        "link_b",
+    )
+    found = stored(found, "alignment-links", "zstd")
+    counts = stored(alignment.pair_counts(found), "alignment-pairs")
+    sums = alignment.link_sums(found, counts)
+    return found.drop("link_a", "link_b").join(sums, alignment.ROW).drop(alignment.ROW)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -93,7 +128,10 @@ QUERIES = {
         op8_mix_sources,
         op9_bpe_round_trip,
         op10_language_id,
+        op11_token_counts,
+        op12_token_alignment,
+        op13_ranked_search,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op13_ranked_search": ranking.SQL}
