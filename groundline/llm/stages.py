@@ -7,7 +7,7 @@ last passes on. Where a stage changes a text it sets `n_chars` anew.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundline.llm import bpe, mixing, near, pii, quality, simhash
+from groundline.llm import bpe, mixing, pii, quality, simhash
 from groundline.llm.common import word_count
 
 BPE_FILE = "word_bpe_49k.json"
@@ -29,8 +29,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of texts linked by a Jaccard similarity of 0.8 or more of their five-word shingles."""
-    return simhash.one_per_class(docs, known=near.classes(docs))
+    """One document of each class of texts whose fingerprints of three-word shingles are linked within two bits."""
+    return simhash.one_per_class(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
