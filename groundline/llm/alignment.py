@@ -20,13 +20,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from groundline.llm.bpe import byte_characters
-from groundline.llm.common import stored, text_slices, worker_memory
+from groundline.llm.common import batches_of, stored, text_slices, worker_memory
 
 # Between a character and a space before a letter, digit or ASCII sign both tokenizers always cut.
 CUT = re.compile(r"(?<=\S) (?=[!-~\w])")
+UNSAFE = r"(?:^|[\s\p{Z}\x0b\x1c-\x1f\x{85}]) | (?:$|[^!-~\p{L}\p{N}])|^$"  # a text has a space that is no such place, or nothing
+START = re.compile(r"[!-~\w]")
 SPACE_MARK = "▁"
 FREQUENT = 1 << 16  # pairs that a task may look up by itself: more than this many cannot each have so large a share of all links
 KEPT_PAIRS = 1 << 20  # distinct pairs that a task counts before it passes them on
+TOGETHER = 256  # stretches that are encoded as one text
+SLICE = 1 << 20  # bytes of text whose tokens are joined at once
+BATCH = 1000  # rows of links that a task gets at once
 KNOWN_CHUNKS = 1 << 18  # stretches whose tokens a worker remembers, then it starts anew
 ROW = "__row"
 
@@ -83,33 +88,65 @@ class Tokenizers:
         self.tokens = [lists([]), lists([])]
         self.same = np.empty(0, dtype=bool)
 
-    def chunks(self, text: str) -> list[str]:
-        """The text cut where both tokenizers always cut; the space of each cut is left out, as is that before the text."""
-        if not text:
-            return []
-        return CUT.split(text) if self.cuts else [text]
-
-    def learn(self, chunks: list[str]) -> None:
-        """Tokens of chunks, and whether both give the chunk's bytes with a space before it."""
-        spaced = [" " + chunk for chunk in chunks]
+    def chunks(self, texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+        """The texts cut where both tokenizers always cut: each chunk's text by number, and the chunk without the space of its cut."""
+        texts = pc.fill_null(texts, "")
+        if not self.cuts:
+            full = pc.not_equal(texts, "")
+            return np.flatnonzero(full.to_numpy(zero_copy_only=False)), texts.filter(full).dictionary_encode()
+        mixed = pc.match_substring_regex(texts, UNSAFE)
+        parts = pc.split_pattern(texts.filter(pc.invert(mixed)), " ")
+        some = np.flatnonzero(mixed.to_numpy(zero_copy_only=False))
+        owner = np.delete(np.arange(len(texts)), some)[pc.list_parent_indices(parts).to_numpy()]
+        chunks = pc.list_flatten(parts)
+        if len(some):
+            others = [CUT.split(text) if text else [] for text in texts.filter(mixed).to_pylist()]
+            owner = np.concatenate([owner, np.repeat(some, [len(o) for o in others])])
+            chunks = pa.concat_arrays([chunks, pa.array(chain.from_iterable(others), pa.string())])
+        coded = chunks.dictionary_encode()
+        if len(some):
+            order = np.argsort(owner, kind="stable")
+            owner, coded = owner[order], coded.take(pa.array(order))
+        return owner, coded
+
+    def spelled(self, texts: list[str]) -> tuple[list[pa.ListArray], np.ndarray]:
+        """Tokens of each text with a space before it, and whether both tokenizers give its bytes."""
+        spaced = [" " + text for text in texts]
         found = [
             lists([x.ids for x in self.a.encode_batch_fast(spaced, add_special_tokens=False)]),
-            lists(self.b.encode(chunks, num_threads=1)),
+            lists(self.b.encode(texts, num_threads=1)),
         ]
         whole = pa.array(spaced, pa.string()).cast(pa.binary())
-        same = np.ones(len(chunks), dtype=bool)
+        same = np.ones(len(texts), dtype=bool)
         for tokens, of in zip(found, self.bytes):
             joined = pc.binary_join(pa.ListArray.from_arrays(tokens.offsets, of.take(tokens.values)), b"")
             same &= pc.equal(joined, whole).to_numpy(zero_copy_only=False)
-        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks))))
-        self.tokens = [pa.concat_arrays([old, new]) for old, new in zip(self.tokens, found)]
-        self.same = np.concatenate([self.same, same])
+        return found, same
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, list[pa.ListArray]]:
+    def learn(self, chunks: list[str]) -> None:
+        """Tokens of new chunks. Those between which both tokenizers cut are encoded as one text and parted at their byte ends."""
+        plain = [bool(chunk) and not chunk[-1].isspace() and START.match(chunk) is not None for chunk in chunks] if self.cuts else [False] * len(chunks)
+        inner = [chunk for chunk, ok in zip(chunks, plain) if ok]
+        texts = [inner[i : i + TOGETHER] for i in range(0, len(inner), TOGETHER)]
+        found, same = self.spelled([" ".join(t) for t in texts])
+        odd = [chunk for chunk, ok in zip(chunks, plain) if not ok] + [c for t, ok in zip(texts, same) if not ok for c in t]
+        good = pa.array(same)
+        inner = [c for t, ok in zip(texts, same) if ok for c in t]
+        byte_ends = np.cumsum(pc.binary_length(pa.array(inner, pa.string())).to_numpy().astype(np.int64) + 1)
+        parts = []
+        for tokens, lengths in zip(found, self.lengths):
+            ids = pc.list_flatten(tokens.filter(good))
+            last = np.searchsorted(np.cumsum(lengths.take(ids).to_numpy()), byte_ends) + 1
+            parts.append(cut_lists(ids, np.diff(last, prepend=0)))
+        alone, alone_same = self.spelled(odd)
+        added = inner + odd
+        self.known.update(zip(added, range(len(self.known), len(self.known) + len(added))))
+        self.tokens = [pa.concat_arrays(three) for three in zip(self.tokens, parts, alone)]
+        self.same = np.concatenate([self.same, np.ones(len(inner), dtype=bool), alone_same])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, list[pa.ListArray]]:
         """For each chunk of the texts that both tokenizers spell as it is: the text's number, and its tokens in A and in B."""
-        parts = [self.chunks(text or "") for text in texts]
-        owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        coded = pa.array(chain.from_iterable(parts), pa.string()).dictionary_encode()
+        owner, coded = self.chunks(texts)
         distinct = coded.dictionary.to_pylist()
         if len(self.known) + len(distinct) > KNOWN_CHUNKS:
             self.forget()
@@ -144,7 +181,7 @@ def ends(owner: np.ndarray, tokens: pa.ListArray, lengths: pa.Array, n: int) ->
     return pa.table({"doc": doc, "end": pc.subtract(total, pa.array(starts).take(doc)), "total": total, "id": ids}), counts
 
 
-def aligned(both: Tokenizers, texts: list[str | None]) -> list[pa.Array]:
+def aligned(both: Tokenizers, texts: pa.Array) -> list[pa.Array]:
     """Columns a_ids, b_ids, groups, link_a and link_b of the texts."""
     n = len(texts)
     owner, tokens = both.encode(texts)
@@ -184,10 +221,10 @@ def align(df: DataFrame, a_path: str, b_path: str, column: str = "text") -> Data
         schema = schema.add(name, T.StringType() if name == "groups" else T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, len(rest)):
+        for part in text_slices(batches, len(rest), SLICE):
             both = tokenizers(a_path, b_path)
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[: len(rest)], *aligned(both, part.column(len(rest)).to_pylist())], names=[*rest, *new]
+                [*part.columns[: len(rest)], *aligned(both, part.column(len(rest)))], names=[*rest, *new]
             )
 
     return df.select(*rest, column).mapInArrow(run, schema)
@@ -223,8 +260,9 @@ def pair_counts(links: DataFrame) -> DataFrame:
         if held:
             yield from merged().to_batches()
 
-    counts = links.select("link_a", "link_b").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    counts = stored(counts, "alignment-counts")
+    with batches_of(links.sparkSession, BATCH):
+        counts = links.select("link_a", "link_b").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+        counts = stored(counts, "alignment-counts")
     b = F.col("pair").bitwiseAND(F.lit((1 << 32) - 1))
     highest = counts.groupBy(b.alias("b")).agg(F.max("n").alias("highest"))
     return counts.withColumn("b", b).join(highest, "b").select("pair", "n", (F.col("n") == F.col("highest")).alias("best"))
@@ -263,7 +301,8 @@ def link_sums(links: DataFrame, counts: DataFrame, bound: int = FREQUENT) -> Dat
             )
 
     schema = f"{ROW} long, n_best long, count_sum long, pairs array<long>, ns array<long>"
-    known = stored(links.select(ROW, "link_a", "link_b").mapInArrow(run, schema), "alignment-sums")
+    with batches_of(links.sparkSession, BATCH):
+        known = stored(links.select(ROW, "link_a", "link_b").mapInArrow(run, schema), "alignment-sums")
     rare = known.select(ROW, F.explode(F.arrays_zip("pairs", "ns")).alias("x")).select(ROW, "x.pairs", "x.ns")
     others = counts.filter(F.col("n") <= least)
     found = (

@@ -4,12 +4,13 @@ import ctypes
 import sys
 import types
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundline.session import shared_dir
@@ -52,6 +53,18 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 <<
             start = stop
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Arrow batches of at most `rows` rows for the jobs inside, where a row is long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def whole(text) -> Column:
     """The text, a missing one as empty."""
     return F.coalesce(text, F.lit(""))
