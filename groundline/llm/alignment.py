@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from groundline.llm.bpe import byte_characters
-from groundline.llm.common import batches_of, stored, text_slices, worker_memory
+from groundline.llm.common import batches_of, give_back, stored, text_slices, worker_memory
 
 # Between a character and a space before a letter, digit or ASCII sign both tokenizers always cut.
 CUT = re.compile(r"(?<=\S) (?=[!-~\w])")
@@ -35,9 +35,6 @@ BATCH = 1000  # rows of links that a task gets at once
 KNOWN_CHUNKS = 1 << 18  # stretches whose tokens a worker remembers, then it starts anew
 ROW = "__row"
 
-INTS = pa.list_(pa.int32())
-
-
 def lists(values: list[list[int]]) -> pa.ListArray:
     offsets = np.zeros(len(values) + 1, dtype=np.int32)
     np.cumsum([len(v) for v in values], out=offsets[1:])
@@ -181,8 +178,8 @@ def ends(owner: np.ndarray, tokens: pa.ListArray, lengths: pa.Array, n: int) ->
     return pa.table({"doc": doc, "end": pc.subtract(total, pa.array(starts).take(doc)), "total": total, "id": ids}), counts
 
 
-def aligned(both: Tokenizers, texts: pa.Array) -> list[pa.Array]:
-    """Columns a_ids, b_ids, groups, link_a and link_b of the texts."""
+def aligned(both: Tokenizers, texts: pa.Array) -> dict[str, pa.Array]:
+    """The columns that `align` has for the texts."""
     n = len(texts)
     owner, tokens = both.encode(texts)
     (a, n_a), (b, n_b) = (ends(owner, t, lengths, n) for t, lengths in zip(tokens, both.lengths))
@@ -201,44 +198,61 @@ def aligned(both: Tokenizers, texts: pa.Array) -> list[pa.Array]:
     numbers = doc.to_numpy()
     groups = pc.binary_join(cut_lists(pc.binary_join_element_wise(*listed, "|"), np.bincount(numbers[cut], minlength=n)), ";")
     # Between two ends that follow each other lies one token of A and one of B: the next of each to end.
-    links = [cut_lists(pc.fill_null_backward(met[name].combine_chunks()), np.bincount(numbers, minlength=n)) for name in "ab"]
-    return [cut_lists(a["id"].combine_chunks(), n_a), cut_lists(b["id"].combine_chunks(), n_b), groups, *links]
-
-
-def align(df: DataFrame, a_path: str, b_path: str, column: str = "text") -> DataFrame:
-    """`df` without `column` and with the alignment of its whole texts.
-
-    `a_ids`, `b_ids`: the tokens. `groups`: the smallest runs of tokens that end together, as `a1,a2|b1;a3|b2,b3`.
-    `link_a`, `link_b`: for each pair of occurrences whose bytes overlap, in order, the two ids. Missing and empty texts
-    and those that a tokenizer does not spell byte by byte have empty lists and an empty string. Map-only. Long texts are
-    encoded in chunks between which both tokenizers always cut, equal chunks of a task once. A text's lists have to fit a
-    task. Repeated rows stay; columns of these names are replaced; no rows give no rows.
+    a_ids, b_ids = (pc.fill_null_backward(met[name].combine_chunks()).cast(pa.int64()) for name in "ab")
+    pairs = cut_lists(pc.bit_wise_or(pc.shift_left(a_ids, 32), b_ids), np.bincount(numbers, minlength=n))
+    return {
+        "n_a": pa.array(n_a, pa.int64()),
+        "n_b": pa.array(n_b, pa.int64()),
+        "a_ids": cut_lists(a["id"].combine_chunks(), n_a),
+        "b_ids": cut_lists(b["id"].combine_chunks(), n_b),
+        "groups": groups,
+        "pairs": pairs,
+    }
+
+
+KINDS = {
+    "n_a": T.LongType(),
+    "n_b": T.LongType(),
+    "a_ids": T.ArrayType(T.IntegerType()),
+    "b_ids": T.ArrayType(T.IntegerType()),
+    "groups": T.StringType(),
+    "pairs": T.ArrayType(T.LongType()),
+}
+
+
+def align(df: DataFrame, a_path: str, b_path: str, column: str = "text", outputs: tuple[str, ...] = tuple(KINDS)) -> DataFrame:
+    """`df` without `column` and with the alignment of its whole texts; `outputs` names the columns that are wanted.
+
+    `a_ids`, `b_ids`: the tokens, `n_a` and `n_b` of them. `groups`: the smallest runs of tokens that end together, as
+    `a1,a2|b1;a3|b2,b3`. `pairs`: for each two occurrences whose bytes overlap, in order, `a << 32 | b`. Missing and empty
+    texts and those that a tokenizer does not spell byte by byte have no tokens: zeros, empty lists and an empty string.
+    Map-only. Long texts are encoded in chunks between which both tokenizers always cut, equal chunks of a task once. A
+    text's lists have to fit a task. Repeated rows stay; columns of these names are replaced; no rows give no rows.
     """
-    new = ["a_ids", "b_ids", "groups", "link_a", "link_b"]
-    rest = [c for c in df.columns if c not in (column, *new)]
+    rest = [c for c in df.columns if c not in (column, *outputs)]
     schema = type(df.schema)([df.schema[c] for c in rest])
-    for name in new:
-        schema = schema.add(name, T.StringType() if name == "groups" else T.ArrayType(T.IntegerType()))
+    for name in outputs:
+        schema = schema.add(name, KINDS[name])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = tokenizers(a_path, b_path)
         for part in text_slices(batches, len(rest), SLICE):
-            both = tokenizers(a_path, b_path)
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns[: len(rest)], *aligned(both, part.column(len(rest)))], names=[*rest, *new]
-            )
+            found = aligned(both, part.column(len(rest)))
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], *(found[name] for name in outputs)], names=[*rest, *outputs])
+        both.forget()
+        give_back()
 
     return df.select(*rest, column).mapInArrow(run, schema)
 
 
 def flat_pairs(batch: pa.RecordBatch) -> pa.Table:
-    """A row per link: the number of its row in the batch, and both ids as one number."""
-    a, b = batch.column("link_a"), batch.column("link_b")
-    pair = pc.bit_wise_or(pc.shift_left(pc.list_flatten(a).cast(pa.int64()), 32), pc.list_flatten(b).cast(pa.int64()))
-    return pa.table({"doc": pc.list_parent_indices(a), "pair": pair})
+    """A row per link: the number of its row in the batch, and its pair."""
+    pairs = batch.column("pairs")
+    return pa.table({"doc": pc.list_parent_indices(pairs), "pair": pc.list_flatten(pairs)})
 
 
 def pair_counts(links: DataFrame) -> DataFrame:
-    """`(pair, n, best)` of `links(link_a, link_b)`: the number of links of each pair, and whether no other pair of its id in B has more.
+    """`(pair, n, best)` of `links(pairs)`: the number of links of each pair, and whether no other pair of its id in B has more.
 
     Tasks count by `Table.group_by`; Spark sums the partial counts.
     """
@@ -261,7 +275,7 @@ def pair_counts(links: DataFrame) -> DataFrame:
             yield from merged().to_batches()
 
     with batches_of(links.sparkSession, BATCH):
-        counts = links.select("link_a", "link_b").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+        counts = links.select("pairs").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
         counts = stored(counts, "alignment-counts")
     b = F.col("pair").bitwiseAND(F.lit((1 << 32) - 1))
     highest = counts.groupBy(b.alias("b")).agg(F.max("n").alias("highest"))
@@ -276,7 +290,7 @@ def frequent_pairs(counts: DataFrame, bound: int) -> tuple[pa.Table, int]:
 
 
 def link_sums(links: DataFrame, counts: DataFrame, bound: int = FREQUENT) -> DataFrame:
-    """`(__row, n_best, count_sum)` of `links(__row, link_a, link_b)`: links whose pair is its B id's most frequent, and the sum of the links' counts.
+    """`(__row, n_best, count_sum)` of `links(__row, pairs)`: links whose pair is its B id's most frequent, and the sum of the links' counts.
 
     Frequent pairs, fewer than `bound` by the share that each must have, are looked up in the tasks; all others meet
     their counts in a shuffle join, where none has more rows than one `bound`th of all links. Rows need a number of their own.
@@ -297,16 +311,16 @@ def link_sums(links: DataFrame, counts: DataFrame, bound: int = FREQUENT) -> Dat
             sizes = np.bincount(rare["doc"].to_numpy(), minlength=batch.num_rows)
             pairs, ns = (cut_lists(rare[c].combine_chunks(), sizes) for c in ("pair", "count_all"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(ROW), pa.array(best), pa.array(total), pairs, ns], names=[ROW, "n_best", "count_sum", "pairs", "ns"]
+                [batch.column(ROW), pa.array(best), pa.array(total), pairs, ns], names=[ROW, "n_best", "count_sum", "rare", "ns"]
             )
 
-    schema = f"{ROW} long, n_best long, count_sum long, pairs array<long>, ns array<long>"
+    schema = f"{ROW} long, n_best long, count_sum long, rare array<long>, ns array<long>"
     with batches_of(links.sparkSession, BATCH):
-        known = stored(links.select(ROW, "link_a", "link_b").mapInArrow(run, schema), "alignment-sums")
-    rare = known.select(ROW, F.explode(F.arrays_zip("pairs", "ns")).alias("x")).select(ROW, "x.pairs", "x.ns")
+        known = stored(links.select(ROW, "pairs").mapInArrow(run, schema), "alignment-sums")
+    rare = known.select(ROW, F.explode(F.arrays_zip("rare", "ns")).alias("x")).select(ROW, "x.rare", "x.ns")
     others = counts.filter(F.col("n") <= least)
     found = (
-        rare.join(others, rare["pairs"] == others["pair"])
+        rare.join(others, rare["rare"] == others["pair"])
         .select(ROW, F.when(F.col("best"), F.col("ns")).otherwise(0).alias("n_best"), (F.col("ns") * F.col("n")).alias("count_sum"))
         .unionByName(known.select(ROW, "n_best", "count_sum"))
     )

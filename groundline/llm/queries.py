@@ -94,21 +94,23 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     rows = documents(spark, sf_dir).select("doc_id", "text")
-    found = alignment.align(rows, public_tokenizers.path(A_FILE), public_tokenizers.path(B_FILE))
+    paths = public_tokenizers.path(A_FILE), public_tokenizers.path(B_FILE)
+    found = alignment.align(rows, *paths, outputs=("n_a", "n_b", "groups", "pairs"))
     groups = F.col("groups")
-    numbers = {"n_a": F.size("a_ids"), "n_b": F.size("b_ids"), "n_groups": F.regexp_count(groups, F.lit(r"\|")), "n_links": F.size("link_a")}
     found = found.select(
         F.monotonically_increasing_id().alias(alignment.ROW),
         "doc_id",
-        *[n.cast("long").alias(c) for c, n in numbers.items()],
+        "n_a",
+        "n_b",
+        F.regexp_count(groups, F.lit("[|]")).cast("long").alias("n_groups"),
+        F.size("pairs").cast("long").alias("n_links"),
         F.when(groups == "", "").otherwise(F.sha2(groups, 256)).alias("groups_sha256"),
-        "link_a",
-        "link_b",
+        "pairs",
     )
     found = stored(found, "alignment-links", "zstd")
     counts = stored(alignment.pair_counts(found), "alignment-pairs")
     sums = alignment.link_sums(found, counts)
-    return found.drop("link_a", "link_b").join(sums, alignment.ROW).drop(alignment.ROW)
+    return found.drop("pairs").join(sums, alignment.ROW).drop(alignment.ROW)
 
 
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
