@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from groundline.llm.common import whole
 
-LANES = 256  # one for each bit of a paragraph's hash; sums are taken modulo 2 ** 16
+LANES = 256  # one for each bit of a paragraph's hash; sums are taken modulo 2 ** 32
 PARAGRAPH_END = re.compile(r"(?<=\n)|(?<=[.!?] )")
+SUMMED = 1 << 16  # paragraphs whose bits are held at once
 ROWS_PER_RUN = 2000
 MAX_RUNS = 20_000
 
@@ -31,12 +32,15 @@ def paragraphs(text: str) -> list[str]:
 
 
 def total(pieces: list[str]) -> np.ndarray:
-    """The sum of the pieces' vectors modulo 2 ** 16. A piece's vector has +1 or -1 in each lane, as its hash has bits."""
+    """The sum of the pieces' vectors modulo 2 ** 32. A piece's vector has +1 or -1 in each lane, as its hash has bits."""
     if not pieces:
-        return np.zeros(LANES, dtype=np.uint16)
-    digests = b"".join([hashlib.blake2b(p.encode("utf-8", "replace"), digest_size=LANES // 8).digest() for p in pieces])
-    bits = np.unpackbits(np.frombuffer(digests, dtype=np.uint8).reshape(len(pieces), -1), axis=1)
-    return (2 * bits.sum(axis=0, dtype=np.int64) - len(pieces)).astype(np.uint16)
+        return np.zeros(LANES, dtype=np.uint32)
+    ones = np.zeros(LANES, dtype=np.int64)
+    for start in range(0, len(pieces), SUMMED):
+        some = pieces[start : start + SUMMED]
+        digests = b"".join([hashlib.blake2b(p.encode("utf-8", "replace"), digest_size=LANES // 8).digest() for p in some])
+        ones += np.unpackbits(np.frombuffer(digests, dtype=np.uint8).reshape(len(some), -1), axis=1).sum(axis=0, dtype=np.int64)
+    return (2 * ones - len(pieces)).astype(np.uint32)
 
 
 def fingerprint(text: str | None) -> np.ndarray:
@@ -59,12 +63,12 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """
     if np.array_equal(a, b):
         return 1.0
-    x, y = a.view(np.int16).astype(np.float64), b.view(np.int16).astype(np.float64)
+    x, y = a.view(np.int32).astype(np.float64), b.view(np.int32).astype(np.float64)
     return float(min(1.0, max(0.0, 2 * (x @ y) / (x @ x + y @ y))))
 
 
 def hexadecimal(print_: np.ndarray) -> str:
-    return print_.astype(">u2").tobytes().hex()
+    return print_.astype(">u4").tobytes().hex()
 
 
 def edit(text: str, pieces: list[str], print_: np.ndarray, following: str) -> tuple[str, np.ndarray]:
@@ -104,7 +108,7 @@ def _ends(ids: DataFrame, rows_per_run: int) -> list[int]:
 def with_edits(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rows_per_run: int = ROWS_PER_RUN) -> DataFrame:
     """Fingerprints of every document and of its text edited with the next document (descending id; the first after the last).
 
-    `n_chars, edited_sha256, fingerprint, edited_fingerprint` (four hexadecimal digits a lane) and the likeness of the
+    `n_chars, edited_sha256, fingerprint, edited_fingerprint` (eight hexadecimal digits a lane) and the likeness of the
     document's fingerprint to the edited one and to the next document's.
 
     Ids that end runs of a few thousand rows are taken from approximate quantiles; being ids of the table, they are also
