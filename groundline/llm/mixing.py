@@ -15,6 +15,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5  # of all words
 TIMES = 2  # at most so often a source's words
 BLOCK = 64  # words
+FEWEST = 64  # blocks of a small source at least, or as many as it has words
 SEED = "mix-1"
 STRIDE = 1 << 20  # largest step between chosen blocks: products stay within 63 bits up to 8e12 blocks a source
 
@@ -86,9 +87,11 @@ def plan_sources(
         names, sizes = [names[i] for i in order], rows["source_size"].to_numpy()[order]
         weights = np.resize(np.array(WEIGHTS, dtype=np.float64), len(names))
         wanted = targets(sizes, weights, share, times)
-        blocks = np.where(sizes > 0, np.maximum(1, np.round(sizes / block)), 0).astype(np.int64)
-        n = round(share * int(sizes.sum()) / block)
-        upto = [apportion(wanted, times * blocks, n * (j + 1) // shards) for j in range(shards)]
+        blocks = np.maximum(np.round(sizes / block), np.minimum(sizes, FEWEST)).astype(np.int64)
+        wide = sizes / np.maximum(blocks, 1)  # a source's own blocks: a small one has narrow ones, so that its quota meets its target
+        wanted_blocks = np.where(blocks > 0, wanted / np.maximum(wide, 1e-9), 0)
+        n = round(wanted_blocks.sum())
+        upto = [apportion(wanted_blocks, times * blocks, n * (j + 1) // shards) for j in range(shards)]
         parts = np.diff(np.array([np.zeros_like(upto[0]), *upto]), axis=0)
         quota = upto[-1]
         some = np.maximum(blocks, 1)
@@ -121,7 +124,7 @@ def mix(docs: DataFrame, rows_per_run: int = 5000, block: int = BLOCK, seed: str
     """Rows of `docs(doc_id, source, size, ..)` with `source_size, target, quota, passes, taken, runs`.
 
     The words of a source are laid out document after document in the order of a seeded hash and cut into equal
-    blocks of about `block` words. A source whose quota is more than all its blocks is taken whole `passes` times; the rest of the
+    blocks of about `block` words, narrower ones where the source is small. A source whose quota is more than all its blocks is taken whole `passes` times; the rest of the
     quota are blocks chosen by a seeded permutation. `runs` are the word ranges (from, to) of a document inside chosen
     blocks, `taken` counts the words of passes and runs together. `docs` is read three times: store it if it is dear.
 

@@ -76,6 +76,15 @@ def test_shard_quotas_add_up(spark):
     assert max(per_shard) - min(per_shard) <= 1
 
 
+@pytest.mark.parametrize("words", [[10, 4000], [31, 9000, 96], [1, 2, 50_000], [63, 64, 65, 700, 3000]])
+def test_small_sources_come_near_their_targets(spark, words):
+    rows = [(i, f"s{i:02d}", n) for i, n in enumerate(words)]
+    found = mix(spark.createDataFrame(rows, "doc_id long, source string, size long")).collect()
+    for r in found:
+        assert abs(r.taken - r.target) <= max(1, r.source_size / 64, 64), (r.source, r.taken, r.target)
+        assert r.taken <= 2 * r.size
+
+
 def test_no_rows(spark):
     docs = frame(spark, [(1, "a")]).filter("doc_id > 1").select("doc_id", "source", F.lit(1).alias("size"))
     assert mix(docs).collect() == []
