@@ -194,17 +194,18 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, seed: int = 7) -> Model
     """A model of the languages in `docs(doc_id, text, lang)`; rows without text or language teach nothing.
 
     About `train_docs` documents of each language, chosen by a hash of the id, are used whole: that bounds the model,
-    which is sent to every task. Counts are summed in Spark. A fifth of these documents is left for calibration: the
+    which is sent to every task. Counts are summed in Spark. A fifth of these documents, never a language's only one, is left for calibration: the
     scale that turns differences of cross-entropy into probabilities has the highest likelihood there, and a text is
     rejected above the mean cross-entropy of its language's texts there plus six deviations from such means.
     """
     rows = docs.filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "of")
+    turn = F.xxhash64("doc_id", F.lit(seed + 1))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(turn).alias("first")).withColumnRenamed("lang", "of")
     chance = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000))
     sample = (
         rows.join(F.broadcast(sizes), F.col("lang") == F.col("of"))  # a row per language
         .filter(chance < F.least(F.lit(1.0), train_docs / F.col("n")) * 1_000_000)
-        .withColumn("calibrates", F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(5)) == 0)
+        .withColumn("calibrates", (F.pmod(turn, F.lit(5)) == 0) & (turn != F.col("first")))
     )
     grams = _count_grams(sample.filter("NOT calibrates").select("lang", "text")).toArrow()
     languages = sorted(set(grams.column("lang").to_pylist()))

@@ -69,3 +69,9 @@ def test_no_rows_and_no_labels(spark):
     empty = train(docs.filter("doc_id > 1"))
     assert empty.languages == [] and predict(docs, empty).first().lang_pred == "und"
     assert predict(docs.filter("doc_id > 1"), empty).collect() == []
+
+
+@pytest.mark.parametrize("only", range(100, 109))  # whatever its hash says
+def test_a_language_of_one_document_is_learned(spark, only):
+    rows = [(i, "the cat sat on the mat and looked " * 3, "en") for i in range(3)] + [(only, "das ist ein kurzer Satz über Bäume", "de")]
+    assert train(spark.createDataFrame(rows, "doc_id long, text string, lang string")).languages == ["de", "en"]
