@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from groundline.llm.bpe import byte_characters
 from groundline.llm.common import batches_of, give_back, stored, text_slices, worker_memory
+from groundline.llm.pretokens import byte_characters
 
 # Between a character and a space before a letter, digit or ASCII sign both tokenizers always cut.
 CUT = re.compile(r"(?<=\S) (?=[!-~\w])")

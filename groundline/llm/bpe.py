@@ -2,7 +2,6 @@
 
 import heapq
 import json
-import unicodedata
 from array import array
 from collections.abc import Iterator
 from operator import add
@@ -15,24 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from groundline.llm.common import worker_memory
+from groundline.llm.pretokens import Words, byte_characters
 
-# What the vocabulary file's format prescribes.
-WORD_END = "</w>"
-WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-WORD_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+"
-PLAIN_BYTES = (*range(33, 127), *range(161, 173), *range(174, 256))  # shown as themselves
+WORD_END = "</w>"  # fixed value of the file's format
 
 NONE = 1 << 30  # no merge
 ROWS = 512  # texts held as Python strings at once
 REMEMBERED = 100_000  # words a task remembers per generation; two generations are kept
 
 
-def byte_characters() -> list[str]:
-    """The character that stands for each byte: itself if printable, else the next free one above 255."""
-    others = iter(range(256, 512))
-    return [chr(b) if b in PLAIN_BYTES else chr(next(others)) for b in range(256)]
-
-
 class Bpe:
     """Encoder and decoder for a word-level BPE file: lower case, white space dropped, words end in `</w>`."""
 
@@ -56,7 +46,7 @@ class Bpe:
             body = token.removesuffix(WORD_END)
             for piece in {token, body}:
                 self.inner.update(map(add, piece, piece[1:]))
-        self.words = regex.compile(WORD_PATTERN)
+        self.words = Words(path)
         self.specials = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -130,12 +120,9 @@ class Bpe:
 
     def encode_plain(self, text: str) -> list[bytes]:
         """Ids of a text without special tokens, as the bytes of 32-bit integers per word."""
-        if not text.isascii():
-            # Lower case is taken character by character: a capital sigma never becomes a final one.
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         get, remember = self.young.get, self.remember
         out = []
-        for word in self.words.findall(text.lower()):
+        for word in self.words.split(text):
             found = get(word)
             if found is None:
                 found = remember(word)

@@ -3,7 +3,6 @@
 import heapq
 import json
 import re
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,31 +11,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from groundline.llm.bpe import WORD_END, WORD_PATTERN, byte_characters
+from groundline.llm.bpe import WORD_END
 from groundline.llm.common import text_slices, worker_memory
+from groundline.llm.pretokens import Words, byte_characters
 
 PIECE = 1 << 16  # characters that are split into words at once; a longer word stays whole
 KNOWN_WORDS = 300_000  # words whose counts a worker remembers, then it starts anew
 KNOWN_LENGTH = 64  # longer words are counted each time
 POSITION = (1 << 40) - 1
 
-ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 SPACE = re.compile(r"[\t-\r ]")
 
 
-def unassigned() -> re.Pattern:
-    """Characters that this Python's Unicode tables do not know; other tables may have letters or capitals there."""
-    ranges, start, end = [], None, 0x110000
-    for code in range(end + 1):
-        unknown = code < end and unicodedata.category(chr(code)) == "Cn"
-        if unknown and start is None:
-            start = code
-        elif not unknown and start is not None:
-            ranges.append(f"{re.escape(chr(start))}-{re.escape(chr(code - 1))}")
-            start = None
-    return re.compile(f"[{''.join(ranges)}]")
-
-
 def pieces(text: str) -> Iterator[str]:
     """The text in parts of about `PIECE` characters, cut before white space only, which no word holds."""
     start = 0
@@ -53,15 +39,11 @@ class Counter:
     """Counts the tokens of texts as the tokenizers library does for the same file."""
 
     def __init__(self, path: str):
-        import regex  # as in the words of `bpe`
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
         ids = model["vocab"]
         shown = byte_characters()
-        self.bytes_of = {c: b for b, c in enumerate(shown)}
         self.inside = np.array([ids[c] for c in shown], dtype=np.int64)  # a byte's symbol
         self.at_end = np.array([ids[c + WORD_END] for c in shown], dtype=np.int64)  # the same as the last one of a word
         self.merges = {}  # left symbol << 32 | right symbol -> (rank, symbol of both)
@@ -70,10 +52,7 @@ class Counter:
             self.merges[ids[left] << 32 | ids[right]] = (rank, ids[left + right])
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.words = regex.compile(WORD_PATTERN)
-        self.unassigned = unassigned()
-        library = Tokenizer.from_file(path)
-        self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
+        self.words = Words(path)
         self.known: dict[str, int] = {}
 
     def merged(self, word: str) -> int:
@@ -108,20 +87,10 @@ class Counter:
                 heapq.heappush(heap, found[0] << 40 | ahead)
         return n - merges
 
-    def split(self, piece: str) -> list[str]:
-        """Lower-case words, as the file's normalizer and pattern give them."""
-        if piece.isascii():
-            return ASCII_WORDS.findall(piece.lower())
-        if self.unassigned.search(piece):  # the library's own tables decide
-            found = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(piece))
-            return [bytes(map(self.bytes_of.__getitem__, word)).decode("utf-8", "replace") for word, _ in found]
-        # Lower case is taken character by character: a capital sigma never becomes a final one.
-        return self.words.findall(unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower())
-
     def count_plain(self, text: str) -> int:
         total = 0
         for piece in pieces(text):
-            words = self.split(piece)
+            words = self.words.split(piece)
             try:
                 total += sum(map(self.known.__getitem__, words))
             except KeyError:
