@@ -17,7 +17,7 @@ from groundline.llm.common import stored, text_slices
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # what lies between these is a term, A-Z in lower case
 BLOCK_TERMS = 1 << 20  # terms of items that are asked at once
-SHARD_POSTINGS = 1 << 21  # entries whose lists a task sorts by impact at once
+SHARD_POSTINGS = 1 << 20  # entries whose lists a task sorts by impact at once
 FIRST_READ = 128  # entries of a list that are read at first; each round reads as many as all before
 PIECE = 1 << 20  # bytes of a text that are split at once
 UNIT = 1_000_000_000
