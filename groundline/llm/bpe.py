@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from groundline.llm.common import worker_memory
+from groundline.llm.common import give_back, worker_memory
 from groundline.llm.pretokens import Words, byte_characters
 
 WORD_END = "</w>"  # fixed value of the file's format
@@ -180,6 +180,7 @@ def _map_column(df: DataFrame, column: str, result: str, kind: T.DataType, conve
                 part = batch.slice(start, ROWS)
                 new = convert(part.column(len(rest)))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], new], names=[*rest, result])
+            give_back()
 
     return df.select(*rest, column).mapInArrow(run, schema)
 
