@@ -205,6 +205,7 @@ DOCUMENT_TEXT = [MARKED, *_clean_ctes("marked")]
 DOCUMENT_CHUNKS = [*DOCUMENT_TEXT, *CHUNKS]
 PAGE_CHUNKS = [MARKDOWN, "paged AS (SELECT page_id AS doc_id, md FROM markdown)", *_clean_ctes("paged"), *CHUNKS]
 DOCUMENT_SEARCH = [*DOCUMENT_CHUNKS, QUESTIONS, *SEARCH]
+TEXT_HITS = _with(DOCUMENT_SEARCH, "SELECT qid, rank::INT AS rank, id, content, score FROM hits JOIN indexed USING (id)")
 INDEX_SUMMARY = "SELECT id, md5(content) AS content_md5, coalesce(n2, 0) AS norm2 FROM {} LEFT JOIN norms USING (id)"
 
 
@@ -361,9 +362,8 @@ ORACLES = {
         """SELECT id, md5(content) AS content_md5, CASE WHEN content IS NOT NULL THEN coalesce(n2, 0) END AS norm2
            FROM kept LEFT JOIN norms USING (id)""",
     ),
-    "search_text": _with(
-        DOCUMENT_SEARCH, "SELECT qid, rank::INT AS rank, id, content, score FROM hits JOIN indexed USING (id)"
-    ),
+    "search_text": TEXT_HITS,
+    "search_text_postings": TEXT_HITS,
     "search_vector": _with(
         [
             *LABEL_MEANS,

@@ -9,6 +9,7 @@ from groundline.functions.cleaning import clean
 from groundline.operators.chunk import chunk_by_heading
 from groundline.operators.embed import hashing_embedder
 from groundline.operators.index import VectorIndex, build_index
+from groundline.operators.postings import Postings, build_postings
 from groundline.operators.prompt import with_history
 from groundline.session import shared_dir
 from groundline.sources.chunk_table import chunk_id, with_chunk_id
@@ -20,6 +21,7 @@ EXTRA = "Answer briefly"
 SITEMAP_URLS = 1000
 
 _built: dict[tuple, VectorIndex] = {}
+_listed: dict[str, Postings] = {}  # by the index's folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +75,13 @@ def chunk_index(spark: SparkSession, sf_dir: str, chunks) -> VectorIndex:
     return _built[key]
 
 
+def chunk_postings(index: VectorIndex) -> Postings:
+    """The inverted lists of an index, built on first use in a session."""
+    if index.root not in _listed:
+        _listed[index.root] = build_postings(index.rows(), shared_dir(index.spark, "postings"))
+    return _listed[index.root]
+
+
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("query"))
 
