@@ -29,8 +29,11 @@ from groundline.operators.embed import embed_queries
 from groundline.operators.index import VectorIndex
 from groundline.operators.nearest import SLACK, _rounded, topk
 
+BLOCKS = (
+    "bucket INT, segment INT, max_impact DOUBLE, top_id BIGINT, ids ARRAY<BIGINT>, weights ARRAY<INT>, squares ARRAY<BIGINT>, part INT"
+)
 PARTS = 64
-SEGMENT_ROWS = 1 << 16
+SEGMENT_ROWS = 1 << 14
 GROUP_TERMS = 1 << 20  # terms of questions that meet a segment at once
 
 
@@ -42,7 +45,7 @@ class Postings:
 
     def blocks(self) -> DataFrame:
         """`(bucket, segment, max_impact, top_id, ids, weights, squares, part)`"""
-        return self.spark.read.parquet(f"{self.path}/blocks")
+        return self.spark.read.schema(BLOCKS).parquet(f"{self.path}/blocks")
 
 
 def open_postings(spark: SparkSession, path: str) -> Postings:
@@ -129,7 +132,14 @@ def _score_segment(k: int, schema: pa.Schema):
     return run
 
 
-def live_segments(questions: DataFrame, postings: Postings, k: int) -> DataFrame:
+def _asked(questions: DataFrame, postings: Postings) -> tuple[int, list[int]]:
+    """How many terms the questions have, and the folders of their buckets: as many numbers as there are parts at most."""
+    buckets = questions.filter("vec IS NOT NULL").select(F.explode("vec.buckets").alias("bucket"))
+    part = F.pmod("bucket", F.lit(postings.parts))
+    return tuple(buckets.agg(F.count("*"), F.collect_set(part)).first())
+
+
+def live_segments(questions: DataFrame, postings: Postings, k: int, parts: list[int] | None = None) -> DataFrame:
     """`(qid, buckets, weights, square, floor, segment)`: the segments that each of `questions(qid, vec)` has to look into.
 
     Only the headers of blocks are read, in the folders of the questions' own buckets.
@@ -140,7 +150,8 @@ def live_segments(questions: DataFrame, postings: Postings, k: int) -> DataFrame
     terms = asked.select("qid", "square", F.explode(F.arrays_zip("buckets", "weights")).alias("term")).select(
         "qid", "square", F.col("term.buckets").alias("bucket"), F.col("term.weights").alias("weight")
     )
-    headers = postings.blocks().filter(F.col("part").isin(_parts_of(terms, postings))).select("bucket", "segment", "max_impact", "top_id")
+    parts = _asked(questions, postings)[1] if parts is None else parts
+    headers = postings.blocks().filter(F.col("part").isin(parts)).select("bucket", "segment", "max_impact", "top_id")
     bounds = terms.join(headers, "bucket").select("qid", "square", "segment", "top_id", (F.col("weight") * F.col("max_impact")).alias("bound"))
     least = topk(bounds.groupBy("qid", F.col("top_id").alias("id")).agg(F.sum("bound").alias("score")), k).filter(F.col("rank") == k)
     # a little lower: sums of doubles are not exact and scores are compared after rounding
@@ -156,23 +167,17 @@ def live_segments(questions: DataFrame, postings: Postings, k: int) -> DataFrame
     )
 
 
-def _parts_of(terms: DataFrame, postings: Postings) -> list[int]:
-    """Folders of the questions' buckets: as many numbers as there are parts at most."""
-    return [r.part for r in terms.select(F.pmod("bucket", F.lit(postings.parts)).alias("part")).distinct().collect()]
-
-
 def nearest_by_terms(questions: DataFrame, postings: Postings, k: int, group_terms: int = GROUP_TERMS) -> DataFrame:
     """`(qid, id, score, rank)`: the k rows of highest cosine for each of `questions(qid, vec)`, ties by id, similar ones only.
 
     Equal to `nearest` over the same rows. Blocks of live segments are read once for a group of questions and shuffled
     by segment; neither questions nor lists pass through the driver.
     """
-    live = live_segments(questions, postings, k)
+    n_terms, parts = _asked(questions, postings)
+    live = live_segments(questions, postings, k, parts)
     keys = live.select("segment", F.explode("buckets").alias("bucket")).distinct()
-    wanted = _parts_of(keys, postings)
-    blocks = postings.blocks().filter(F.col("part").isin(wanted)).select("bucket", "segment", "max_impact", "ids", "weights", "squares")
+    blocks = postings.blocks().filter(F.col("part").isin(parts)).select("bucket", "segment", "max_impact", "ids", "weights", "squares")
     blocks = blocks.join(keys, ["segment", "bucket"], "left_semi")
-    n_terms = questions.filter("vec IS NOT NULL").agg(F.sum(F.size("vec.buckets"))).first()[0] or 0
     groups = max(1, math.ceil(n_terms / group_terms))
     live = live.withColumn("part_of", F.pmod(F.xxhash64("qid"), F.lit(groups)).cast("int"))
     blocks = blocks.withColumn("part_of", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))) if groups > 1 else F.lit(0))
