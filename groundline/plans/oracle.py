@@ -7,6 +7,7 @@ windows over line rows, scores from a join of term rows, history from window fra
 from groundline.functions.cleaning import SOFT_HYPHEN
 from groundline.functions.text import WHITESPACE
 from groundline.operators.answer import NO_ANSWER
+from groundline.operators.codes import PARTS, SHORTLIST
 from groundline.operators.prompt import CONTEXT_SEPARATOR, HISTORY_ANSWER, HISTORY_INTRO, SAMPLE_QUESTIONS, TEMPLATE
 from groundline.plans.queries import CENTRE_PROBES, CHUNK_TOKENS, DIMENSIONS
 from groundline.plans.tables import EXTRA
@@ -269,6 +270,8 @@ SYNCED = _with(
 )
 TOKENS_LIST = f"list_filter(regexp_split_to_array(text, {lit('[' + SPACES + ']+')}), lambda w: w <> '')"
 
+WIDTH = DIMENSIONS // PARTS  # of a piece of a vector
+
 LABEL_MEANS = [
     f"value_rows AS (SELECT label, unnest(list_zip(embedding, range({DIMENSIONS}))) AS z FROM embeddings)",
     "means AS (SELECT label, z[2] AS pos, avg(z[1]::DOUBLE) AS m FROM value_rows GROUP BY ALL)",
@@ -390,6 +393,30 @@ ORACLES = {
         """SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id)::INT AS rank, id, score
            FROM scored QUALIFY rank <= 4""",
     ),
+    "search_codes": _with(
+        [
+            *LABEL_MEANS,
+            "c AS (SELECT label AS cell, list(m ORDER BY pos) AS cv FROM means GROUP BY label)",
+            """v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS dv,
+                 list_transform(dv, lambda x: x / sqrt(list_dot_product(dv, dv))) AS uv FROM embeddings)""",
+            """near AS (SELECT id, dv, uv, cell, row_number() OVER (PARTITION BY id
+                 ORDER BY list_dot_product(cv, dv) / sqrt(list_dot_product(cv, cv)) DESC, cell) AS place FROM v, c)""",
+            f"""books AS (SELECT p, cell AS word, list_slice(cv, p * {WIDTH} + 1, (p + 1) * {WIDTH}) AS piece
+                 FROM c, range({DIMENSIONS // WIDTH}) t(p))""",
+            f"""coded AS (SELECT id, p, piece, row_number() OVER (PARTITION BY id, p ORDER BY
+                 list_dot_product(list_slice(uv, p * {WIDTH} + 1, (p + 1) * {WIDTH}), piece) - list_dot_product(piece, piece) / 2 DESC, word) AS place
+                 FROM v, books)""",
+            f"""coarse AS (SELECT q.id AS qid, r.id AS id, round(sum(list_dot_product(list_slice(q.uv, p * {WIDTH} + 1, (p + 1) * {WIDTH}), piece)), 6) AS score
+                 FROM near q JOIN near r ON q.cell = r.cell JOIN coded ON coded.id = r.id AND coded.place = 1
+                 WHERE q.id % 100 = 0 AND q.place <= {CENTRE_PROBES} AND r.place = 1 GROUP BY ALL)""",
+            f"short AS (SELECT qid, id FROM coarse QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) <= {SHORTLIST})",
+            """scored AS (SELECT qid, s.id AS id, round(list_dot_product(q.dv, r.dv)
+                 / sqrt(list_dot_product(q.dv, q.dv) * list_dot_product(r.dv, r.dv)), 6) AS score
+                 FROM short s JOIN v q ON q.id = qid JOIN v r ON r.id = s.id)""",
+        ],
+        """SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id)::INT AS rank, id, score
+           FROM scored QUALIFY rank <= 4""",
+    ),
     "topk": """SELECT source AS qid, doc_id AS id, n_chars AS score,
            row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id)::INT AS rank
          FROM documents QUALIFY rank <= 4""",

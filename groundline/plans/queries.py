@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from groundline.functions.cleaning import STEPS, clean_text, clean_through
 from groundline.functions.tokens import squared_norm, vec_head
-from groundline.operators import cells, chunk, embed, index, postings, prompt, search
+from groundline.operators import cells, chunk, codes, embed, index, postings, prompt, search
 from groundline.operators.answer import answer, answer_extractive, model_responder
 from groundline.operators.nearest import topk
 from groundline.plans import tables as t
@@ -202,6 +202,18 @@ def search_approx_centres(spark, sf_dir):
     return search.search_approx(asked, built, CENTRE_PROBES)
 
 
+def search_codes(spark, sf_dir):
+    """Codes around given codewords, the pieces of the labels' mean vectors; every hundredth vector asks."""
+    rows = embed.from_vectors(t.table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    means = t.label_vectors(spark, sf_dir).orderBy("qid").collect()  # a row per label
+    centres = np.array([mean.vec for mean in means]).reshape(len(means), DIMENSIONS)
+    built = cells.build_cells(rows, len(means), shared_dir(spark, "code-cells"), centres=centres)
+    books = centres.reshape(len(means), codes.PARTS, -1).transpose(1, 0, 2)
+    coded = codes.build_codes(built, shared_dir(spark, "codes"), books=books)
+    asked = rows.filter("id % 100 = 0").withColumnRenamed("id", "qid")
+    return codes.search_codes(asked, coded, CENTRE_PROBES)
+
+
 def topk_hits(spark, sf_dir):
     """Per source, the four longest documents."""
     scored = t.table(spark, sf_dir, "documents").select(
@@ -405,6 +417,7 @@ QUERIES = {
     "search_vector": search_vector,
     "search_approx": search_approx,
     "search_approx_centres": search_approx_centres,
+    "search_codes": search_codes,
     "topk": topk_hits,
     "retrieve": retrieve,
     "stuff_context": stuff_context,
