@@ -268,6 +268,11 @@ ANSWERS = [*DOCUMENT_SEARCH, CONTEXTS, *_extractive()]
 SYNCED = _with(
     [*SNAPSHOTS, _terms("dterms", "id", "content", "new"), _norms("norms", "id", "dterms")], INDEX_SUMMARY.format("new")
 )
+DIFFERENCE = _with(
+    SNAPSHOTS,
+    """SELECT id, CASE WHEN o.content IS NULL THEN 'insert' WHEN n.content IS NULL THEN 'delete' ELSE 'update' END AS op
+       FROM new n FULL JOIN old o USING (id) WHERE n.content IS DISTINCT FROM o.content""",
+)
 TOKENS_LIST = f"list_filter(regexp_split_to_array(text, {lit('[' + SPACES + ']+')}), lambda w: w <> '')"
 
 WIDTH = DIMENSIONS // PARTS  # of a piece of a vector
@@ -339,11 +344,8 @@ ORACLES = {
         [*DOCUMENT_CHUNKS, _terms("dterms", "id", "content", "indexed"), _norms("norms", "id", "dterms")],
         INDEX_SUMMARY.format("indexed"),
     ),
-    "index_diff": _with(
-        SNAPSHOTS,
-        """SELECT id, CASE WHEN o.content IS NULL THEN 'insert' WHEN n.content IS NULL THEN 'delete' ELSE 'update' END AS op
-           FROM new n FULL JOIN old o USING (id) WHERE n.content IS DISTINCT FROM o.content""",
-    ),
+    "index_diff": DIFFERENCE,
+    "index_diff_tree": DIFFERENCE,
     "index_sync": SYNCED,
     "index_sync_stream": SYNCED,
     "index_rebuild": SYNCED,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from groundline.functions.cleaning import STEPS, clean_text, clean_through
 from groundline.functions.tokens import squared_norm, vec_head
-from groundline.operators import cells, chunk, codes, embed, index, postings, prompt, search
+from groundline.operators import cells, chunk, codes, difftree, embed, index, postings, prompt, search
 from groundline.operators.answer import answer, answer_extractive, model_responder
 from groundline.operators.nearest import topk
 from groundline.plans import tables as t
@@ -120,6 +120,16 @@ def index_diff(spark, sf_dir):
     return index.index_diff(t.new_snapshot(spark, sf_dir), old)
 
 
+def index_diff_tree(spark, sf_dir):
+    """The same difference by a hash tree over both snapshots, written as tables in id order."""
+    snapshots = []
+    for name, rows in (("new", t.new_snapshot(spark, sf_dir)), ("old", t.old_snapshot(spark, sf_dir))):
+        path = shared_dir(spark, f"diff-{name}")
+        rows.withColumn("content_md5", F.md5("content")).repartitionByRange("id").sortWithinPartitions("id").write.parquet(path)
+        snapshots.append(spark.read.parquet(path))
+    return difftree.index_diff_tree(*snapshots)
+
+
 def index_sync(spark, sf_dir):
     root = shared_dir(spark, "index-sync")
     index.sync_index(t.old_snapshot(spark, sf_dir), root, t.EMBEDDER)
@@ -407,6 +417,7 @@ QUERIES = {
     "vector_head": vector_head,
     "index_build": index_build,
     "index_diff": index_diff,
+    "index_diff_tree": index_diff_tree,
     "index_sync": index_sync,
     "index_sync_stream": index_sync_stream,
     "index_rebuild": index_rebuild,
