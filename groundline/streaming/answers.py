@@ -1,7 +1,12 @@
 """Requests in, answers out: the endpoint's work as a triggered stream."""
 
+from collections.abc import Iterator
+
+import pandas as pd
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from groundline.operators.answer import answer_extractive
 from groundline.operators.index import VectorIndex
@@ -29,6 +34,24 @@ def answer_requests(requests: DataFrame, index: VectorIndex, k: int = RESULTS, r
     return asked.join(answers, "qid", "left").select("request_id", "pos", "query", "answer", error.alias("error"))
 
 
+def first_requests(requests: DataFrame) -> DataFrame:
+    """The requests of a stream that have not come before, by keyed state; of different payloads in one batch the first in text order.
+
+    State is an id per request, kept in the checkpoint as long as the stream: a timeout would keep a triggered run from
+    ending. A missing id is one id.
+    """
+
+    def first(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        payloads = [payload for part in parts for payload in part["payload"] if payload is not None]
+        if state.exists:
+            return
+        state.update((True,))
+        yield pd.DataFrame({"request_id": pd.array([key[0]], dtype="Int64"), "payload": [min(payloads, default=None)]})
+
+    keyed = requests.groupBy("request_id")
+    return keyed.applyInPandasWithState(first, REQUEST_SCHEMA, "seen BOOLEAN", "append", GroupStateTimeout.NoTimeout)
+
+
 def answer_stream(
     spark: SparkSession,
     requests_dir: str,
@@ -42,21 +65,24 @@ def answer_stream(
     """One triggered run over JSON-lines request files; the answers so far are returned.
 
     Each batch takes up to `files_per_batch` files, writes a folder of its own and overwrites it if it is replayed. A
-    request that comes again in a later batch is answered again there; the answer of the first batch counts.
+    request is answered once, in whatever batches and runs it comes (`first_requests`): the model does not see it again.
     """
 
     def write(batch, batch_id):
-        answers = answer_requests(batch, index, k, respond)
-        answers.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+        batch.persist()  # the plan reads it twice; the stream's state is taken once
+        try:
+            answers = answer_requests(batch, index, k, respond)
+            answers.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     requests = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", files_per_batch).json(requests_dir)
     query = (
-        requests.writeStream.foreachBatch(write)
+        first_requests(requests)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    given = spark.read.parquet(out_dir)
-    first = given.groupBy("request_id").agg(F.min("batch").alias("batch"))
-    return given.join(first, ["request_id", "batch"], "left_semi").drop("batch")
+    return spark.read.parquet(out_dir).drop("batch")

@@ -1,9 +1,9 @@
-from groundline.operators.answer import model_responder
+from groundline.operators.answer import answer_extractive, model_responder
 from groundline.operators.embed import hashing_embedder
 from groundline.operators.index import apply_changes, build_index
 from groundline.session import shared_dir
 from groundline.sources.payload import encode_inputs, encode_split
-from groundline.streaming.answers import answer_requests, answer_stream
+from groundline.streaming.answers import REQUEST_SCHEMA, answer_requests, answer_stream
 from groundline.streaming.sync import CHANGE_SCHEMA, sync_stream
 
 from pyspark.sql import functions as F
@@ -53,6 +53,32 @@ def test_answers(spark):
     assert answer_stream(spark, folder, index, out, checkpoint, files_per_batch=2).count() == 6
 
 
+def test_a_request_reaches_the_model_once(spark):
+    chunks = spark.createDataFrame([(1, "red apples"), (2, "blue sky")], "id BIGINT, content STRING")
+    index = build_index(chunks, shared_dir(spark, "test-index"), EMBEDDER)
+    folder, out, checkpoint = (shared_dir(spark, f"test-{n}") for n in ("in", "out", "checkpoint"))
+    seen = []
+
+    def respond(retrieved):
+        seen.extend(r.query for r in retrieved.collect())
+        return answer_extractive(retrieved)
+
+    def deliver(*rows):
+        spark.createDataFrame(rows, REQUEST_SCHEMA).coalesce(1).write.mode("append").json(folder)
+        return {(r.request_id, r.query, r.answer) for r in answer_stream(spark, folder, index, out, checkpoint, respond=respond, files_per_batch=1).collect()}
+
+    def asks(text):
+        return '{"inputs": {"query": ["' + text + '"]}}'
+
+    first = deliver((1, asks("apples")), (2, asks("sky")), (1, asks("apples")), (3, "broken"))
+    assert sorted(seen) == ["apples", "sky"] and len(first) == 3
+    assert deliver((1, asks("apples")), (2, asks("other words")), (3, "broken")) == first  # in a batch and run of its own
+    again = deliver((4, asks("sky")), (1, asks("apples")), (4, asks("blue")))
+    assert again - first == {(4, "blue", "blue sky")} and first < again
+    assert sorted(seen) == ["apples", "blue", "sky"]
+    assert deliver((None, asks("red")), (None, asks("red"))) - again == {(None, "red", "red apples")}
+
+
 def test_model_in_the_stream(spark):
     chunks = spark.createDataFrame([(1, "red apples"), (2, None)], "id BIGINT, content STRING")
     index = build_index(chunks, shared_dir(spark, "test-index"), EMBEDDER)
