@@ -1,9 +1,6 @@
-"""HTML elements and Markdown as column expressions, plus one Arrow helper for nested elements."""
+"""HTML elements and Markdown as column expressions."""
 
 from functools import reduce
-from html.parser import HTMLParser
-
-import pyarrow as pa
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -130,66 +127,117 @@ def to_markdown(fragment: Column) -> Column:
     return strip(text)
 
 
-FED = 1 << 16  # characters given to the parser at once
-
-
-class _FirstElement(HTMLParser):
-    """Offsets of the first element with a given tag and attribute, counting nested same tags."""
-
-    def __init__(self, html: str, tag: str, attr: str | None = None, value: str | None = None):
-        super().__init__(convert_charrefs=True)
-        self.html, self.tag, self.attr, self.value = html, tag, attr, value
-        self.depth, self.start, self.end = 0, None, None
-        self.line_starts = [0]
-        for line in html.split("\n"):
-            self.line_starts.append(self.line_starts[-1] + len(line) + 1)
-        for start in range(0, len(html), FED):
-            self.feed(html[start : start + FED])
-            if self.end is not None:
-                return  # the rest of the page is not looked at
-        self.close()
-
-    def _offset(self) -> int:
-        line, column = self.getpos()
-        return self.line_starts[line - 1] + column
-
-    def handle_starttag(self, tag, attrs):
-        if tag != self.tag or self.end is not None:
-            return
-        if self.depth:
-            self.depth += 1
-        elif self.attr is None or dict(attrs).get(self.attr) == self.value:
-            self.start, self.depth = self._offset(), 1
-            if tag in VOID_ELEMENTS:
-                self.depth, self.end = 0, self.start + len(self.get_starttag_text())
-
-    def handle_startendtag(self, tag, attrs):
-        if self.depth == 0:
-            self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
-        if tag == self.tag and self.depth:
-            self.depth -= 1
-            if self.depth == 0:
-                closed = self.html.find(">", self._offset())
-                self.end = closed + 1 if closed >= 0 else len(self.html)
+# What a piece of a page lies in, as the run over the pieces sees it.
+TEXT, TAG, DOUBLE, SINGLE, COMMENT, DECLARATION, RAW = range(7)
+RAW_ELEMENTS = ("script", "style")
+
+
+def _pieces(html: Column, attr: str | None, value: str | None) -> Column:
+    """The page cut before every `<`, `>` and quote; for each piece its first character, length and what the run asks of it."""
+    mark = F.lit(r"[<>\"'][^<>\"']*+|[^<>\"']++")
+    before = r"(?is)[\s/\"']" + _quoted(attr or "") + r"\s*+=\s*+"
+
+    def features(p: Column) -> Column:
+        first = F.substring(p, 1, 1)
+        name = F.lower(F.regexp_extract(p, r"^<(/?[a-zA-Z][^\s/]*+)", 1))
+        kind = (
+            F.when(first != "<", TEXT)
+            .when(name != "", TAG)
+            .when(p.startswith("<!--"), COMMENT)
+            .when(p.rlike("^<[!?/]."), DECLARATION)
+            .otherwise(TEXT)
+        )
+        return F.struct(
+            first.alias("first"),
+            F.length(p).alias("length"),
+            name.alias("name"),
+            kind.alias("kind"),
+            p.rlike(r"=\s*+$").alias("equals"),  # a quote after it begins a value
+            p.endswith("/").alias("slash"),
+            p.endswith("--").alias("dashes"),
+            (F.lit(False) if attr is None else p.rlike(before + "$")).alias("asks"),  # the next quote holds the wanted attribute
+            (F.lit(False) if attr is None else p.rlike(before + _quoted(value or "") + r"(?:\s|/?$)")).alias("bare"),  # the value without quotes
+            (F.lit(False) if attr is None else F.substring(p, F.lit(2), F.length(p)) == F.lit(value or "")).alias("is_value"),
+        )
+
+    return F.transform(F.regexp_extract_all(html, mark, F.lit(0)), features)
+
+
+def _quoted(text: str) -> str:
+    """A text as a pattern that matches itself."""
+    return r"\Q" + text.replace(r"\E", r"\E\\E\Q") + r"\E"
+
+
+def _step(tag: str, any_tag: bool):
+    """One piece of the run: a struct of the run so far and a piece to the struct after it."""
+    closing = "/" + tag
+
+    def step(run: Column, p: Column) -> Column:
+        mode, first = run["mode"], p["first"]
+        opens = (mode == TEXT) & (p["kind"] == TAG) | (mode == RAW) & (p["name"] == F.concat(F.lit("/"), run["name"]))
+        in_tag = mode == TAG
+        closes = in_tag & (first == ">")
+        quote = in_tag & run["equals"]
+        raw = run["name"].isin(*RAW_ELEMENTS) & ~run["slash"]
+        after = (
+            F.when(opens, TAG)
+            .when(mode == TEXT, p["kind"])
+            .when(closes, F.when(raw, RAW).otherwise(TEXT))
+            .when(quote & (first == '"'), DOUBLE)
+            .when(quote & (first == "'"), SINGLE)
+            .when((mode == DOUBLE) & (first == '"') | (mode == SINGLE) & (first == "'"), TAG)
+            .when((mode == COMMENT) & (first == ">") & run["dashes"] | (mode == DECLARATION) & (first == ">"), TEXT)
+            .otherwise(mode)
+        )
+        value_ends = (mode == DOUBLE) & (first == '"') | (mode == SINGLE) & (first == "'")
+        hit = F.when(opens, p["bare"]).otherwise(run["hit"] | value_ends & run["maybe"] | (in_tag | value_ends) & ~closes & p["bare"])
+        begins = closes & (run["name"] == tag) & (run["depth"] == 0) & (F.lit(any_tag) | run["hit"])
+        deeper = closes & (run["name"] == tag) & (run["depth"] > 0) & ~run["slash"]
+        ends = closes & (run["name"] == closing) & (run["depth"] > 0)
+        void = F.lit(tag in VOID_ELEMENTS)
+        here = run["at"] + 1  # behind the `>`
+        depth = run["depth"] + F.when(begins | deeper, 1).when(ends, -1).otherwise(0)
+        changed = F.struct(
+            after.alias("mode"),
+            (run["at"] + p["length"]).alias("at"),
+            F.when(opens, run["at"]).otherwise(run["tag_at"]).alias("tag_at"),
+            F.when(opens, p["name"]).otherwise(run["name"]).alias("name"),
+            hit.alias("hit"),
+            (quote & run["asks"] & p["is_value"]).alias("maybe"),
+            p["equals"].alias("equals"),
+            p["asks"].alias("asks"),
+            p["slash"].alias("slash"),
+            p["dashes"].alias("dashes"),
+            depth.alias("depth"),
+            F.when(begins, run["tag_at"]).otherwise(run["start"]).alias("start"),
+            F.when(begins & void | ends & (run["depth"] == 1), here).otherwise(run["stop"]).alias("stop"),
+        )
+        return F.when(run["stop"] >= 0, run).otherwise(changed)
+
+    return step
 
 
 def nested_element(html: Column, tag: str, attr: str | None = None, value: str | None = None) -> Column:
-    """First element of a tag that may nest in itself, such as `div[itemprop=articleBody]`.
+    """First element of a tag that may nest in itself, such as `div[itemprop=articleBody]`, with its markup; else NULL.
 
-    Balanced tags are beyond a regular expression, so this one helper runs in Arrow batches. An
-    element that is never closed reaches to the end of the page.
+    The page is cut before every `<`, `>` and quote by one linear pattern, and one run over the pieces carries what they lie
+    in (a tag, a quoted value, a comment, a declaration, script or style) and the depth: no Python, and time grows with the
+    page, whatever is opened and never closed in it. An element that is never closed reaches to the end of the page, a tag
+    without its `>` is none. Attribute values are compared as they stand, without character references.
     """
-
-    @F.arrow_udf("string")
-    def extract(pages: pa.Array) -> pa.Array:
-        def one(page):
-            if not page:
-                return None
-            found = _FirstElement(page, tag, attr, value)
-            return None if found.start is None else page[found.start : found.end].strip()
-
-        return pa.array([one(page) for page in pages.to_pylist()], pa.string())
-
-    return extract(html)
+    tag = tag.lower()
+    if attr is not None and set(value or "") & set("<>\"'"):
+        raise ValueError("an attribute value with <, > or a quote cannot be asked for")
+    start = F.struct(
+        F.lit(TEXT).alias("mode"), F.lit(0).alias("at"), F.lit(0).alias("tag_at"), F.lit("").alias("name"),
+        *[F.lit(False).alias(c) for c in ("hit", "maybe", "equals", "asks", "slash", "dashes")],
+        F.lit(0).alias("depth"), F.lit(-1).alias("start"), F.lit(-1).alias("stop"),
+    )
+
+    def cut(x: Column) -> Column:
+        end = F.when(x["run"]["stop"] >= 0, x["run"]["stop"]).otherwise(F.length(x["html"]))
+        first = x["run"]["start"]
+        return F.when(first >= 0, strip(F.substring(x["html"], first + 1, end - first)))
+
+    run = F.aggregate(_pieces(html, attr, value), start, _step(tag, attr is None))
+    return F.when(html != "", let(F.struct(html.alias("html"), run.alias("run")), cut))
