@@ -1,6 +1,7 @@
 """SimHash near-duplicates: fingerprints of word shingles, multi-index hashing, classes of linked fingerprints."""
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,9 @@ from pyspark.sql import types as T
 from groundline.llm.common import stored
 from groundline.llm.components import components
 
-BITS, SEGMENTS, RADIUS = 64, 2, 1  # one bit inside one of two segments on either side: links of at most two bits
+BITS, DISTANCE = 64, 2  # links of at most two bits
+SEGMENTS = 2  # so one of them differs in one bit at most
+CROWD = 64  # fingerprints that may share a segment's value
 SHINGLE = 3
 SEED = 42
 WEIGHED = 1 << 16  # shingles whose bits are counted at once
@@ -52,32 +55,65 @@ def with_fingerprint(docs: DataFrame, text_column: str = "text", result: str = "
     return docs.select(*rest, text_column).mapInArrow(run, schema)
 
 
-def ball(print_: Column, segment: int) -> Column:
-    """The fingerprints that differ from `print_` in one bit of a segment, then `print_` itself once (segment 0)."""
-    width = BITS // SEGMENTS
-    ones = [1 << i for i in range(segment * width, (segment + 1) * width)]
-    signed = [one - (1 << BITS) if one >= 1 << (BITS - 1) else one for one in ones]
-    own = [F.lit(0).cast("long")] if segment == 0 else []
-    return F.transform(F.array(*own, *[F.lit(one).cast("long") for one in signed]), lambda one: print_.bitwiseXOR(one))
+def ball(value: Column, start: int, width: int, radius: int) -> Column:
+    """`value` and all that differ from it in at most `radius` of `width` bits from `start` on."""
+    none = F.lit(0).cast("long")
+    masks = [0]
+    for n in range(1, radius + 1):
+        masks += [sum(1 << i for i in bits) for bits in combinations(range(start, start + width), n)]
+    signed = [m - (1 << BITS) if m >= 1 << (BITS - 1) else m for m in masks]
+    return F.transform(F.array(none, *[F.lit(m).cast("long") for m in signed[1:]]), lambda mask: value.bitwiseXOR(mask))
 
 
-def links(prints: DataFrame) -> DataFrame:
-    """Edges `(a, b)` between distinct fingerprints of `prints(fingerprint)` that connect all that differ in at most two bits.
+def links(prints: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS, crowd: int = CROWD) -> DataFrame:
+    """Edges `(a, b)` between distinct fingerprints of `prints(fingerprint)` that connect all that differ in at most `distance` bits.
 
-    Two fingerprints differ in at most two bits exactly if their balls of one bit meet. Every fingerprint enters the
-    tables of its segments with each member of the small ball around that segment, the rest unchanged (65 entries);
-    those that meet at an entry are matches, each is linked with the next one, and complete distances are verified.
-    An entry's key is the whole fingerprint, so at most 65 distinct fingerprints meet at one, and n fingerprints of one
-    crowd give 65 n entries and fewer edges, never the pairs of a bucket.
+    Multi-index hashing: there is a table for each segment of bits, keyed by the segment's value. Of two fingerprints at
+    that distance, some segment differs in at most `distance // segments` bits, so each fingerprint asks every table for
+    the small ball around its own value; what it fetches is verified by the complete distance.
+
+    A value that more than `crowd` fingerprints share is no key: its members, and all whose balls touch it, are linked by
+    whole fingerprints instead. There balls of half the distance meet exactly if the distance is kept; those that meet at
+    one are linked each with the next, so a crowd of n gives a ball of entries each and never its pairs; for that the
+    distance has to be even. No link is lost:
+    the segment in which two fingerprints are near is keyed by one of them, and either that key is asked or both are in the crowd.
     """
-    members = F.concat(*[ball(F.col("fingerprint"), s) for s in range(SEGMENTS)])
-    entries = prints.select("fingerprint", F.explode(members).alias("entry"))
+    if distance % 2:
+        raise ValueError("crowds are linked by balls of half the distance, so it has to be even")
+    width = BITS // segments
+    spans = [(s * width, width if s < segments - 1 else BITS - s * width) for s in range(segments)]
+
+    def value(print_: Column, start: int, size: int) -> Column:
+        mask = ((1 << size) - 1) << start
+        return print_.bitwiseAND(F.lit(mask - (1 << BITS) if mask >> (BITS - 1) else mask).cast("long"))
+
+    print_ = F.col("fingerprint")
+    tables = F.array(*[F.struct(F.lit(s).alias("segment"), value(print_, *span).alias("value")) for s, span in enumerate(spans)])
+    table = prints.select("fingerprint", F.explode(tables).alias("key")).select("fingerprint", "key.*")
+    crowded = table.groupBy("segment", "value").agg(F.count("*").alias("n")).filter(F.col("n") > crowd).select("segment", "value")
+    crowded = stored(crowded, "simhash-crowded")  # fewer than one for `crowd` entries of the tables
+    def asks(s: int, span: tuple[int, int]) -> Column:
+        values = ball(value(print_, *span), *span, distance // segments)
+        return F.transform(values, lambda v: F.struct(F.lit(s).alias("segment"), v.alias("value")))
+
+    asked = F.concat(*[asks(s, span) for s, span in enumerate(spans)])
+    asked = prints.select(print_.alias("asks"), F.explode(asked).alias("key")).select("asks", "key.*")
+    key = ["segment", "value"]
+    fetched = asked.join(table.join(crowded, key, "left_anti"), key)
+    near = F.bit_count(F.col("asks").bitwiseXOR(F.col("fingerprint"))) <= distance
+    found = fetched.filter((F.col("asks") > F.col("fingerprint")) & near).select(F.col("asks").alias("a"), F.col("fingerprint").alias("b"))
+    if not crowded.isEmpty():
+        inside = asked.join(crowded, key, "left_semi").select(F.col("asks").alias("fingerprint")).distinct()
+        found = found.union(_crowd_links(inside, distance))
+    return found.distinct()
+
+
+def _crowd_links(prints: DataFrame, distance: int) -> DataFrame:
+    """`links` by whole fingerprints: balls of half the distance around both, which meet at a common entry."""
+    entries = prints.select("fingerprint", F.explode(ball(F.col("fingerprint"), 0, BITS, distance // 2)).alias("entry"))
     previous = F.lag("fingerprint").over(Window.partitionBy("entry").orderBy("fingerprint"))
-    return (
-        entries.select(F.col("fingerprint").alias("a"), previous.alias("b"))
-        .filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2 * RADIUS)
-        .distinct()
-    )
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
+    return entries.select(F.col("fingerprint").alias("a"), previous.alias("b")).filter(near)
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -35,18 +35,39 @@ def test_fingerprint_and_native_hash(spark):
     assert spark.sql("SELECT xxhash64('ab c d')").first()[0] % (1 << 64) == by_hand("AB c d")
 
 
-def test_links_connect_all_within_two_bits(spark):
-    rng = random.Random(1)
-    base = [rng.getrandbits(64) for _ in range(6)] + [0]
+def crowds(seed):
+    """Fingerprints around some, many of which share all but a few bits, or one half and nothing else."""
+    rng = random.Random(seed)
+    base = [rng.getrandbits(64) for _ in range(6)] + [0, (1 << 64) - 1]
     prints = set(base)
     for p in base:
         for _ in range(40):
-            prints.add(p ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 4))))
-    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    edges = [(r.a, r.b) for r in links(spark.createDataFrame([(p,) for p in signed], "fingerprint long")).collect()]
-    near = [(a, b) for a in signed for b in signed if a < b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 2]
-    assert set(map(lambda e: tuple(sorted(e)), edges)) <= set(near)
+            prints.add(p ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 6))))
+    half = rng.getrandbits(32)
+    prints |= {half | rng.getrandbits(32) << 32 for _ in range(60)}  # one value of a segment, far apart
+    prints |= {half ^ 1 | p & ~0xFFFFFFFF for p in list(prints)[:30]}
+    return [p - (1 << 64) if p >> 63 else p for p in sorted(prints)]
+
+
+@pytest.mark.parametrize("distance, segments, crowd", [(2, 2, 64), (2, 2, 3), (2, 2, 0), (2, 3, 5), (2, 1, 4), (4, 4, 7), (4, 2, 30), (0, 2, 2)])
+def test_links_connect_all_within_the_distance(spark, distance, segments, crowd):
+    signed = crowds(distance + segments)
+    frame_ = spark.createDataFrame([(p,) for p in signed], "fingerprint long")
+    edges = [(r.a, r.b) for r in links(frame_, distance, segments, crowd).collect()]
+    near = [(a, b) for a in signed for b in signed if a < b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= distance]
+    assert {(min(e), max(e)) for e in edges if e[0] != e[1]} <= set(near)
     assert roots(signed, edges) == roots(signed, near)
+    if crowd == 64 and segments == 2:
+        assert {(min(e), max(e)) for e in edges} == set(near)  # tables alone give every link
+    with pytest.raises(ValueError, match="even"):
+        links(frame_, 3)
+
+
+def test_a_crowd_does_not_give_its_pairs(spark):
+    """Thousands that share a half: entries grow with their number, not with its square."""
+    rng = random.Random(1)
+    prints = spark.createDataFrame([(0x1234 | rng.getrandbits(31) << 32,) for _ in range(3000)], "fingerprint long").distinct()
+    assert links(prints).count() < 3000
 
 
 @pytest.mark.parametrize("n, m", [(60, 0), (60, 40), (300, 280), (50, 400)])
