@@ -78,21 +78,27 @@ class VectorIndex:
             return self.spark.createDataFrame([], schema).withColumn("v", F.lit(0))
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*paths)
 
-    def _current(self, log) -> DataFrame:
-        """The newest row of every id, deleted ones as tombstones.
+    def _current(self, log, among: DataFrame | None = None) -> DataFrame:
+        """The newest row of every id, deleted ones as tombstones; with `among(id)`, of those ids alone.
 
         Only ids of deltas are aggregated; the rows of the full version lose those ids, and a single version is read as it is.
+        Versions are held against `among` as they are read: few ids go to the tasks, and nothing else of the index is shuffled.
         """
+
+        def read(versions) -> DataFrame:
+            rows = self._read(versions)
+            return rows if among is None else rows.join(among, "id", "left_semi")
+
         base, deltas = [r for r in log if r.is_full], [r for r in log if not r.is_full]
         if not any(r.n_rows for r in deltas):
-            return self._read(log).drop("v")
-        changed = self._read([r for r in deltas if r.n_rows] + log[-1:] * (not deltas[-1].n_rows))
+            return read(log).drop("v")
+        changed = read([r for r in deltas if r.n_rows] + log[-1:] * (not deltas[-1].n_rows))
         newest = changed.groupBy("id").agg(F.max("v").alias("v"))
         fresh = changed.join(newest, ["id", "v"], "left_semi").drop("v")
         if not base:
             return fresh
         schema_of = base + log[-1:]  # rows of the full version, read with the newest columns
-        kept = self._read(schema_of).filter(F.col("v") == base[0].version).drop("v")
+        kept = read(schema_of).filter(F.col("v") == base[0].version).drop("v")
         return kept.join(newest.select("id"), "id", "left_anti").unionByName(fresh)
 
 
@@ -190,7 +196,7 @@ def apply_changes(changes: DataFrame, root: str, embedder: Embedder, batch_id: i
     newest = changes.groupBy("id").agg(F.max(F.struct(order.alias("by"), F.col("op"))).alias("at"))
     newest = newest.select("id", "at.op", "at.by.seq", "at.by.content")
     if log:
-        known = index._current(log).select("id", F.col("seq").alias("known_seq"))
+        known = index._current(log, newest.select("id")).select("id", F.col("seq").alias("known_seq"))
         newest = newest.join(known, "id", "left").filter("known_seq IS NULL OR seq >= known_seq").drop("known_seq")
     _append(index, log, newest, lambda changed: changed.select("id", "content", "seq"), batch_id)
     return index
