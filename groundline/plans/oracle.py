@@ -369,6 +369,20 @@ ORACLES = {
     ),
     "search_text": TEXT_HITS,
     "search_text_postings": TEXT_HITS,
+    "search_text_weighted": _with(
+        [
+            *DOCUMENT_CHUNKS,
+            QUESTIONS,
+            _terms("dterms", "id", "content", "indexed"),
+            _terms("counts", "qid", "query", "questions"),
+            "total AS (SELECT count(DISTINCT id) AS n FROM dterms)",
+            "frequent AS (SELECT bucket, count(*) AS df FROM dterms GROUP BY bucket)",
+            """qterms AS (SELECT qid, bucket, (weight * floor(1000 * ln((2 * n + 2) / (2 * df + 1))))::BIGINT AS weight
+                 FROM counts JOIN frequent USING (bucket), total WHERE df <= 0.5 * n)""",
+            *SEARCH[2:],
+        ],
+        "SELECT qid, rank::INT AS rank, id, content, score FROM hits JOIN indexed USING (id)",
+    ),
     "search_vector": _with(
         [
             *LABEL_MEANS,

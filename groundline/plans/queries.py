@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from groundline.functions.cleaning import STEPS, clean_text, clean_through
 from groundline.functions.tokens import squared_norm, vec_head
-from groundline.operators import cells, chunk, codes, difftree, embed, index, postings, prompt, search
+from groundline.operators import cells, chunk, codes, difftree, embed, index, postings, prompt, search, termstats
 from groundline.operators.answer import answer, answer_extractive, model_responder
 from groundline.operators.nearest import topk
 from groundline.plans import tables as t
@@ -191,6 +191,12 @@ def search_text_postings(spark, sf_dir):
     return postings.search_text_postings(t.questions(spark, sf_dir), found, t.chunk_postings(found))
 
 
+def search_text_weighted(spark, sf_dir):
+    """Questions weighted by document frequencies, without the words of more than half of all chunks."""
+    found = t.chunk_index(spark, sf_dir, t.document_chunks)
+    return termstats.search_text_weighted(t.questions(spark, sf_dir), found, postings=t.chunk_postings(found))
+
+
 def search_vector(spark, sf_dir):
     rows = t.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), "label")
     return search.search_vector(t.label_vectors(spark, sf_dir), rows, DIMENSIONS, ("label",))
@@ -425,6 +431,7 @@ QUERIES = {
     "index_sync_nulls": index_sync_nulls,
     "search_text": search_text,
     "search_text_postings": search_text_postings,
+    "search_text_weighted": search_text_weighted,
     "search_vector": search_vector,
     "search_approx": search_approx,
     "search_approx_centres": search_approx_centres,
