@@ -35,15 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundline.llm import blobs
-from groundline.llm.common import give_back, stored, whole, worker_memory
+from groundline.llm.common import batches_of, give_back, stored, whole, worker_memory
 
 WINDOW, QUARTER = 100, 25
 OFFSETS = WINDOW - QUARTER + 1  # places of a pointer in a window
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 PART_BYTES = 8 << 20  # of text per part
-PIECE = 1 << 18  # window starts that are hashed at once; longer texts are taken in pieces that overlap
+PIECE = 1 << 17  # window starts that are hashed at once; longer texts are taken in pieces that overlap
 BASE = np.uint64(0xD6E8FEB86659FD93)  # odd, so that it has an inverse modulo 2 ** 64
-AT_ONCE = 1 << 19  # bytes of runs that are refined at once
+AT_ONCE = 1 << 18  # bytes of runs that are refined at once
 GATHERED = 1000  # classes of a bucket that are refined in one part
 MISSING = np.uint64((1 << 64) - 1)  # a missing id comes last
 
@@ -538,7 +538,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     sent = rows.mapInArrow(send_buckets, ROW).repartition(tasks, "part").sortWithinPartitions("part")
     texts = rows.mapInArrow(keep_texts, ROW)
     together = texts.union(sent.mapInArrow(_decide_buckets, ROW)).repartition(tasks, "block").sortWithinPartitions("block", "kind")
-    refined = stored(together.mapInArrow(refine, ROW), "repeat-windows")
+    with batches_of(docs.sparkSession, 1000):
+        refined = stored(together.mapInArrow(refine, ROW), "repeat-windows")
     asked = {kind: refined.filter(F.col("kind") == kind).repartition(tasks, "part").sortWithinPartitions("part") for kind in (CONTEXTS, WINDOWS)}
     late = asked[CONTEXTS].mapInArrow(_decide_contexts, ROW).union(asked[WINDOWS].mapInArrow(_decide_windows, ROW))
     # what goes back to the blocks: of the bytes sent with contexts nothing is needed any more, but they pack to little
