@@ -204,6 +204,9 @@ def _with(ctes: list[str], select: str) -> str:
 
 DOCUMENT_TEXT = [MARKED, *_clean_ctes("marked")]
 DOCUMENT_CHUNKS = [*DOCUMENT_TEXT, *CHUNKS]
+HEADING_CHUNKS = _with(
+    DOCUMENT_CHUNKS, "SELECT doc_id, chunk_no::INT AS chunk_no, content, header_1, header_2, header_3 FROM chunks"
+)
 PAGE_CHUNKS = [MARKDOWN, "paged AS (SELECT page_id AS doc_id, md FROM markdown)", *_clean_ctes("paged"), *CHUNKS]
 DOCUMENT_SEARCH = [*DOCUMENT_CHUNKS, QUESTIONS, *SEARCH]
 TEXT_HITS = _with(DOCUMENT_SEARCH, "SELECT qid, rank::INT AS rank, id, content, score FROM hits JOIN indexed USING (id)")
@@ -295,9 +298,8 @@ ORACLES = {
     ),
     **{f"clean_t{n:02d}": _clean_query(n) for n in range(1, len(CLEAN) + 1)},
     "clean_all": _with(DOCUMENT_TEXT, "SELECT doc_id, x AS text FROM cleaned"),
-    "chunk_heading": _with(
-        DOCUMENT_CHUNKS, "SELECT doc_id, chunk_no::INT AS chunk_no, content, header_1, header_2, header_3 FROM chunks"
-    ),
+    "chunk_heading": HEADING_CHUNKS,
+    "chunk_segments": HEADING_CHUNKS,
     "chunk_json": _with(
         DOCUMENT_CHUNKS,
         """SELECT doc_id, chunk_no::INT AS chunk_no, '{"content":' || to_json(content)::VARCHAR || ',"headers":{' ||

@@ -7,9 +7,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundline.functions.cleaning import STEPS, clean_text, clean_through
+from groundline.functions.cleaning import STEPS, clean, clean_text, clean_through
 from groundline.functions.tokens import squared_norm, vec_head
-from groundline.operators import cells, chunk, codes, difftree, embed, index, postings, prompt, search, termstats
+from groundline.operators import cells, chunk, codes, difftree, embed, index, postings, prompt, search, segments, termstats
 from groundline.operators.answer import answer, answer_extractive, model_responder
 from groundline.operators.nearest import topk
 from groundline.plans import tables as t
@@ -47,6 +47,13 @@ def chunk_heading(spark, sf_dir):
     return _header_columns(t.document_chunks(spark, sf_dir))
 
 
+def chunk_segments(spark, sf_dir):
+    """The same chunks of documents that come as segments of seven lines."""
+    cleaned = t.marked_documents(spark, sf_dir).transform(clean, "md")
+    lines = cleaned.select("doc_id", F.posexplode(F.split("md", "\n", -1)).alias("line_no", "line"))
+    return _header_columns(segments.chunk_segments(segments.to_segments(lines, 7)))
+
+
 def chunk_json(spark, sf_dir):
     return chunk.chunk_json(t.document_chunks(spark, sf_dir)).select("doc_id", "chunk_no", "json")
 
@@ -412,6 +419,7 @@ QUERIES = {
     **{f"clean_t{n:02d}": partial(clean_step, step=n) for n in range(1, len(STEPS) + 1)},
     "clean_all": clean_all,
     "chunk_heading": chunk_heading,
+    "chunk_segments": chunk_segments,
     "chunk_json": chunk_json,
     "chunk_tokens": chunk_tokens,
     "chunk_paragraph": chunk_paragraph,
