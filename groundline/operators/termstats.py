@@ -67,15 +67,15 @@ def weighted(questions: DataFrame, frequencies: DataFrame, max_share: float = MA
     Terms of no row, and of more than `max_share` of the n rows, are left out: a word of nearly every row tells nothing and
     its list is the longest. A question that is left without a term has no row.
     """
-    total = frequencies.filter(F.col("bucket") == ALL).select(F.col("df").alias("n"))
+    n = frequencies.filter(F.col("bucket") == ALL).select("df").scalar()  # one number
     terms = questions.filter("vec IS NOT NULL").select("qid", F.explode(F.arrays_zip("vec.buckets", "vec.weights")).alias("term"))
     rarity = F.floor(1000 * F.log((2 * F.col("n") + 2) / (2 * F.col("df") + 1)))
     entry = F.struct("bucket", (F.col("term.weights") * rarity).cast("int").alias("weight"))
     return (
         terms.withColumn("bucket", F.col("term.buckets"))
         .join(frequencies.filter(F.col("bucket") != ALL), "bucket")
-        .join(F.broadcast(total), F.col("df") <= max_share * F.col("n"))  # one row
-        .filter(rarity > 0)
+        .withColumn("n", n)
+        .filter((F.col("df") <= max_share * F.col("n")) & (rarity > 0))
         .groupBy("qid")
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))  # the terms of one question
         .select("qid", F.struct(F.col("entries.bucket").alias("buckets"), F.col("entries.weight").alias("weights")).alias("vec"))
