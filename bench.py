@@ -20,8 +20,8 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
 
 HEADLINES = (
-    "clean_all chunk_heading chunk_tokens chunk_paragraph chunk_table embed_terms index_build index_diff index_sync "
-    "index_sync_stream search_text search_vector search_approx retrieve rag_prompts answers_extractive "
+    "clean_all chunk_heading chunk_segments chunk_tokens chunk_paragraph chunk_table embed_terms index_build index_diff index_diff_tree index_sync "
+    "index_sync_stream search_text search_text_postings search_text_weighted search_vector search_approx search_codes retrieve rag_prompts answers_extractive "
     "answer_stream history_prompts chat_prompts html_markdown article_text article_nested sitemap_urls data_array payload_rows"
 ).split()
 
@@ -53,6 +53,7 @@ def main():
     times = {
         "index_documents": timed(lambda: tables.chunk_index(spark, SF_DIR, tables.document_chunks)),
         "index_pages": timed(lambda: tables.chunk_index(spark, SF_DIR, tables.page_chunks)),
+        "index_postings": timed(lambda: tables.chunk_postings(tables.chunk_index(spark, SF_DIR, tables.document_chunks))),
     }
     for name in HEADLINES:
         times[name] = timed(lambda: drain(name))
