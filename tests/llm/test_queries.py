@@ -11,6 +11,9 @@ COLUMNS = {
     "op8": "doc_id size source_size target taken",
     "op9": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op10": "doc_id held_out lang_pred score",
+    "op11": "doc_id n_bytes n_tokens over_limit",
+    "op12": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+    "op13": "item_id rank doc_id score",
 }
 
 
@@ -21,4 +24,4 @@ def test_registered_queries_have_the_stated_columns_and_all_rows(spark, sf_dir):
     for key, columns in COLUMNS.items():
         df = contract.queries()[names[key]](spark, sf_dir)
         assert set(columns.split()) <= set(df.columns), key
-        assert df.count() == n, key
+        assert df.count() == n or key == "op13", key  # op13 has rows per item
