@@ -131,6 +131,41 @@ ARTICLE = strip(r"regexp_extract(html, '(?is)<article(?:\s[^>]*)?>.*?</article\s
 MARKDOWN = f"""markdown AS (
   SELECT page_id, {_markdown(ARTICLE)} AS md FROM pages WHERE {ARTICLE} <> '')"""
 
+# The structure before the foot of a page, written out.
+STRUCTURE = """3. one
+   - two
+
+     more
+   - three
+4. four
+
+> said
+>
+> ```
+> a
+>   b
+> ```
+
+| key | url |  |
+| --- | --- | --- |
+| a\\|b | {url} | *last* cell |"""
+
+
+def _nested_markdown() -> str:
+    """A fixture page with its structure, by what its pages are made of."""
+    x = sub(sub("html", r"(?s)<head>.*?</head>|<!--.*?-->", ""), r"[ \t\r\n\f\x{a0}]+", " ")
+    x = rep(x, "<footer>", "<p>\x01<p>")
+    x = sub(x, r'<li><a href="([^"]*)">([^<]*)</a></li>', NEWLINE + r"- [\2](\1)")
+    x = sub(x, "<b>([^<]*?) *<br>", r"**\1**" + NEWLINE)
+    x = rep(x, "<h1>", NEWLINE * 2 + "# ")
+    x = sub(x, r"</?(?:html|body|nav|ul|div|article|h1|p|footer)(?: [^>]*)?>|<!DOCTYPE html>", NEWLINE * 2)
+    x = strip(sub(sub(x, " ?\n ?", NEWLINE), "\n{3,}", NEWLINE * 2))
+    for name, character in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("copy", "\u00a9"), ("middot", "\u00b7"), ("amp", "&")):
+        x = rep(x, f"&{name};", character)
+    before, after = STRUCTURE.split("{url}")
+    return f"replace({x}, chr(1), {lit(before)} || url || {lit(after)})"
+
+
 # (line, level, title) rows, then headings in force by nested running counts.
 CHUNKS = [
     "raw_lines AS (SELECT doc_id, unnest(list_zip(string_split(x, chr(10)), range(len(string_split(x, chr(10)))))) AS z FROM cleaned)",
@@ -490,6 +525,7 @@ ORACLES = {
            END AS text FROM pages""",
     "nonnull_articles": f"SELECT url, {ARTICLE} AS text FROM pages WHERE {ARTICLE} <> ''",
     "html_markdown": _with([MARKDOWN], "SELECT page_id, md FROM markdown"),
+    "markdown_nested": f"SELECT page_id, {_nested_markdown()} AS md FROM pages WHERE html <> ''",
     "page_range": _with(
         [MARKED, *_exploded("string_split(md, '-----')", "marked")],
         "SELECT doc_id, z[2]::INT AS page_no, z[1] AS page FROM zipped WHERE z[2] BETWEEN 5 AND 19",

@@ -23,6 +23,10 @@ CELLS, PROBES = 16, 4
 CENTRE_PROBES = 2
 CHUNK_TOKENS = 64
 AD, NESTED = '<div class="ad">', "<div><div>a</div>b</div>"
+STRUCTURE = (
+    "<ol start=3><li>one<ul><li>two<p>more</p></li><li>three</ul><li>four</ol><blockquote>said<pre>a\n  b</pre></blockquote>"
+    "<table><tr><th>key<th>url</tr><tr><td>a|b<td>{url}<td><i>last </i>cell</table>"
+)
 
 
 def clean_step(spark: SparkSession, sf_dir: str, step: int) -> DataFrame:
@@ -410,6 +414,14 @@ def html_markdown(spark, sf_dir):
     return pages.html_to_markdown(t.page_source(spark, sf_dir))
 
 
+def markdown_nested(spark, sf_dir):
+    """Whole pages with their structure: the links of the head of the page, and a list, a table and code put before its foot."""
+    before, url, after = (F.lit(part) if i != 1 else F.col("url") for i, part in enumerate(STRUCTURE.partition("{url}")))
+    structure = F.concat(before, url, after, F.lit("<footer>"))
+    whole = t.page_source(spark, sf_dir).withColumn("html", F.replace("html", F.lit("<footer>"), structure))
+    return pages.html_to_markdown(whole, tag=None, nested=True)
+
+
 def page_range(spark, sf_dir):
     return documents.page_range(t.marked_documents(spark, sf_dir), text_col="md")
 
@@ -466,5 +478,6 @@ QUERIES = {
     "article_nested": article_nested,
     "nonnull_articles": nonnull_articles,
     "html_markdown": html_markdown,
+    "markdown_nested": markdown_nested,
     "page_range": page_range,
 }

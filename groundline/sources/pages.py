@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from groundline.functions import html as H
+from groundline.functions.markdown import nested_markdown
 from groundline.functions.text import present
 
 PAGE_COLUMNS = ("page_id", "url", "html")
@@ -66,15 +67,21 @@ def nonnull_articles(articles: DataFrame) -> DataFrame:
     return kept
 
 
-def html_to_markdown(pages: DataFrame, tag: str = "article", attr: str | None = None, value: str | None = None) -> DataFrame:
+def html_to_markdown(
+    pages: DataFrame, tag: str | None = "article", attr: str | None = None, value: str | None = None, nested: bool = False
+) -> DataFrame:
     """`(page_id, md)`: the page's article as Markdown. Pages without one are left out.
 
-    With `attr` and `value` the element is chosen by attribute and may nest in its own tag.
+    With `attr` and `value` the element is chosen by attribute and may nest in its own tag; `tag=None` takes whole pages.
+    `nested` keeps the structure of lists, tables, quotes, code and links (see `functions/markdown.py`).
     """
     html = F.col("html")
+    write = nested_markdown if nested else H.to_markdown
+    if tag is None:
+        return pages.filter("html <> ''").select("page_id", write(html).alias("md"))
     article = H.flat_element(html, tag) if attr is None else H.nested_element(html, tag, attr, value)
     return (
         pages.filter(F.col("html").isNotNull())
         .select("page_id", present(article).alias("article"))
-        .select("page_id", H.to_markdown(F.col("article")).alias("md"))
+        .select("page_id", write(F.col("article")).alias("md"))
     )

@@ -1,0 +1,168 @@
+"""Structured Markdown: golden texts, random trees written by recursion, pages made to be slow."""
+
+import random
+import time
+
+import pytest
+
+from pyspark.sql import functions as F
+
+from groundline.functions.markdown import MAX_DEPTH, markdown, nested_markdown
+from groundline.sources.pages import html_to_markdown
+
+CASES = [
+    ("", ""),
+    (" \n ", ""),
+    ("plain &lt;b&gt; &#8217;", "plain <b> ’"),
+    ("a < b <3 and a <- b", "a < b <3 and a <- b"),
+    ("<h2>T <i>x</i><br>y</h2>z", "## T *x* y\n\nz"),
+    ("<p>a<br> <br>b</p>", "a\nb"),
+    ("<ul><li>a<ul><li>b</ul><li>c</ul>", "- a\n  - b\n- c"),
+    ("<ul><li><ul><li>b</ul></ul>", "- - b"),
+    ("<ol start=9><li>a<p>b</p><li>c</ol>", "9. a\n\n   b\n10. c"),
+    ("<ol><li>a<li value='7'>b<li>c<li value=x>d</ol>", "1. a\n7. b\n8. c\n9. d"),
+    ("<ol><li>a<li><li>c</ol>", "1. a\n3. c"),  # an empty item is counted, not written
+    ("<li>a<li>b<p>c", "- a\n- b\n\n  c"),  # items without a list
+    ("<ul><li>a</ul><ul><li>b</ul>", "- a\n\n- b"),
+    ("<ul><li>a</ol></ul>b</li>", "- a\n\nb"),  # closing tags that close nothing
+    ("<blockquote>a<p>b<blockquote>c</blockquote></blockquote>d", "> a\n>\n> b\n>\n> > c\n\nd"),
+    ("<blockquote><ul><li>a<li>b</ul></blockquote>", "> - a\n> - b"),
+    ("<table><tr><td>a<td>b|<tr><td>c</table>", "| a | b\\| |\n| --- | --- |\n| c |"),
+    ("<table><caption>t</caption><tr><td>a<tr><td>b<td><p>c</p><ul><li>d</ul></table>", "t\n\n| a |  |\n| --- | --- |\n| b | c d |"),
+    ("<table><tr><td>a<table><tr><td>b<td>c</table>d<td>e</table>f", "| a b c d | e |\n| --- | --- |\n\nf"),
+    ("<table></table><table><tr></table>x", "x"),
+    ("<ul><li><table><tr><td>a</table></ul>", "- | a |\n  | --- |"),
+    ("<td>a</td>b", "ab"),
+    ("<pre>\n a\n\n  <b>b</b>&lt;\n</pre>", "```\n a\n\n  b<\n```"),
+    ("<ul><li>x<pre><code class='hl language-py'>```</code></pre></ul>", "- x\n\n  ````py\n  ```\n  ````"),
+    ("<a href='/a (b)'> x <b>y</b></a>!", "[x **y**](/a%20%28b%29)!"),
+    ("<a>x</a><a href=u></a><a href=u>v<a href=w>z</a>", "x[v](u)[z](w)"),
+    ("a<b> b </b>c<b></b><b><strong>d</b>e</strong>f", "a **b** c**de**f"),
+    ("<b>x<i>y</b>z</i>", "**x*y***" + "*z*"),
+    ("<b>never closed<p>next", "**never closed**\n\nnext"),
+    ("<code>a`b</code> <code>`</code>", "``a`b`` `` ` ``"),
+    ("<img alt='a  b' src='/x y'><img alt=q>", "![a b](/x%20y)"),
+    ("a<hr>b", "a\n\n---\n\nb"),
+    ("a<!-- <p> -->b<!doctype x><?y?>c<script>d<p></script >e<style>f", "abce"),
+    ("a<!-- b", "a"),
+    ("a<p title='>'>b<p =\">c</p>d", "a\n\nb\n\nc\n\nd"),
+    ("a <p b", "a <p b"),
+    ("a</", "a</"),
+]
+
+
+@pytest.mark.parametrize("page,expected", CASES)
+def test_golden(page, expected):
+    assert markdown(page) == expected
+
+
+def words(rng):
+    return " ".join(rng.choices(["ab", "c", "déf", "g*h", "1", "東"], k=rng.randint(1, 4)))
+
+
+def tree(rng, depth):
+    """Blocks `(kind, ...)`; an item begins with a paragraph, so that it is written."""
+    blocks = []
+    for _ in range(rng.randint(1, 3)):
+        kind = rng.choice(["p", "ul", "ol", "quote", "table", "h"] if depth else ["p"])
+        if kind in ("ul", "ol"):
+            items = [[("p", words(rng)), *(tree(rng, depth - 1) if rng.random() < 0.5 else [])] for _ in range(rng.randint(1, 3))]
+            blocks.append((kind, rng.randint(0, 12), items))
+        elif kind == "quote":
+            blocks.append((kind, tree(rng, depth - 1)))
+        elif kind == "table":
+            blocks.append((kind, [[words(rng) for _ in range(rng.randint(1, 3))] for _ in range(rng.randint(1, 3))]))
+        else:
+            blocks.append((kind, words(rng)))
+    return blocks
+
+
+def as_html(blocks, rng):
+    def end(name):
+        return rng.choice([f"</{name}>", f"</{name.upper()} >"])
+
+    def one(b):
+        if b[0] in ("p", "h"):
+            name = "p" if b[0] == "p" else "h3"
+            return f"<{name} class='x>y'>{b[1]}" + end(name)
+        if b[0] in ("ul", "ol"):
+            items = "".join("<li>" + as_html(item, rng) + rng.choice(["", end("li")]) for item in b[2])
+            return f"<{b[0]} start={b[1]}>{items}" + end(b[0])
+        if b[0] == "quote":
+            return "<blockquote>" + as_html(b[1], rng) + end("blockquote")
+        rows = "".join("<tr>" + "".join(f"<td>{c}" + rng.choice(["", end("td")]) for c in row) + rng.choice(["", end("tr")]) for row in b[1])
+        return "<table>" + rows + end("table")
+
+    return rng.choice(["", "\n"]).join(map(one, blocks))
+
+
+def as_markdown(blocks, in_list=False):
+    """Lines of the blocks by recursion; inside a list, a list follows what is before it without an empty line."""
+    out = []
+    for b in blocks:
+        listed = b[0] in ("ul", "ol")
+        if b[0] == "p":
+            lines = [b[1]]
+        elif b[0] == "h":
+            lines = ["### " + b[1]]
+        elif listed:
+            lines = []
+            for i, item in enumerate(b[2]):
+                mark = "- " if b[0] == "ul" else f"{b[1] + i}. "
+                inner = as_markdown(item, True)
+                lines += [mark + inner[0], *((" " * len(mark) + line).rstrip(" ") for line in inner[1:])]
+        elif b[0] == "quote":
+            lines = [("> " + line).rstrip(" ") for line in as_markdown(b[1], in_list)]
+        else:
+            width = max(map(len, b[1]))
+            head, *rest = b[1]
+            rows = [head + [""] * (width - len(head)), ["---"] * width, *rest]
+            lines = ["| " + " | ".join(row) + " |" for row in rows]
+        if out and not (in_list and listed):
+            out.append("")
+        out += lines
+    return out
+
+
+def test_random_trees_equal_recursion():
+    rng = random.Random(5)
+    for _ in range(1500):
+        blocks = tree(rng, 3)
+        page = as_html(blocks, rng)
+        assert markdown(page) == "\n".join(as_markdown(blocks)), page
+
+
+HOSTILE = [
+    "<", "<!--", "<a ", '<a "', '<a ="', "<ul><li>x", "<ol><li>x", "<blockquote>", "<b>", "<b><i>x</b>", "<table>", "<table><tr><td>x", "<tr><td>x",
+    "<pre>", "<script>", "<h1>", "<a href=x>", "</li>", "</ul>", "&", "&lt", " ", "\n", "<br>", "`", "<code>`", "<![CDATA[", "</", "<?", "<a b c d ", "a=",
+    "<p a=' ", "<li>x</blockquote>", "<ul>x</ol>", "<img src=x>",
+]
+
+
+@pytest.mark.parametrize("unit", HOSTILE)
+@pytest.mark.parametrize("before", ["", "<ol>", "<table><tr><td>"])
+def test_time_grows_with_the_page(unit, before):
+    page = before + unit * (300_000 // len(unit))
+    begun = time.process_time()
+    written = markdown(page)
+    assert time.process_time() - begun < 5
+    assert len(written) < 30 * len(page)
+
+
+def test_deep_lists_keep_their_text():
+    page = "".join(f"<ul><li>w{i}" for i in range(200)) + "</ul>" * 200 + "<p>end"
+    lines = markdown(page).split("\n")
+    assert [line.split("w")[-1] for line in lines[:-2]] == [str(i) for i in range(200)]
+    assert max(len(line) for line in lines) <= 2 * MAX_DEPTH + 8
+    assert lines[-2:] == ["", "end"]
+
+
+def test_columns(spark):
+    rows = [(1, "<ul><li>a<ul><li>b</ul></ul>"), (2, None), (3, ""), (4, "<div class='x'><p>c</p><div>d</div></div>"), (4, "<p>e")]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    assert sorted(pages.select("page_id", nested_markdown(F.col("html"))).collect(), key=str) == sorted(
+        [(1, "- a\n  - b"), (2, None), (3, ""), (4, "c\n\nd"), (4, "e")], key=str
+    )
+    assert {tuple(r) for r in html_to_markdown(pages, tag=None, nested=True).collect()} == {(1, "- a\n  - b"), (4, "c\n\nd"), (4, "e")}
+    assert [tuple(r) for r in html_to_markdown(pages, "div", "class", "x", nested=True).collect()] == [(4, "c\n\nd")]
+    assert html_to_markdown(pages.limit(0), tag=None, nested=True).collect() == []
