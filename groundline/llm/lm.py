@@ -1,17 +1,21 @@
 """Language-model scores: a weighted backoff automaton over words, counted and applied by exchange of packed counts.
 
-The model is a bigram model smoothed towards discounted unigrams (MacKay and Peto's hierarchical Dirichlet form):
-
-    P(w | u) = (c(u, w) + K P(w)) / (c(u) + K),    P(w) = (c(w) - D) / N,    P(unknown word) = D V / N
-
-As an automaton: a state per word (the word just read) and a root. A state has an arc for each pair seen in training and a
-failure arc to the root with weight K / (c(u) + K); the root has an arc per known word and one for unknown words, after
-which it stays at the root. A text is read once from left to right, the state being the last word.
-
-The counts are as many as the corpus has pairs, so no task ever holds all of them. Texts are taken in blocks. A block's
-distinct words and pairs go, as 64-bit hashes in order with their counts in the block, to the part that sums them; a part
-answers each block with the counts that differ from the block's own; the block's texts then run through just the states
-and arcs that they can reach. A frequent word or pair is one entry per block, however often it occurs.
+The model is an n-gram model smoothed towards its lower orders, at last to discounted unigrams (MacKay and Peto's
+hierarchical Dirichlet form); h' is the context h without its first word:
+
+    P(w | h) = (c(h w) + K P(w | h')) / (c(h) + K),    P(w) = (c(w) - D) / N,    P(unknown word) = D V / N
+
+As an automaton: a root, a state for the begin of a text, and a state for each context of up to `order - 1` words seen in
+training. A state has an arc for each word seen after it, with its log-probability, to the longest state that ends the words
+read, and a failure arc to the state of h' with weight K / (c(h) + K). The root has an arc for every word; an unknown one
+leads back to the root. A text is read once from left to right: the state is carried, failure arcs are taken until the
+state has an arc for the word, and the weights of all arcs add up.
+
+The counts are as many as the corpus has n-grams, so no task ever holds all of them. Texts are taken in blocks. A block's
+distinct n-grams go, as 64-bit hashes in order with their counts in the block, to the part that sums them; a part answers
+each block with the counts that differ from the block's own. The states and arcs that a slice of the block's tokens can reach
+are then built, and its texts run through them; the state is carried from slice to slice, so that a long text needs no larger
+automaton. A frequent n-gram is one entry per block, however often it occurs.
 """
 
 from collections.abc import Iterator
@@ -31,7 +35,10 @@ CONCENTRATION = 4.0  # K
 DISCOUNT = 0.5  # D
 BLOCK_BYTES = 24 << 20
 PART_BYTES = 8 << 20  # of text per part of the counts
-WORDS, PAIRS, TEXTS, TYPES = 0, 1, 2, 3  # kinds of rows in the exchange
+ORDER = 2
+SLICE = 1 << 14  # tokens whose states and arcs are held at a time
+# Kinds of rows in the exchange: n-grams of n words have kind n - 1, so words have 0.
+WORDS, TEXTS, TYPES = 0, 100, 101
 END, START = np.uint64(1), np.uint64(2)  # stand for the end of a text, and for the state before its first word
 HALF = np.uint64(0x9E3779B97F4A7C15)
 
@@ -50,16 +57,23 @@ def hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else np.empty(0, dtype=np.uint64)), counts
 
 
-def pairs(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each token the hash of (state, token), and the place of each text's first token."""
-    before = np.empty_like(words)
-    before[1:] = words[:-1]
+def grams(words: np.ndarray, counts: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For n = 1 .. order, the hash of the n-gram that ends at each token, and whether there is one.
+
+    The begin of a text counts as a word before its first, so its second token ends a trigram, its first none.
+    """
     first = np.cumsum(counts) - counts
-    before[first] = START
-    h = (before * HALF) ^ ((words << np.uint64(31)) | (words >> np.uint64(33)))
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31)), first
+    place = np.arange(len(words)) - np.repeat(first, counts)
+    out = [(words, np.ones(len(words), dtype=bool))]
+    for n in range(2, order + 1):
+        before = np.empty_like(words)
+        before[1:] = out[-1][0][:-1]
+        before[first] = START
+        h = (before * HALF) ^ ((words << np.uint64(31)) | (words >> np.uint64(33)))
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out.append((h ^ (h >> np.uint64(31)), place >= n - 2))
+    return out
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
@@ -102,14 +116,14 @@ def _trains(flags: list, counts: np.ndarray) -> np.ndarray:
     return np.repeat(~np.array(flags, dtype=bool), counts)
 
 
-def _send(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """A block's distinct words and pairs with its counts, for the parts that sum them."""
+def _send(batches: Iterator[pa.RecordBatch], parts: int, order: int) -> Iterator[pa.RecordBatch]:
+    """A block's distinct n-grams with its counts, for the parts that sum them."""
     for ids, flags, texts in _blocks(batches):
         name = _block_id(ids, texts)
         words, counts = hashes(texts)
         trains = _trains(flags, counts)
-        for kind, keys in ((WORDS, words), (PAIRS, pairs(words, counts)[0])):
-            distinct, _, own = _own_counts(keys, trains)
+        for kind, (keys, valid) in enumerate(grams(words, counts, order)):
+            distinct, _, own = _own_counts(keys[valid], trains[valid])
             at = blobs.cuts(distinct, parts)
             yield _rows([(name, kind, p, blobs.pack(distinct[a:b], blobs.small(own[a:b]))) for p, (a, b) in enumerate(zip(at, at[1:]))])
 
@@ -154,7 +168,99 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from answers()
 
 
-def _score(batches: Iterator[pa.RecordBatch], parts: int, n: int, starts: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+class Automaton:
+    """The states and arcs that the tokens a .. b of a block can reach.
+
+    `keys[n - 1]` and `seen[n - 1]` are the hash and training count of the n-gram that ends at each token, `logs[n - 1]` the
+    log-probability of the token by it. State 0 is the root, 1 the begin of a text (without contexts, texts begin at the root).
+    """
+
+    def __init__(self, keys, seen, logs, first: np.ndarray, starts: int, a: int, b: int):
+        order, low = len(keys), max(a - 1, 0)  # the state carried into the slice ends at the token before
+        inner = keys[0][low:b] != END
+        self.fail, self.length = [0, 0], [0, 0]
+        back, states, n_states = [np.zeros(1), self.weight(np.array([starts]))], [], 2
+        for n in range(1, order):
+            held = (seen[n - 1][low:b] > 0) & inner
+            _, at, place = np.unique(keys[n - 1][low:b][held], return_index=True, return_inverse=True)
+            state = np.zeros(b - low, dtype=np.int64)
+            state[held] = n_states + place
+            where = np.flatnonzero(held)[at]
+            back.append(self.weight(seen[n - 1][low + where]))
+            self.fail += states[-1][where].tolist() if states else [0] * len(where)
+            self.length += [n] * len(where)
+            states.append(state)
+            n_states += len(where)
+        self.back = np.concatenate(back).tolist()
+
+        distinct, self.words = np.unique(keys[0][a:b], return_inverse=True)
+        self.width = len(distinct)
+        nowhere = np.zeros(b - low, dtype=np.int64)
+        arcs = [(self.words, logs[0][a:b], (states[0] if states else nowhere)[a - low :])]
+        for n in range(2, order + 1):
+            at = np.flatnonzero(seen[n - 1][a:b])
+            source = np.where(first[a:b][at], 1, states[n - 2][at + a - low - 1])
+            arcs.append((source * self.width + self.words[at], logs[n - 1][a:b][at], states[min(n, order - 1) - 1][at + a - low]))
+        labels, weights, targets = (np.concatenate(column) for column in zip(*arcs))
+        labels, at = np.unique(labels, return_index=True)
+        self.arcs = dict(zip(labels.tolist(), zip(weights[at].tolist(), targets[at].tolist())))
+        self.ends = [0] + [int(state[0]) if a else 0 for state in states]
+
+    @staticmethod
+    def weight(counts: np.ndarray) -> np.ndarray:
+        """Of the failure arcs of states that were seen so often."""
+        return np.log10(CONCENTRATION / (counts + CONCENTRATION))
+
+    def entered(self, length: int) -> int:
+        """The state that a state of so many words, carried into the slice, has here."""
+        return self.ends[length]
+
+    def read(self, state: int, a: int, b: int) -> tuple[int, float]:
+        """From a state through the words a .. b of the slice: the state after them and the sum of the weights."""
+        arcs, width, fail, back, total = self.arcs, self.width, self.fail, self.back, 0.0
+        for word in self.words[a:b].tolist():
+            arc = arcs.get(state * width + word)
+            while arc is None:
+                total += back[state]
+                state = fail[state]
+                arc = arcs.get(state * width + word)
+            total += arc[0]
+            state = arc[1]
+        return state, total
+
+
+def run_texts(keys, seen, counts: np.ndarray, n: int, starts: int) -> np.ndarray:
+    """Sums of log10 over each text, without the share of unknown words: one traversal in slices, the state carried."""
+    ends = np.cumsum(counts)
+    begins = ends - counts
+    first = np.zeros(len(keys[0]), dtype=bool)
+    first[begins] = True
+    # an unknown word's share is added at the end
+    p = np.where(seen[0] > 0, (seen[0] - DISCOUNT) / max(n, 1), 1.0)
+    logs = [np.log10(p)]
+    for below, own in zip(seen, seen[1:]):
+        context = np.empty_like(below)
+        context[1:] = below[:-1]
+        context[first] = starts
+        p = np.where(own > 0, (own + CONCENTRATION * p) / (context + CONCENTRATION), p)
+        logs.append(np.log10(p))
+
+    sums, length = np.zeros(len(counts)), 0
+    for a in range(0, len(first), SLICE):
+        b = min(a + SLICE, len(first))
+        automaton = Automaton(keys, seen, logs, first, starts, a, b)
+        text = int(np.searchsorted(ends, a, side="right"))
+        while text < len(counts) and begins[text] < b:
+            begin, end = max(int(begins[text]), a), min(int(ends[text]), b)
+            state = min(1, len(keys) - 1) if begin == begins[text] else automaton.entered(length)
+            state, total = automaton.read(state, begin - a, end - a)
+            sums[text] += total
+            length = automaton.length[state]
+            text += 1
+    return sums
+
+
+def _score(batches: Iterator[pa.RecordBatch], parts: int, order: int, n: int, starts: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     """Texts of one block at a time through the states and arcs that its answers complete."""
     names = [f.split()[0] for f in SCORED.split(", ")]
     kinds = (id_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
@@ -163,32 +269,28 @@ def _score(batches: Iterator[pa.RecordBatch], parts: int, n: int, starts: int, i
         return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds)], names=names)
 
     def scores(copies: list[bytes], lists: dict[tuple[int, int], bytes]):
-        if len(lists) != 2 * parts:
+        if len(lists) != order * parts:
             raise RuntimeError("a block of texts was read in two ways: the input changed during the job")
         for packed in copies:
             table = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(packed)).read_all()
             flags, texts = table.column("held_out").to_pylist(), table.column("text").to_pylist()
             words, counts = hashes(texts)
+            del texts
             trains = _trains(flags, counts)
-            found = []
-            for kind, keys in ((WORDS, words), (PAIRS, pairs(words, counts)[0])):
-                distinct, places, own = _own_counts(keys, trains)
+            keys, seen = [], []
+            for kind, (hashed, valid) in enumerate(grams(words, counts, order)):
+                distinct, places, own = _own_counts(hashed[valid], trains[valid])
                 at = blobs.cuts(distinct, parts)
                 for p in range(parts):
                     where, sums = blobs.unpack(lists[kind, p])
                     own[at[p] + where.astype(np.int64)] = sums
-                found.append(own[places])
-            (c_word, c_pair), first = found, np.cumsum(counts) - counts
-            c_state = np.empty_like(c_word)
-            c_state[1:] = c_word[:-1]
-            c_state[first] = starts
-            known = c_word > 0
-            p_root = np.where(known, (c_word - DISCOUNT) / max(n, 1), 1.0)  # an unknown word's share is added at the end
-            logs = np.log10((c_pair + CONCENTRATION * p_root) / (c_state + CONCENTRATION))
-            sums = lambda values: np.add.reduceat(values, first)
+                everywhere = np.zeros(len(words), dtype=np.int64)
+                everywhere[valid] = own[places]
+                keys.append(hashed), seen.append(everywhere)
+            first = np.cumsum(counts) - counts
             yield result(
-                table.column("doc_id").to_pylist(), flags, counts, sums(known.astype(np.int64)),
-                sums(np.log10(c_word + 0.5)), sums(logs), [None] * len(flags),
+                table.column("doc_id").to_pylist(), flags, counts, np.add.reduceat((seen[0] > 0).astype(np.int64), first),
+                np.add.reduceat(np.log10(seen[0] + 0.5), first), run_texts(keys, seen, counts, n, starts), [None] * len(flags),
             )
 
     block, copies, lists = None, [], {}
@@ -210,12 +312,12 @@ def _score(batches: Iterator[pa.RecordBatch], parts: int, n: int, starts: int, i
 
 
 def score(
-    docs: DataFrame, held_out=None, id_column: str = "doc_id", text_column: str = "text", part_bytes: int = PART_BYTES
+    docs: DataFrame, held_out=None, id_column: str = "doc_id", text_column: str = "text", order: int = ORDER, part_bytes: int = PART_BYTES
 ) -> DataFrame:
     """`(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)` for every row of `docs`.
 
     The model learns from rows for which `held_out` (a boolean column; none by default) is false, and scores all rows,
-    whole. `base_score` is the add-one-half unigram score. Both are sums of log10 over words and the end of the text.
+    whole, by n-grams of up to `order` words. `base_score` is the add-one-half unigram score. Both are sums of log10 over words and the end of the text.
 
     A missing text counts as an empty one: its only token is the end. Repeated rows are rows, in training too. With no
     row to learn from every token is unknown with probability 1, so scores are 0. No rows give no rows.
@@ -229,10 +331,10 @@ def score(
     n, parts = n or 0, max(1, min(1 << 16, -(-(size or 0) // part_bytes)))
 
     def send(batches):
-        return _send(batches, parts)
+        return _send(batches, parts, order)
 
     def apply(batches):
-        return _score(batches, parts, n, starts, id_type)
+        return _score(batches, parts, order, n, starts, id_type)
 
     id_type = pa.schema(rows.select("doc_id").limit(0).toArrow().schema).field(0).type
     sent = rows.mapInArrow(send, ROW).repartition(parts, "kind", "part").sortWithinPartitions("kind", "part")
