@@ -33,7 +33,7 @@ from groundline.llm.common import stored, whole, word_count
 
 CONCENTRATION = 4.0  # K
 DISCOUNT = 0.5  # D
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 12 << 20
 PART_BYTES = 8 << 20  # of text per part of the counts
 ORDER = 2
 SLICE = 1 << 14  # tokens whose states and arcs are held at a time
