@@ -16,11 +16,12 @@ SHARE = 1.5  # of all words
 TIMES = 2  # at most so often a source's words
 BLOCK = 64  # words
 FEWEST = 64  # blocks of a small source at least, or as many as it has words
+SHARDS = 8
 SEED = "mix-1"
 STRIDE = 1 << 20  # largest step between chosen blocks: products stay within 63 bits up to 8e12 blocks a source
 
 PLAN = (
-    "source string, source_size long, target double, blocks long, quota long, shard_quotas array<long>, "
+    "source string, source_size long, target double, blocks long, quota long, shard_quotas array<long>, shard_ends array<long>, "
     "passes long, rest long, step long, offset long, width long, wider long"
 )
 
@@ -74,7 +75,7 @@ def step_and_offset(source, blocks: int, seed: str) -> tuple[int, int]:
 
 
 def plan_sources(
-    totals: DataFrame, shards: int = 8, block: int = BLOCK, share: float = SHARE, times: int = TIMES, seed: str = SEED
+    totals: DataFrame, shards: int = SHARDS, block: int = BLOCK, share: float = SHARE, times: int = TIMES, seed: str = SEED
 ) -> DataFrame:
     """`totals(source, source_size)` with targets, quotas (whole and per shard) and the seeded choice of blocks.
 
@@ -104,6 +105,7 @@ def plan_sources(
                 "blocks": blocks,
                 "quota": quota,
                 "shard_quotas": [list(map(int, parts[:, i])) for i in range(len(names))],
+                "shard_ends": [[int(u[i]) for u in upto] for i in range(len(names))],  # blocks of a shard and those before it
                 "passes": quota // some,
                 "rest": quota % some,
                 "step": [c[0] for c in chosen],
@@ -120,7 +122,9 @@ def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, F.greatest(b, F.lit(1)))
 
 
-def mix(docs: DataFrame, rows_per_run: int = 5000, block: int = BLOCK, seed: str = SEED, **options) -> DataFrame:
+def mix(
+    docs: DataFrame, rows_per_run: int = 5000, block: int = BLOCK, seed: str = SEED, dealt: bool = False, **options
+) -> DataFrame:
     """Rows of `docs(doc_id, source, size, ..)` with `source_size, target, quota, passes, taken, runs`.
 
     The words of a source are laid out document after document in the order of a seeded hash and cut into equal
@@ -128,6 +132,10 @@ def mix(docs: DataFrame, rows_per_run: int = 5000, block: int = BLOCK, seed: str
     quota are blocks chosen by a seeded permutation. `runs` are the word ranges (from, to) of a document inside chosen
     blocks, `taken` counts the words of passes and runs together. `docs` is read three times: store it if it is dear.
 
+    `dealt` adds `pieces`: the word ranges (from, to) of all blocks taken, those of passes too, each with its pass and shard.
+    A source's blocks go to the shards in the order of pass and permutation, to each as many as its quota there, so that
+    every shard holds the sources by the same weights.
+
     Positions are sums per (source, run of the hash) and sums inside a run, so no task holds a source. Missing sources
     are one source, last; missing sizes count 0; repeated rows are rows of their own, next to each other in the order.
     """
@@ -183,15 +191,43 @@ def mix(docs: DataFrame, rows_per_run: int = 5000, block: int = BLOCK, seed: str
     zero = F.lit(0).cast("long")
     taken = F.col("passes") * F.col("size") + F.aggregate("runs", zero, lambda sum_, r: sum_ + r["to"] - r["from"])
     empty = F.array().cast("array<struct<from:bigint,to:bigint>>")
+
+    def pieces_of(k: Column) -> Column:
+        def turn(pass_: Column) -> Column:
+            return pass_ * F.col("p.blocks") + F.pmod(k * F.col("step") + F.col("shift"), F.col("p.blocks"))
+
+        passes = F.filter(F.sequence(F.lit(0).cast("long"), F.col("passes")), lambda pass_: turn(pass_) < F.col("quota"))
+        return F.transform(
+            passes,
+            lambda pass_: F.struct(
+                F.greatest(begin(k) - F.col("start"), F.lit(0)).alias("from"),
+                F.least(begin(k + 1) - F.col("start"), F.col("size")).alias("to"),
+                pass_.alias("pass"),
+                F.size(F.filter("shard_ends", lambda end: end <= turn(pass_))).alias("shard"),
+            ),
+        )
+
+    none = F.array().cast("array<struct<from:bigint,to:bigint,pass:bigint,shard:int>>")
+    pieces = F.flatten(F.transform(F.when(F.col("size") > 0, F.sequence(first, last)), pieces_of))
     return (
         joined.select(
             "doc_id", "r.source", "size", "others", "source_size", "target", "quota", "passes",
-            F.coalesce(runs, empty).alias("runs"),
+            F.coalesce(runs, empty).alias("runs"), *([F.coalesce(pieces, none).alias("pieces")] if dealt else []),
         )
         .withColumn("taken", taken)
     )
 
 
+def shard_words(pieces: Column, shards: int = SHARDS) -> Column:
+    """Words that each shard takes of a document."""
+
+    def words(shard: Column) -> Column:
+        own = F.filter(pieces, lambda p: p["shard"] == shard)
+        return F.aggregate(own, F.lit(0).cast("long"), lambda sum_, p: sum_ + p["to"] - p["from"])
+
+    return F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), words)
+
+
 def cut_runs(text: Column, runs: Column) -> Column:
     """The parts of a text that hold the words of each run, from the first word's start to the last word's end."""
     words_, gaps = F.regexp_extract_all(whole(text), F.lit(WORD), F.lit(0)), F.split(whole(text), WORD, -1)

@@ -58,7 +58,9 @@ def op7_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = documents(spark, sf_dir).select("doc_id", "source", word_count("text").alias("size"))
-    return mixing.mix(stored(sizes, "mix-sizes")).select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mixing.mix(stored(sizes, "mix-sizes"), dealt=True)
+    by_shard = mixing.shard_words(F.col("pieces")).alias("shard_words")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", by_shard)
 
 
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

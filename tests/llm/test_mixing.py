@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from groundline.llm.common import GAP_CHARACTERS, word_count
-from groundline.llm.mixing import apportion, cut_runs, mix, targets
+from groundline.llm.mixing import apportion, cut_runs, mix, plan_sources, shard_words, targets
 from tests.llm.data import frame, odd_texts, syllables
 
 
@@ -66,8 +66,6 @@ def test_mix(spark, texts):
 
 
 def test_shard_quotas_add_up(spark):
-    from groundline.llm.mixing import plan_sources
-
     totals = spark.createDataFrame([("b", 5000), ("a", 90), (None, 700)], "source string, source_size long")
     rows = plan_sources(totals, shards=4).collect()
     assert [r.source for r in rows] == ["a", "b", None]
@@ -76,6 +74,29 @@ def test_shard_quotas_add_up(spark):
     assert max(per_shard) - min(per_shard) <= 1
 
 
+@pytest.mark.parametrize("block,shards", [(8, 4), (1, 3), (64, 8)])
+def test_shards_hold_their_quotas(spark, block, shards):
+    rng = random.Random(block)
+    rows = [(i, rng.choice(["a", "a", "a", "b", None]), rng.choice([None, 0, 1, 7, 40, 300])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    mixed = mix(docs, rows_per_run=20, block=block, shards=shards, dealt=True)
+    found = mixed.withColumn("by_shard", shard_words(F.col("pieces"), shards)).collect()
+    totals = docs.groupBy("source").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("source_size"))
+    plan = {r.source: r for r in plan_sources(totals, block=block, shards=shards).collect()}
+    words = {}
+    for r in found:
+        covered = [p for p in r.pieces if p["pass"] < r.passes]
+        assert sorted(p["from"] for p in covered) == sorted(p["from"] for p in covered if p["to"] > p["from"])
+        assert sum(p["to"] - p["from"] for p in covered) == r.passes * r.size
+        assert [(p["from"], p["to"]) for p in r.pieces if p["pass"] == r.passes] == [(x["from"], x["to"]) for x in r.runs]
+        assert sum(r.by_shard) == r.taken
+        for shard, n in enumerate(r.by_shard):
+            words[r.source, shard] = words.get((r.source, shard), 0) + n
+    for source, p in plan.items():
+        for shard, quota in enumerate(p.shard_quotas):  # its blocks, each of `width` words or one more
+            assert quota * p.width <= words.get((source, shard), 0) <= quota * (p.width + (p.wider > 0))
+
+
 @pytest.mark.parametrize("words", [[10, 4000], [31, 9000, 96], [1, 2, 50_000], [63, 64, 65, 700, 3000]])
 def test_small_sources_come_near_their_targets(spark, words):
     rows = [(i, f"s{i:02d}", n) for i, n in enumerate(words)]
