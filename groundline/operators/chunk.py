@@ -68,11 +68,18 @@ def chunk_json(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("json", F.to_json(F.struct("content", "headers")))
 
 
-def chunk_by_tokens(docs: DataFrame, size: int, text_col: str = "text") -> DataFrame:
-    """Runs of `size` whitespace-separated tokens, joined by single spaces."""
+def chunk_by_tokens(docs: DataFrame, size: int, text_col: str = "text", overlap: int = 0) -> DataFrame:
+    """Runs of `size` whitespace-separated tokens, joined by single spaces.
+
+    With `overlap`, a run begins with the last so many tokens of the one before. The last run is the first that reaches the
+    end, so none lies wholly inside another.
+    """
+    if not 0 <= overlap < size:
+        raise ValueError("the overlap must be shorter than a run")
 
     def pieces(words: Column) -> Column:
-        starts = F.when(F.size(words) > 0, F.sequence(F.lit(1), F.size(words), F.lit(size)))
+        last = F.greatest(F.size(words) - overlap, F.lit(1))
+        starts = F.when(F.size(words) > 0, F.sequence(F.lit(1), last, F.lit(size - overlap)))
         return F.transform(starts, lambda start: F.array_join(F.slice(words, start, F.lit(size)), " "))
 
     words = F.filter(F.split(F.col(text_col), rf"(?U){SPACE_CLASS}+", -1), lambda w: w != "")

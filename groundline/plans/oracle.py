@@ -9,7 +9,7 @@ from groundline.functions.text import WHITESPACE
 from groundline.operators.answer import NO_ANSWER
 from groundline.operators.codes import PARTS, SHORTLIST
 from groundline.operators.prompt import CONTEXT_SEPARATOR, HISTORY_ANSWER, HISTORY_INTRO, SAMPLE_QUESTIONS, TEMPLATE
-from groundline.plans.queries import CENTRE_PROBES, CHUNK_TOKENS, DIMENSIONS
+from groundline.plans.queries import CENTRE_PROBES, CHUNK_OVERLAP, CHUNK_TOKENS, DIMENSIONS
 from groundline.plans.tables import EXTRA
 
 # The whitespace set as an RE2 class body.
@@ -350,6 +350,18 @@ ORACLES = {
         f"""SELECT doc_id, (z[2] // {CHUNK_TOKENS})::INT AS chunk_no, string_agg(z[1], ' ' ORDER BY z[2]) AS content
             FROM word_rows GROUP BY doc_id, z[2] // {CHUNK_TOKENS}""",
     ),
+    "chunk_overlap": _with(
+        [
+            f"words AS (SELECT doc_id, {TOKENS_LIST} AS ws FROM documents)",
+            "word_rows AS (SELECT doc_id, len(ws) AS n, unnest(list_zip(ws, range(len(ws)))) AS z FROM words)",
+            # the runs that hold a word, of those that bring words of their own
+            f"""placed AS (SELECT doc_id, z, unnest(range(greatest(0, (z[2] - {CHUNK_OVERLAP}) // {CHUNK_TOKENS - CHUNK_OVERLAP}),
+                  least(z[2] // {CHUNK_TOKENS - CHUNK_OVERLAP}, greatest(0, n - {CHUNK_OVERLAP} - 1) // {CHUNK_TOKENS - CHUNK_OVERLAP}) + 1)) AS run
+                FROM word_rows)""",
+        ],
+        f"""SELECT doc_id, run::INT AS chunk_no, string_agg(z[1], ' ' ORDER BY z[2]) AS content FROM placed
+            WHERE z[2] < run * {CHUNK_TOKENS - CHUNK_OVERLAP} + {CHUNK_TOKENS} GROUP BY doc_id, run""",
+    ),
     "chunk_paragraph": _with(
         [
             MARKED,

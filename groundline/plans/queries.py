@@ -21,7 +21,7 @@ from groundline.streaming.sync import sync_stream
 DIMENSIONS = 64
 CELLS, PROBES = 16, 4
 CENTRE_PROBES = 2
-CHUNK_TOKENS = 64
+CHUNK_TOKENS, CHUNK_OVERLAP = 64, 16
 AD, NESTED = '<div class="ad">', "<div><div>a</div>b</div>"
 STRUCTURE = (
     "<ol start=3><li>one<ul><li>two<p>more</p></li><li>three</ul><li>four</ol><blockquote>said<pre>a\n  b</pre></blockquote>"
@@ -67,6 +67,11 @@ def chunk_tokens(spark, sf_dir):
     return chunk.chunk_by_tokens(documents, CHUNK_TOKENS)
 
 
+def chunk_overlap(spark, sf_dir):
+    documents = t.spread(t.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return chunk.chunk_by_tokens(documents, CHUNK_TOKENS, overlap=CHUNK_OVERLAP)
+
+
 def chunk_paragraph(spark, sf_dir):
     marked = t.marked_documents(spark, sf_dir)
     # before pages are joined and blank lines deleted, page breaks are where paragraphs end
@@ -434,6 +439,7 @@ QUERIES = {
     "chunk_segments": chunk_segments,
     "chunk_json": chunk_json,
     "chunk_tokens": chunk_tokens,
+    "chunk_overlap": chunk_overlap,
     "chunk_paragraph": chunk_paragraph,
     "chunk_table": chunk_table_rows,
     "chunk_table_ordered": chunk_table_ordered,

@@ -95,6 +95,26 @@ def test_tokens_and_paragraphs(spark):
     assert [tuple(r) for r in chunk_by_paragraph(df).collect()] == [(1, 0, "a b\tc　d e"), (1, 1, "f")]
 
 
+@pytest.mark.parametrize("size,overlap", [(1, 0), (4, 1), (4, 3), (5, 2), (7, 0)])
+def test_overlapping_runs(spark, size, overlap):
+    rows = [(n, " ".join(map(str, range(n)))) for n in range(20)] + [(99, None)]
+    got = chunk_by_tokens(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), size, overlap=overlap).collect()
+    expected = set()
+    for n in range(20):
+        start = no = 0
+        while start < n:
+            expected.add((n, no, " ".join(map(str, range(start, min(n, start + size))))))
+            if start + size >= n:
+                break
+            start, no = start + size - overlap, no + 1
+    assert {tuple(r) for r in got} == expected and len(got) == len(expected)
+
+
+def test_an_overlap_is_shorter_than_a_run(spark):
+    with pytest.raises(ValueError):
+        chunk_by_tokens(spark.createDataFrame([(1, "a")], "doc_id BIGINT, text STRING"), 4, overlap=4)
+
+
 def test_chunk_ids(spark):
     df = spark.createDataFrame([(3, 0), (3, 999_999), (4, 0)], "d BIGINT, n INT")
     assert [r[0] for r in df.select(chunk_id(F.col("d"), F.col("n"))).collect()] == [3_000_000, 3_999_999, 4_000_000]
