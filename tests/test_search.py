@@ -183,3 +183,24 @@ def test_hits_share_a_token_with_the_question(spark, sf_dir):
     hits = search_text(asked, tables.chunk_index(spark, sf_dir, tables.document_chunks)).join(asked, "qid")
     assert hits.count() > 0
     assert hits.filter(~F.arrays_overlap(tokens(F.col("query")), tokens(F.col("content")))).count() == 0
+
+
+@pytest.mark.parametrize("scale", [1, 5000])
+def test_products_by_matrix_and_entry_by_entry(monkeypatch, scale):
+    """Common buckets go through matrices, others are joined; memory is bounded by tiles, and products are exact at any size."""
+    rng = np.random.default_rng(scale)
+
+    def some(n):
+        wide = rng.integers(1, 9, (n, 400)) * (rng.random((n, 400)) < 1 / np.arange(1, 401)) * scale
+        row, bucket = np.nonzero(wide)
+        return wide, near.Sparse(n, row, bucket * 7, wide[row, bucket].astype(float))
+
+    rows, queries = some(300), some(70)
+    expected = rows[0] @ queries[0].T
+    for columns, products in ((2048, 1 << 20), (0, 100), (3, 1)):
+        monkeypatch.setattr(near, "DENSE_COLUMNS", columns)
+        monkeypatch.setattr(near, "PRODUCTS", products)
+        ready = near.Shared(rows[1], queries[1])
+        assert ready.matrix.shape[1] <= columns and ready.kind is (np.float32 if scale == 1 else np.float64)
+        for part in (slice(0, 70), slice(9, 31), np.array([3, 50, 4])):
+            assert (ready.dots(queries[1][part]) == expected[:, part]).all()
