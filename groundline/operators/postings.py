@@ -35,6 +35,12 @@ BLOCKS = (
 PARTS = 64
 SEGMENT_ROWS = 1 << 14
 GROUP_TERMS = 1 << 20  # terms of questions that meet a segment at once
+BUILD_ENTRIES = 1 << 21  # entries of a segment that are sorted at once
+_LISTS = {"ids": pa.int64(), "weights": pa.int32(), "squares": pa.int64()}
+BLOCK_SCHEMA = pa.schema(
+    [("part", pa.int32()), ("bucket", pa.int32()), ("segment", pa.int32()), ("max_impact", pa.float64()), ("top_id", pa.int64())]
+    + [(name, pa.list_(kind)) for name, kind in _LISTS.items()]
+)
 
 
 @dataclass(frozen=True)
@@ -52,31 +58,62 @@ def open_postings(spark: SparkSession, path: str) -> Postings:
     return Postings(spark, path, spark.read.parquet(f"{path}/layout").first().parts)
 
 
+def _lists(ids: np.ndarray, bucket: np.ndarray, weight: np.ndarray, square: np.ndarray) -> dict:
+    """The lists of some buckets from their entries, each list in id order."""
+    order = np.lexsort((square, weight, ids, bucket))
+    bucket, ids, weight, square = bucket[order], ids[order], weight[order], square[order]
+    starts = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] - 1))
+    sizes = np.diff(starts, append=len(bucket))
+    impact = weight / np.sqrt(square)
+    largest = np.maximum.reduceat(impact, starts)
+    holds = impact == np.repeat(largest, sizes)
+    ends = pa.array(np.append(starts, len(bucket)), pa.int32())
+    values = {"ids": ids, "weights": weight, "squares": square}
+    return {
+        "bucket": bucket[starts],
+        "max_impact": largest,
+        "top_id": np.minimum.reduceat(np.where(holds, ids, np.iinfo(np.int64).max), starts),
+        **{name: pa.ListArray.from_arrays(ends, pa.array(column)) for name, column in values.items()},
+    }
+
+
+def _segment_blocks(parts: int):
+    """Group function: the blocks of a segment from its `(segment, id, vec)`, by so many entries at a time."""
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        buckets, weights = rows["vec"].combine_chunks().flatten()
+        sizes = pc.list_value_length(buckets).to_numpy(zero_copy_only=False)
+        bucket = pc.list_flatten(buckets).to_numpy(zero_copy_only=False).astype(np.int32)
+        weight = pc.list_flatten(weights).to_numpy(zero_copy_only=False).astype(np.int32)
+        row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        square = np.bincount(row, weights=weight.astype(np.float64) ** 2, minlength=len(sizes)).astype(np.int64)
+        ids = rows["id"].to_numpy()
+        pieces = math.ceil(len(bucket) / BUILD_ENTRIES)
+        tables = [pa.table([pa.array([], field.type) for field in BLOCK_SCHEMA], schema=BLOCK_SCHEMA)]
+        for piece in range(pieces):
+            at = np.flatnonzero(bucket % pieces == piece)
+            if len(at):
+                made = _lists(ids[row[at]], bucket[at], weight[at], square[row[at]])
+                n = len(made["bucket"])
+                made |= {"part": made["bucket"] % parts, "segment": np.full(n, key[0].as_py())}
+                tables.append(pa.table({f.name: pa.array(made[f.name]).cast(f.type) for f in BLOCK_SCHEMA}, schema=BLOCK_SCHEMA))
+        return pa.concat_tables(tables)
+
+    return run
+
+
 def build_postings(rows: DataFrame, path: str, parts: int = PARTS, segment_rows: int = SEGMENT_ROWS) -> Postings:
     """Write the lists of `rows(id, vec)`, term vectors of unique ids. Rows without a vector or without terms are in none.
 
-    A group of the one shuffle is a bucket in one segment, so a bucket of very many rows is no skew.
+    Rows are shuffled whole, by segment, and a task turns the rows of one segment at a time into its blocks: entries are
+    neither shuffled nor aggregated one by one, and a bucket of very many rows is no skew.
     """
     spark = rows.sparkSession
     rows = rows.filter("vec IS NOT NULL").select("id", "vec")
     segments = max(1, math.ceil(rows.count() / segment_rows))
-    terms = F.explode(F.arrays_zip("vec.buckets", "vec.weights")).alias("term")
-    entries = rows.select("id", squared_norm(F.col("vec")).alias("square"), terms).select(
-        F.col("term.buckets").alias("bucket"),
-        F.pmod(F.xxhash64("id"), F.lit(segments)).cast("int").alias("segment"),
-        F.struct("id", F.col("term.weights").alias("weight"), "square").alias("entry"),
-    )
-    impact = F.col("entry.weight") / F.sqrt(F.col("entry.square"))
-    blocks = entries.groupBy("bucket", "segment").agg(
-        F.max(impact).alias("max_impact"),
-        F.max_by("entry.id", F.struct(impact, -F.col("entry.id"))).alias("top_id"),
-        F.sort_array(F.collect_list("entry")).alias("entries"),  # at most the rows of a segment
-    )
-    names = {"ids": "id", "weights": "weight", "squares": "square"}
-    blocks = blocks.select(
-        F.pmod("bucket", F.lit(parts)).alias("part"), "bucket", "segment", "max_impact", "top_id",
-        *[F.col(f"entries.{field}").alias(name) for name, field in names.items()],
-    )
+    segment = F.pmod(F.xxhash64("id"), F.lit(segments)).cast("int").alias("segment")
+    schema = "part INT, bucket INT, segment INT, max_impact DOUBLE, top_id BIGINT, ids ARRAY<BIGINT>, weights ARRAY<INT>, squares ARRAY<BIGINT>"
+    blocks = rows.select(segment, "id", "vec").groupBy("segment").applyInArrow(_segment_blocks(parts), schema)
     blocks = blocks.hint("rebalance", "part").sortWithinPartitions("part", "bucket", "segment")
     blocks.write.mode("overwrite").partitionBy("part").parquet(f"{path}/blocks")
     spark.createDataFrame([(parts, segments)], "parts INT, segments INT").coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")

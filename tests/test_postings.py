@@ -1,12 +1,14 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
+from groundline.operators import postings
 from groundline.operators.embed import embed, embed_queries, hashing_embedder
 from groundline.operators.index import build_index
 from groundline.operators.nearest import nearest
-from groundline.operators.postings import build_postings, live_segments, nearest_by_terms, open_postings, search_text_postings
+from groundline.operators.postings import _segment_blocks, build_postings, live_segments, nearest_by_terms, open_postings, search_text_postings
 from groundline.operators.search import search_text
 from groundline.session import shared_dir
 from tests.test_plans import plan
@@ -85,3 +87,26 @@ def test_nothing_to_search(spark):
     rows, questions = frames(spark, ["", None], ["the"])
     built = build_postings(rows, shared_dir(spark, "test-postings"))
     assert nearest_by_terms(questions, built, 4).collect() == []
+
+
+def test_blocks_do_not_depend_on_how_many_entries_are_sorted_at_once(spark, monkeypatch):
+    """A segment is turned into its blocks in one task, in pieces of a bounded number of entries."""
+    rows = embed(spark.createDataFrame(list(enumerate(texts(8, 90))), "id BIGINT, content STRING"), "content", EMBEDDER)
+    table = rows.filter("vec IS NOT NULL").select("id", "vec").toArrow()
+    key = (pa.scalar(3, pa.int32()),)
+
+    def blocks():
+        return sorted(_segment_blocks(4)(key, table).to_pylist(), key=lambda b: b["bucket"])
+
+    whole = blocks()
+    monkeypatch.setattr(postings, "BUILD_ENTRIES", 50)
+    assert blocks() == whole
+    held = {r.id: dict(zip(r.vec.buckets, r.vec.weights)) for r in rows.collect() if r.vec is not None}
+    for block in whole:
+        ids = sorted(i for i, vec in held.items() if block["bucket"] in vec)
+        squares = [sum(w * w for w in held[i].values()) for i in ids]
+        weights = [held[i][block["bucket"]] for i in ids]
+        best = max((w / s**0.5, -i) for w, s, i in zip(weights, squares, ids))
+        assert (block["ids"], block["weights"], block["squares"]) == (ids, weights, squares)
+        assert (block["max_impact"], -block["top_id"], block["part"], block["segment"]) == (*best, block["bucket"] % 4, 3)
+    assert len(whole) == len({b for vec in held.values() for b in vec})
