@@ -3,7 +3,9 @@ import os
 
 import pytest
 
-from groundline.operators.embed import hashing_embedder
+from pyspark.sql import functions as F
+
+from groundline.operators.embed import Embedder, hashing_embedder
 from groundline.operators.index import (
     apply_changes, build_index, clean_index, compact_index, index_diff, index_exists, latest_version, open_index, sync_index,
 )
@@ -127,3 +129,14 @@ def test_latest_version(spark):
     rows = [("a", "9"), ("a", "10"), ("b", "0")]
     got = latest_version(spark.createDataFrame(rows, "name STRING, version STRING")).collect()
     assert {r.name: r.latest_version for r in got} == {"a": 10, "b": 1}
+
+
+def test_rows_are_embedded_where_they_are_written(spark, root):
+    """Vectors are neither shuffled nor sorted: a row's vector is made by the task that writes its file."""
+    by_task = Embedder("task", 1, lambda text: F.array(F.spark_partition_id()))
+    index = build_index(chunks(spark, OLD).repartition(8), root, by_task)
+    apply_changes(spark.createDataFrame([(1, "update", i, t) for i, t in NEW], CHANGE).repartition(8), root, by_task)
+    for version in (1, 2):
+        rows = spark.read.parquet(f"{root}/data/v={version}").select(F.input_file_name().alias("file"), F.col("vec")[0].alias("task")).distinct()
+        assert rows.count() == rows.select("file").distinct().count()
+    assert {"content_md5", "vec"} < set(index.rows().columns)
