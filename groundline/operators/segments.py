@@ -79,7 +79,8 @@ def chunk_segments(segments: DataFrame, headers=HEADERS, keep_heading_only: bool
     opened = F.coalesce(F.sum("opened").over(before), F.lit(0))
     carried = summary.select("doc_id", "segment_no", opened.alias("opened_before"), titles.alias("titles_before"))
 
-    same = F.col("c.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("c.segment_no") == F.col("s.segment_no"))
+    # null-safe, so that no filter is put below one side alone and both read the same shuffle
+    same = F.col("c.doc_id").eqNullSafe(F.col("s.doc_id")) & F.col("c.segment_no").eqNullSafe(F.col("s.segment_no"))
     pieces = cut.alias("s").join(carried.alias("c"), same).select(
         "s.doc_id", "s.segment_no", "titles_before", "opened_before", F.posexplode("sections").alias("i", "section")
     )
@@ -106,5 +107,5 @@ def chunk_segments(segments: DataFrame, headers=HEADERS, keep_heading_only: bool
     full = sections.select("doc_id", "section_no", content.alias("content"), path.alias("headers")).filter("content <> ''")
     order = Window.partitionBy("doc_id").orderBy("section_no")
     numbers = full.select("doc_id", "section_no").withColumn("chunk_no", F.row_number().over(order) - 1)
-    same = F.col("f.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("f.section_no") == F.col("n.section_no"))
+    same = F.col("f.doc_id").eqNullSafe(F.col("n.doc_id")) & F.col("f.section_no").eqNullSafe(F.col("n.section_no"))
     return full.alias("f").join(numbers.alias("n"), same).select("f.doc_id", "chunk_no", "content", "headers")

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -61,3 +62,12 @@ def test_a_document_of_very_many_lines(spark):
     found = chunk_segments(to_segments(lines, 777))
     sizes = found.agg(F.count("*"), F.max("chunk_no"), F.sum(F.size(F.split("content", "\n"))), F.max(F.length("content"))).first()
     assert tuple(sizes)[:3] == (n // 100, n // 100 - 1, n // 100 * 99) and sizes[3] == 99 * 21 - 1
+
+
+def test_segments_are_made_once(spark, tmp_path):
+    """Lines are cut, shuffled and joined to segments once, for the titles and for the texts alike."""
+    documents(spark, 2).write.parquet(f"{tmp_path}/docs")
+    found = chunk_segments(to_segments(lines_of(spark.read.parquet(f"{tmp_path}/docs")), 3))
+    found.collect()
+    text = plan(found).split("Initial Plan")[0]
+    assert len(set(re.findall(r"Scan parquet .*?\((\d+)\)", text))) == 1
