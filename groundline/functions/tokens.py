@@ -10,13 +10,16 @@ N_BUCKETS = 1 << 20
 
 def tokens(text: Column) -> Column:
     """Lower-case runs of letters and digits, in text order."""
-    parts = F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1)
-    return F.filter(parts, lambda token: token != "")
+    # `split` compiles its pattern anew for every text
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]++"), F.lit(0))
 
 
 def bucket(token: Column, n_buckets: int = N_BUCKETS) -> Column:
     """Feature hash of a token (Weinberger et al., ICML 2009, unsigned)."""
-    head = F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("long")
+    digits = 8
+    if n_buckets & (n_buckets - 1) == 0:  # of a power of two, only the last hex digits count
+        digits = min(8, max(1, (n_buckets.bit_length() + 2) // 4))
+    head = F.conv(F.substring(F.md5(token), 9 - digits, digits), 16, 10).cast("long")
     return (head % n_buckets).cast("int")
 
 

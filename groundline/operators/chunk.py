@@ -28,9 +28,9 @@ def heading_chunks(text: Column, headers=HEADERS, keep_heading_only: bool = True
     normal = F.concat(F.lit("\n"), F.array_join(non_empty_lines(text), "\n"))
 
     def section(part: Column, titles: list[Column]) -> Column:
-        body = F.when(F.instr(part, "\n") > 0, F.substring(part, F.instr(part, "\n") + 1, F.length(part)))
+        body = let(F.instr(part, "\n"), lambda end: F.when(end > 0, F.substring(part, end + 1, F.length(part))))
         own_title = F.coalesce(*reversed(titles)) if keep_heading_only else F.lit(None).cast("string")
-        content = F.coalesce(F.when(body != "", body), own_title, F.lit(""))
+        content = F.coalesce(let(body, lambda text: F.when(text != "", text)), own_title, F.lit(""))
         names = F.array(*[F.lit(name) for _, name in headers])
         path = F.map_from_arrays(names, F.array(*titles))
         return F.array(
@@ -41,12 +41,15 @@ def heading_chunks(text: Column, headers=HEADERS, keep_heading_only: bool = True
         if level == len(headers):
             return section(part, titles)
         marker = headers[level][0]
-        pieces = F.split(part, rf"\n(?=\Q{marker}\E(?: |\n|\z))", -1)
+        heading = rf"\n(?=\Q{marker}\E(?: |\n|\z))"
+        # the pattern is compiled for every part, so only for parts that can match
+        pieces = F.when(F.contains(part, F.lit(f"\n{marker}")), F.split(part, heading, -1)).otherwise(F.array(part))
 
         def under(piece: Column, i: Column) -> Column:
             first_line = F.substring_index(piece, "\n", 1)
             title = F.when(i > 0, strip(F.substring(first_line, len(marker) + 1, F.length(first_line))))
-            return split_level(piece, level + 1, [*titles, title])
+            # every section below takes the title from here
+            return let(title, lambda known: split_level(piece, level + 1, [*titles, known]))
 
         return F.flatten(F.transform(pieces, under))
 
