@@ -21,6 +21,7 @@ from groundline.streaming.sync import sync_stream
 DIMENSIONS = 64
 CELLS, PROBES = 16, 4
 CENTRE_PROBES = 2
+EMBED_WAVES = 3
 CHUNK_TOKENS, CHUNK_OVERLAP = 64, 16
 AD, NESTED = '<div class="ad">', "<div><div>a</div>b</div>"
 STRUCTURE = (
@@ -95,7 +96,7 @@ def chunk_table_ordered(spark, sf_dir):
 
 
 def embed_terms(spark, sf_dir):
-    chunks = t.index_rows(t.document_chunks(spark, sf_dir))
+    chunks = t.index_rows(t.document_chunks(spark, sf_dir, EMBED_WAVES))
     return embed.term_rows(embed.embed(chunks, "content", t.EMBEDDER), "id")
 
 
@@ -110,7 +111,7 @@ def _load_letter_counts():
 
 def embed_model(spark, sf_dir):
     """The plug for models over all chunks, with a stand-in whose vectors SQL can check."""
-    chunks = t.index_rows(t.document_chunks(spark, sf_dir))
+    chunks = t.index_rows(t.document_chunks(spark, sf_dir, EMBED_WAVES))
     embedded = embed.embed(chunks, "content", embed.model_embedder("letter-counts", 3, _load_letter_counts))
     return embedded.select("id", *[F.col("vec")[i].cast("double").alias(f"v{i + 1}") for i in range(3)])
 

@@ -28,23 +28,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(scan: DataFrame) -> DataFrame:
+def spread(scan: DataFrame, waves: int = 1) -> DataFrame:
     """Deal the rows of a small scan out over all cores before row-local work on texts.
 
     A file of one row group is read by one task whatever the split size. Scans with more splits than
-    there are cores, so everything of cluster size, are left as they are.
+    `waves` times the cores, so everything of cluster size, are left as they are. With one wave, a few splits more
+    than there are cores leave most cores idle in a second wave; more waves cost a shuffle of such scans.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(2 * cores) if scan.rdd.getNumPartitions() <= cores else scan
+    return scan.repartition(2 * cores) if scan.rdd.getNumPartitions() <= waves * cores else scan
 
 
-def marked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marked(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+def marked_documents(spark: SparkSession, sf_dir: str, waves: int = 1) -> DataFrame:
+    return marked(spread(table(spark, sf_dir, "documents").select("doc_id", "text"), waves))
 
 
-def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def document_chunks(spark: SparkSession, sf_dir: str, waves: int = 1) -> DataFrame:
     """Documents, marked, cleaned and cut at headings."""
-    return marked_documents(spark, sf_dir).transform(clean, "md").transform(chunk_by_heading, "md")
+    return marked_documents(spark, sf_dir, waves).transform(clean, "md").transform(chunk_by_heading, "md")
 
 
 def page_source(spark: SparkSession, sf_dir: str) -> DataFrame:
