@@ -16,6 +16,7 @@ from groundline.operators.index import build_index, open_index
 from groundline.operators.search import retrieve, search_approx, search_text, search_vector
 from groundline.plans.tables import table
 from groundline.session import shared_dir
+from tests.test_plans import plan
 
 VECTORS = "id BIGINT, vec ARRAY<DOUBLE>"
 QUERIES = "qid BIGINT, vec ARRAY<DOUBLE>"
@@ -204,3 +205,47 @@ def test_products_by_matrix_and_entry_by_entry(monkeypatch, scale):
         assert ready.matrix.shape[1] <= columns and ready.kind is (np.float32 if scale == 1 else np.float64)
         for part in (slice(0, 70), slice(9, 31), np.array([3, 50, 4])):
             assert (ready.dots(queries[1][part]) == expected[:, part]).all()
+
+
+def term_table(spark, rng, n, key):
+    """Term vectors of words with falling frequencies; every tenth is missing, every eleventh empty."""
+    rows = []
+    for i in rng.permutation(n):
+        bucket = np.flatnonzero(rng.random(60) < 4 / np.arange(1, 61))
+        vec = ([int(b) for b in bucket], [int(w) for w in rng.integers(1, 4, len(bucket))])
+        rows.append((int(i), None if i % 10 == 9 else ([], []) if i % 11 == 7 else vec))
+    return rows, spark.createDataFrame(rows, f"{key} BIGINT, vec STRUCT<buckets: ARRAY<INT>, weights: ARRAY<INT>>")
+
+
+@pytest.mark.parametrize("options", [{}, {"block_rows": 7}, {"block_values": 150}])
+def test_many_blocks_of_term_vectors(spark, monkeypatch, options):
+    """However queries are cut into blocks and rows into packs, hits are those of the plan without blocks."""
+    rng = np.random.default_rng(8)
+    queries, asked = term_table(spark, rng, 90, "qid")
+    _, rows = term_table(spark, rng, 300, "id")
+    # ids of queries may be structs and repeat
+    asked = asked.union(asked.filter("qid < 3")).select(F.struct("qid").alias("qid"), "vec").repartition(6)
+
+    def hits(**how):
+        found = near.nearest(asked, rows.repartition(5), 4, 60, positive_only=True, **how).rows
+        return sorted((r.qid.qid, r["rank"], r.id, r.score) for r in found.collect())
+
+    expected = hits()
+    assert {q for q, *_ in expected} == {q for q, vec in queries if vec and vec[0]}
+    monkeypatch.setattr(near, "ROW_SLICE", 17)
+    assert hits(max_matrix_values=8, **options) == expected
+
+
+def test_blocks_copy_neither_side(spark):
+    """More queries than a task takes at once: the index is not shuffled for them and queries are shuffled once, without copies."""
+    rng = np.random.default_rng(9)
+    _, asked = term_table(spark, rng, 60, "qid")
+    path = shared_dir(spark, "test-copies")
+    term_table(spark, rng, 200, "id")[1].write.parquet(path)
+    rows = spark.read.parquet(path)
+    text = plan(near.nearest(asked, rows, 4, 60, positive_only=True, max_matrix_values=8, block_rows=10).rows)
+    assert "RoundRobinPartitioning(6)" in text
+    assert len(re.findall(r"\) Exchange\n", text)) == 2  # the queries and, for their ranks, the hits
+    assert "Generate" not in text and "Group" not in text.replace("WindowGroupLimit", "")
+    # tasks stream the left side, the index, and hold a partition of the right one, a block of queries
+    assert re.search(r"CartesianProduct[^E]*Coalesce[^E]*Exchange", text.split("\n\n")[0])
